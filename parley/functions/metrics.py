@@ -8,6 +8,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parley.functions.binding import let
 
@@ -104,7 +105,7 @@ def _lcs(a, b) -> int:
     return len(a) - open_bits.bit_count()
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def _lcs_words(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else _lcs(x, y) for x, y in zip(a, b)], dtype="Int32")
 
