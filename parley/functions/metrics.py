@@ -5,6 +5,8 @@ Words are whitespace-separated.  Scores whose denominator is empty are null.
 
 from __future__ import annotations
 
+from collections import Counter
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -61,18 +63,17 @@ def vocab_recall(truth: Column, pred: Column) -> Column:
     return _ratio(F.size(F.array_intersect(t, vocabulary(pred))), F.size(t))
 
 
-def _numbered(items: Column) -> Column:
-    """Items with the running number of each repetition, so that set operations respect counts."""
-    return let(
-        F.array_sort(items),
-        lambda ordered: F.transform(
-            ordered, lambda w, i: F.concat_ws("\u0001", w, (i - F.array_position(ordered, w)).cast("string"))
-        ),
-    )
+def _overlaps(a, b) -> list[int]:
+    """n-grams in common, counted with repetition, for n = 1 to 4."""
+    def grams(items, n):
+        return Counter(zip(*[items[i:] for i in range(n)]))
+
+    return [(grams(a, n) & grams(b, n)).total() for n in range(1, 5)]
 
 
-def _shared(a: Column, b: Column) -> Column:
-    return F.size(F.array_intersect(_numbered(a), _numbered(b)))
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
+def _shared_ngrams(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([None if x is None or y is None else _overlaps(list(x), list(y)) for x, y in zip(a, b)])
 
 
 def _precision_recall_f1(hits: Column, truth_size: Column, pred_size: Column) -> Column:
@@ -89,7 +90,7 @@ def _precision_recall_f1(hits: Column, truth_size: Column, pred_size: Column) ->
 def rouge1(truth: Column, pred: Column) -> Column:
     """Unigram overlap counted with repetition: struct of precision, recall, f1."""
     t, p = words(truth), words(pred)
-    return _precision_recall_f1(_shared(t, p), F.size(t), F.size(p))
+    return _precision_recall_f1(F.get(_shared_ngrams(t, p), F.lit(0)), F.size(t), F.size(p))
 
 
 def _lcs(a, b) -> int:
@@ -116,13 +117,6 @@ def rouge_l(truth: Column, pred: Column) -> Column:
     return _precision_recall_f1(_lcs_words(t, p), F.size(t), F.size(p))
 
 
-def _ngrams(items: Column, n: int) -> Column:
-    starts = F.when(F.size(items) >= n, F.sequence(F.lit(1), F.size(items) - (n - 1))).otherwise(
-        F.array().cast("array<int>")
-    )
-    return F.transform(starts, lambda i: F.array_join(F.slice(items, i, n), " "))
-
-
 def bleu(truth: Column, pred: Column, smooth: bool = True) -> Column:
     """Sentence BLEU over 1- to 4-grams.
 
@@ -130,14 +124,15 @@ def bleu(truth: Column, pred: Column, smooth: bool = True) -> Column:
     order counts as the smallest double, which makes the score all but zero.
     """
     t, p = words(truth), words(pred)
-    logs, unigram_hits = [], None
-    for n in range(1, 5):
-        grams = _ngrams(p, n)
-        hits = _shared(_ngrams(t, n), grams)
-        unigram_hits = hits if n == 1 else unigram_hits
-        bottom = F.greatest(F.size(grams), F.lit(1))
-        missing = F.lit(BLEU_EPSILON) / bottom if smooth else F.lit(SMALLEST_DOUBLE)
-        logs.append(F.log(F.when(hits > 0, hits / bottom).otherwise(missing)))
-    mean_log = (logs[0] + logs[1] + logs[2] + logs[3]) / 4
-    brevity = F.when(F.size(p) > F.size(t), F.lit(1.0)).otherwise(F.exp(1 - F.size(t) / F.greatest(F.size(p), F.lit(1))))
-    return F.when(truth.isNull() | pred.isNull(), None).when(unigram_hits == 0, 0.0).otherwise(brevity * F.exp(mean_log))
+    hits = _shared_ngrams(t, p)
+
+    def order_log(n: int, length: Column) -> Column:
+        found, grams = F.get(hits, F.lit(n - 1)), F.greatest(length - (n - 1), F.lit(1))
+        missing = F.lit(BLEU_EPSILON) / grams if smooth else F.lit(SMALLEST_DOUBLE)
+        return F.log(F.when(found > 0, found / grams).otherwise(missing))
+
+    truth_size, size = F.size(t), F.size(p)
+    mean_log = (order_log(1, size) + order_log(2, size) + order_log(3, size) + order_log(4, size)) / 4
+    shortfall = F.when(size > truth_size, 0.0).otherwise(1 - truth_size / F.greatest(size, F.lit(1)))
+    score = F.exp(shortfall) * F.exp(mean_log)
+    return F.when(F.get(hits, F.lit(0)) == 0, 0.0).when(hits.isNotNull(), score)

@@ -79,6 +79,11 @@ def collapse_whitespace(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"(?U)\s+", " "))
 
 
+def strip_text(text: Column) -> Column:
+    """Without whitespace of any kind at both ends."""
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+
+
 def remove_punctuation(text: Column) -> Column:
     return F.translate(text, PUNCTUATION, "")
 
@@ -154,7 +159,7 @@ def squeeze_commas(text: Column) -> Column:
 
 def split_clauses(text: Column) -> Column:
     """Comma-separated clauses, trimmed, blank ones removed."""
-    return F.filter(F.transform(F.split(text, ","), F.trim), lambda c: c != "")
+    return F.filter(F.transform(F.split(text, ","), lambda c: strip_text(c)), lambda c: c != "")
 
 
 def length_band(text: Column, shortest: int = 16, longest: int = 512) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from parley.functions.dates import parse_mixed
 from parley.functions.prompts import labels_for, render_prompt
-from parley.functions.text import tokenize
+from parley.functions.text import strip_text, tokenize
 from parley.plans.ranking import with_position
 from parley.schema import NO_CONTEXT
 
@@ -27,7 +27,7 @@ MAX_BROADCAST_ROWS = 200_000
 
 def prepare_training_frame(df: DataFrame) -> DataFrame:
     """Lower-case and trim question and context, parse timestamps of mixed formats."""
-    trimmed = {c: F.trim(F.lower(F.col(c).cast("string"))) for c in ("question", "context")}
+    trimmed = {c: strip_text(F.lower(F.col(c).cast("string"))) for c in ("question", "context")}
     parsed = parse_mixed(F.col("timestamp").cast("string"))
     return df.withColumns({**trimmed, "timestamp": parsed})
 
@@ -74,15 +74,15 @@ def encode_fixed(
     is put together again after the lookup is never longer than that.
     """
     lookup = size_checked(vocab.select("token", F.col("id").cast("int").alias("_id")))
-    cells = F.concat(
-        *[
-            F.transform(
-                F.slice(F.coalesce(tokenize(F.lower(F.col(c))), F.array().cast("array<string>")), F.lit(1), F.lit(length)),
-                lambda w, i, n=n: F.struct(F.lit(n).alias("column"), i.alias("at"), w.alias("token")),
-            )
-            for n, (c, (_, length)) in enumerate(columns.items())
-        ]
-    )
+
+    def cut(n: int, column: str, length: int):
+        tokens = F.coalesce(tokenize(F.lower(F.col(column))), F.array().cast("array<string>"))
+        return F.transform(
+            F.slice(tokens, F.lit(1), F.lit(length)),
+            lambda w, i: F.struct(F.lit(n).alias("column"), i.alias("at"), w.alias("token")),
+        )
+
+    cells = F.concat(*[cut(n, c, length) for n, (c, (_, length)) in enumerate(columns.items())])
     keys = list(ids)
     tokens = df.select(*keys, F.explode(cells).alias("cell")).select(*keys, "cell.*")
     known = tokens.join(lookup, "token", "left").select(

@@ -19,7 +19,7 @@ def clean_messages(df: DataFrame, column: str = MESSAGE, sensitive: Sequence[str
 
 def drop_blank(df: DataFrame, column: str = MESSAGE, exact: bool = False) -> DataFrame:
     """Drop rows whose text is blank; nulls stay.  ``exact`` drops only ``''`` and ``' '``."""
-    value = F.col(column) if exact else F.trim(F.col(column))
+    value = F.col(column) if exact else tx.strip_text(F.col(column))
     return df.where(~F.coalesce(value.isin(" ", ""), F.lit(False)))
 
 

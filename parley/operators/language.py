@@ -151,13 +151,12 @@ def detect_language(text: Column, words: Mapping[str, Sequence[str]] = COMMON_WO
     On a tie the alphabetically first code wins.  The lists are literals, so the test is a plain
     projection: no explode, no join.
     """
+    def count(tokens, listed):
+        return F.size(F.filter(tokens, lambda w: w.isin(list(listed))))
+
     def best(tokens):
         hits = [
-            F.struct(
-                F.size(F.filter(tokens, lambda w, listed=words[code]: w.isin(list(listed)))).alias("hits"),
-                F.lit(-rank).alias("rank"),
-                F.lit(code).alias("code"),
-            )
+            F.struct(count(tokens, words[code]).alias("hits"), F.lit(-rank).alias("rank"), F.lit(code).alias("code"))
             for rank, code in enumerate(sorted(words))
         ]
         return let(F.array_max(F.array(*hits)), lambda top: F.when(top["hits"] > 0, top["code"]))

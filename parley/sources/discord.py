@@ -13,17 +13,17 @@ EXPORT_SCHEMA = "Timestamp STRING, Contents STRING"
 FILE_NAME = "messages.json"
 
 
-def read_discord(spark: SparkSession, path: str, first_only: bool = False) -> DataFrame:
+def read_discord(spark: SparkSession, path: str, first_only: bool = False, file_name: str = FILE_NAME) -> DataFrame:
     """Message rows of all channels below ``path``; ``first_only`` takes the first of each file.
 
     A channel's array is one value while its file is parsed, so that list positions are known.
     """
     texts = (
         spark.read.option("recursiveFileLookup", True)
-        .option("pathGlobFilter", FILE_NAME)
+        .option("pathGlobFilter", file_name)
         .option("wholetext", True)
         .text(path)
-        .withColumn("_file", F.col("_metadata.file_path"))
+        .withColumn("_file", F.input_file_name())
     )
     ranks, _ = file_ranks(texts)
     parsed = F.from_json("value", f"ARRAY<STRUCT<{EXPORT_SCHEMA.replace(' STRING', ': STRING')}>>")

@@ -23,7 +23,7 @@ def json_documents(spark: SparkSession, path: str, schema, file_pattern: str | N
     df = reader.json(path)
     if file_pattern:
         df = df.where(F.col("_metadata.file_name").rlike(f"^(?:{file_pattern})"))
-    return df.withColumn("_file", F.col("_metadata.file_path"))
+    return df.withColumn("_file", F.input_file_name())
 
 
 def file_ranks(df: DataFrame) -> tuple[DataFrame, int]:

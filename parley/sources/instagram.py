@@ -22,12 +22,13 @@ def scan_instagram(
     me=None,
     min_messages: int | None = 50,
     dialogs_limit: int | None = None,
+    file_name: str = FILE_NAME,
 ) -> DataFrame:
-    """Message rows of all dialogs below ``path``.
+    """Message rows of all dialogs below ``path``, one file each.
 
     Dialogs are numbered ``I_0, I_1, ...`` in path order over all files, before any is dropped.
     """
-    raw = json_documents(spark, path, EXPORT_SCHEMA, glob=FILE_NAME)
+    raw = json_documents(spark, path, EXPORT_SCHEMA, glob=file_name)
     ranks, _ = file_ranks(raw)
     large = raw.where(dialog_size_ok(F.size("messages"), min_messages, strict=False))
     named = large.join(ranks, "_file")

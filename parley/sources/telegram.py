@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parley.functions.dates import parse_iso
-from parley.functions.text import digits_only
+from parley.functions.text import digits_only, strip_text
 from parley.operators.filters import dialog_size_ok, with_sent_by_me
 from parley.operators.turns import coalesce_bursts
 from parley.schema import DATE, DIALOG, MESSAGE, SENDER, SEQ
@@ -77,7 +77,7 @@ def from_landed_messages(df: DataFrame, me=None, case: str = "none", order: str
     sender = F.coalesce(F.col("from_id").cast("string"), F.col("peer_id").cast("string"))
     rows = df.select(
         F.col("dialog_id").cast("string").alias(DIALOG),
-        F.trim(F.coalesce("message", F.lit(""))).alias(MESSAGE),
+        strip_text(F.coalesce("message", F.lit(""))).alias(MESSAGE),
         sender.alias(SENDER),
         F.col("date").alias(DATE),
         F.col("seq").cast("bigint").alias(SEQ),
