@@ -9,7 +9,8 @@ from parley.catalog.text_queries import clean_ctes, normalize_sql
 from parley.catalog.views import CHAT_CONV_SQL, CHAT_DAYS_SQL, CHAT_EVENTS_SQL, chat_conv, chat_events
 from parley.functions.text import normalize_text
 from parley.operators import context, dedup, filters, limits, profile, turns
-from parley.plans.training import build_training_table
+from parley.plans.sequence import by_dialog
+from parley.plans.training import build_training_table, pairs_with_context
 
 STAMP = "yyyy-MM-dd HH:mm:ss"
 STAMP_SQL = "'%Y-%m-%d %H:%M:%S'"
@@ -68,12 +69,16 @@ def _normal_conv(spark, sf_dir):
     return chat_conv(spark, sf_dir).withColumn("Message", normalize_text(F.col("Message")))
 
 
+def _pairs(messages):
+    return by_dialog(messages, lambda part: turns.pair_runs(turns.alternate_runs(context.elapsed_part(part))))
+
+
 def _conv_pairs(spark, sf_dir):
-    return turns.pair_turns(turns.alternate_turns(context.with_elapsed(_normal_conv(spark, sf_dir))))
+    return _pairs(_normal_conv(spark, sf_dir))
 
 
 def _event_pairs(spark, sf_dir):
-    return turns.pair_turns(turns.alternate_turns(context.with_elapsed(chat_events(spark, sf_dir))))
+    return _pairs(chat_events(spark, sf_dir))
 
 
 CONV_PAIRS_SQL = f"{NORMAL_CONV}, {turn_ctes('normal')}"
@@ -179,17 +184,17 @@ def sessionize(spark, sf_dir):
 _CONTEXT = "SELECT DialogID, seq, ConversationID, question, answer, context FROM contexts"
 
 
-def _contexts(name, pairs_of, pairs_sql, style, scope):
+def _contexts(name, messages_of, pairs_sql, style, scope):
     @query(name, f"{pairs_sql}, {session_ctes()}, {context_cte(style, scope)} {_CONTEXT}")
     def run(spark, sf_dir):
-        out = context.add_context(pairs_of(spark, sf_dir), style=style, scope=scope)
+        out = pairs_with_context(messages_of(spark, sf_dir), style=style, scope=scope)
         return out.select("DialogID", "seq", "ConversationID", "question", "answer", "context")
 
 
-_contexts("add_context_plain_conversations", _conv_pairs, CONV_PAIRS_SQL, "plain", "session")
-_contexts("add_context_tags_conversations", _conv_pairs, CONV_PAIRS_SQL, "tags", "dialog")
-_contexts("add_context_plain_events", _event_pairs, EVENT_PAIRS_SQL, "plain", "session")
-_contexts("add_context_tags_events", _event_pairs, EVENT_PAIRS_SQL, "tags", "dialog")
+_contexts("add_context_plain_conversations", _normal_conv, CONV_PAIRS_SQL, "plain", "session")
+_contexts("add_context_tags_conversations", _normal_conv, CONV_PAIRS_SQL, "tags", "dialog")
+_contexts("add_context_plain_events", chat_events, EVENT_PAIRS_SQL, "plain", "session")
+_contexts("add_context_tags_events", chat_events, EVENT_PAIRS_SQL, "tags", "dialog")
 
 
 @query(
@@ -197,7 +202,7 @@ _contexts("add_context_tags_events", _event_pairs, EVENT_PAIRS_SQL, "tags", "dia
     f"{EVENT_PAIRS_SQL}, {session_ctes()}, {context_cte('plain', 'session')} SELECT count(*) FILTER (context = 'Time Gap') AS gaps FROM contexts",
 )
 def context_gap_count(spark, sf_dir):
-    return profile.context_gap_count(context.add_context(_event_pairs(spark, sf_dir)))
+    return profile.context_gap_count(pairs_with_context(chat_events(spark, sf_dir)))
 
 
 TRAINING_SQL = f"""{CONV_PAIRS_SQL}, {session_ctes()}, {context_cte('plain', 'session')},

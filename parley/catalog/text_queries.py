@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from parley.catalog.registry import query
-from parley.catalog.views import table
+from parley.catalog.views import table, text_table
 from parley.functions import text as tx
 from parley.operators import dedup, filters, language, profile
 
@@ -54,7 +54,7 @@ cleaned AS (SELECT * FROM (SELECT * REPLACE (coalesce(regexp_replace({text}, {EM
 
 def _docs(spark, sf_dir, suffix: str = ""):
     text = F.concat(F.col("text"), F.lit(suffix)) if suffix else F.col("text")
-    return table(spark, sf_dir, "documents").select("doc_id", text.alias("text"))
+    return text_table(spark, sf_dir, "documents").select("doc_id", text.alias("text"))
 
 
 def _column(name, fn, sql, suffix=""):
@@ -102,7 +102,7 @@ def fix_mojibake(spark, sf_dir):
 
 @query("strip_html_tags", "SELECT page_id, regexp_replace(html, '<.*?>', '', 'g') AS text FROM pages")
 def strip_html_tags(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", tx.strip_html_tags(F.col("html")).alias("text"))
+    return text_table(spark, sf_dir, "pages").select("page_id", tx.strip_html_tags(F.col("html")).alias("text"))
 
 
 @query(
@@ -194,7 +194,7 @@ _CODES = sorted(language.COMMON_WORDS)
         SELECT doc_id, lang, CASE WHEN max(hits) > 0 THEN arg_min(code, (-hits, code)) END AS detected FROM b GROUP BY doc_id, lang""",
 )
 def detect_language(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    docs = text_table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     return language.with_detected_language(docs, "text").drop("text")
 
 

@@ -9,6 +9,7 @@ from parley.catalog.dialog_queries import (
     STAMP,
     STAMP_SQL,
     _conv_pairs,
+    _normal_conv,
     context_cte,
     session_ctes,
 )
@@ -16,7 +17,8 @@ from parley.catalog.registry import query
 from parley.catalog.text_queries import TOKENS
 from parley.catalog.views import table
 from parley.functions import metrics, variation
-from parley.operators import augmentation, context, encoding, evaluation, language
+from parley.plans.training import pairs_with_context
+from parley.operators import augmentation, encoding, evaluation, language
 
 STOP = language.COMMON_WORDS["en"] + language.COMMON_WORDS["de"] + language.COMMON_WORDS["fr"]
 PROMPT = "Answer as the same person would."
@@ -33,7 +35,7 @@ CONTEXTS_SQL = f"{CONV_PAIRS_SQL}, {session_ctes()}, {context_cte('plain', 'sess
 
 
 def _contexts(spark, sf_dir):
-    return context.add_context(_conv_pairs(spark, sf_dir))
+    return pairs_with_context(_normal_conv(spark, sf_dir))
 
 
 @query(
@@ -322,7 +324,30 @@ _score(
     SELECT DialogID, seq, round(levenshtein(array_to_string(list_transform(string_split(t, ''), lambda c: chr(CAST(33 + list_position(abc, c) AS INTEGER))), ''),
       array_to_string(list_transform(string_split(p, ''), lambda c: chr(CAST(33 + list_position(abc, c) AS INTEGER))), '')) / length(t), 6) AS cer FROM abc""",
 )
-_score("wer", metrics.wer)
+# Edit distance and common subsequence, one row of the table of prefixes per step: within a row the
+# dependence on the left neighbour is a running minimum (maximum) over a window.
+_WORD_TABLES = f"""{SCORED.replace('WITH ', 'WITH RECURSIVE ', 1)}, ided AS (SELECT *, row_number() OVER (ORDER BY DialogID, seq) AS id FROM scored),
+  tws AS (SELECT id, unnest(tw) AS w, unnest(range(1, len(tw) + 1)) AS i FROM ided),
+  pws AS (SELECT id, unnest(list_concat([''], pw)) AS w, unnest(range(0, len(pw) + 1)) AS j FROM ided)"""
+_WER_SQL = f"""{_WORD_TABLES}, dp AS (SELECT id, CAST(0 AS BIGINT) AS i, j, j AS v FROM pws UNION ALL
+    SELECT id, i, j, j + min(c - j) OVER (PARTITION BY id ORDER BY j) AS v FROM (
+      SELECT d.id, t.i, d.j, CASE WHEN d.j = 0 THEN t.i ELSE least(d.v + 1, lag(d.v) OVER (PARTITION BY d.id ORDER BY d.j) + CASE WHEN p.w = t.w THEN 0 ELSE 1 END) END AS c
+      FROM dp d JOIN tws t ON t.id = d.id AND t.i = d.i + 1 JOIN pws p ON p.id = d.id AND p.j = d.j))
+  SELECT DialogID, seq, round(v / len(tw), 6) AS wer FROM ided JOIN dp ON dp.id = ided.id AND dp.i = len(tw) AND dp.j = len(pw)"""
+_LCS_SQL = f"""{_WORD_TABLES}, dp AS (SELECT id, CAST(0 AS BIGINT) AS i, j, CAST(0 AS BIGINT) AS v FROM pws UNION ALL
+    SELECT id, i, j, max(c) OVER (PARTITION BY id ORDER BY j) AS v FROM (
+      SELECT d.id, t.i, d.j, greatest(d.v, coalesce(lag(d.v) OVER (PARTITION BY d.id ORDER BY d.j) + CASE WHEN p.w = t.w THEN 1 ELSE 0 END, 0)) AS c
+      FROM dp d JOIN tws t ON t.id = d.id AND t.i = d.i + 1 JOIN pws p ON p.id = d.id AND p.j = d.j))
+  SELECT DialogID, seq, round(2.0 * v / (len(tw) + len(pw)), 6) AS rouge_l FROM ided JOIN dp ON dp.id = ided.id AND dp.i = len(tw) AND dp.j = len(pw)"""
+
+
+def _table_score(name, fn, sql):
+    @query(name, sql)
+    def run(spark, sf_dir):
+        return _scored(spark, sf_dir).select("DialogID", "seq", F.round(fn(F.col("y_true"), F.col("y_pred")), 6).alias(name))
+
+
+_table_score("wer", metrics.wer, _WER_SQL)
 _score(
     "jaccard",
     metrics.jaccard,
@@ -350,7 +375,7 @@ _score(
     lambda t, p: metrics.rouge1(t, p)["precision"],
     f"SELECT DialogID, seq, round(1.0 * {_overlap('pw', 'tw')} / len(pw), 6) AS rouge1_precision FROM scored",
 )
-_score("rouge_l", lambda t, p: metrics.rouge_l(t, p)["f1"])
+_table_score("rouge_l", lambda t, p: metrics.rouge_l(t, p)["f1"], _LCS_SQL)
 
 
 def _grams(words: str, n: int) -> str:

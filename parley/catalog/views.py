@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parley.plans.spread import spread
 from parley.schema import DATE, DIALOG, MESSAGE, MINE, SENDER, SEQ
 
 
@@ -12,6 +13,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose texts get per-row work: small unsplit files are dealt out to all cores."""
+    return spread(table(spark, sf_dir, name))
+
+
 def chat_conv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``conversations`` as dialogs with synthetic dates: an 8 h pause before every fourth turn."""
     start = F.lit("2024-01-01").cast("timestamp_ntz")

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from parley.functions.binding import let
+
 # Markers that replace redacted text.
 URL_MARK = "redacted"
 MENTION_MARK = "/mention"
@@ -53,10 +55,17 @@ STRICT_EMOJI_RANGES = (
 # One token is a redaction marker, a run of letters, marks, digits and underscores, or any
 # other visible character on its own.
 TOKEN_PATTERN = r"/email|/mention|[\p{L}\p{M}\p{N}_]+|[^\s\p{L}\p{M}\p{N}_]"
+# The tokens that may touch their neighbours: everything but the words.
+MARK_PATTERN = r"/email|/mention|[^\s\p{L}\p{M}\p{N}_]"
+
+
+def _where(text: Column, needle: str, replaced) -> Column:
+    """``replaced(text)`` for texts that contain ``needle``; spares the others the regex."""
+    return let(text, lambda t: F.when(F.contains(t, F.lit(needle)), replaced(t)).otherwise(t))
 
 
 def redact_urls(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?U)http\S+", URL_MARK)
+    return _where(text, "http", lambda t: F.regexp_replace(t, r"(?U)http\S+", URL_MARK))
 
 
 def remove_latin_words(text: Column) -> Column:
@@ -64,15 +73,15 @@ def remove_latin_words(text: Column) -> Column:
 
 
 def strip_html_tags(text: Column) -> Column:
-    return F.regexp_replace(text, "(?d)<.*?>", "")
+    return _where(text, "<", lambda t: F.regexp_replace(t, "(?d)<.*?>", ""))
 
 
 def redact_mentions(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?U)@\w+", MENTION_MARK)
+    return _where(text, "@", lambda t: F.regexp_replace(t, r"(?U)@\w+", MENTION_MARK))
 
 
 def redact_emails(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?U)\S+@\S+", EMAIL_MARK)
+    return _where(text, "@", lambda t: F.regexp_replace(t, r"(?U)\S+@\S+", EMAIL_MARK))
 
 
 def collapse_whitespace(text: Column) -> Column:
@@ -89,7 +98,14 @@ def remove_punctuation(text: Column) -> Column:
 
 
 def emoji_pattern(ranges: Sequence[tuple[int, int]] = EMOJI_RANGES) -> str:
-    return "[" + "".join(rf"\x{{{low:X}}}-\x{{{high:X}}}" for low, high in ranges) + "]+"
+    """A character class for ``ranges``, overlapping ones merged."""
+    merged: list[list[int]] = []
+    for low, high in sorted(ranges):
+        if merged and low <= merged[-1][1] + 1:
+            merged[-1][1] = max(merged[-1][1], high)
+        else:
+            merged.append([low, high])
+    return "[" + "".join(rf"\x{{{low:X}}}-\x{{{high:X}}}" for low, high in merged) + "]+"
 
 
 def remove_emojis(text: Column, strict: bool = False) -> Column:
@@ -107,12 +123,12 @@ def _word_set(words: Sequence[str]) -> Column:
 
 def censor_words(text: Column, words: Sequence[str], mark: str = CENSOR_MARK) -> Column:
     """Replace listed words (compared in lower case) and join the tokens by one space."""
-    tokens = tokenize(text)
+    spaced = collapse_whitespace(F.regexp_replace(text, MARK_PATTERN, " $0 "))
     if not {w.strip() for w in words} - {""}:
-        return F.array_join(tokens, " ")
+        return spaced
     listed = _word_set(words)
     kept = F.transform(
-        tokens, lambda w: F.when(F.array_contains(listed, F.lower(w)), F.lit(mark)).otherwise(w)
+        F.split(spaced, " "), lambda w: F.when(F.array_contains(listed, F.lower(w)), F.lit(mark)).otherwise(w)
     )
     return F.array_join(kept, " ")
 
@@ -138,7 +154,8 @@ def clean_text(text: Column, sensitive: Sequence[str] = (), order: str = "defaul
     }
     for step in chains[order]:
         text = step(text)
-    text = collapse_whitespace(censor_words(text, sensitive))
+    # The censor leaves single spaces between tokens and none at the ends.
+    text = censor_words(text, sensitive)
     return F.coalesce(remove_emojis(text, strict_emoji), F.lit(" "))
 
 

@@ -13,8 +13,22 @@ from parley.schema import DIALOG, MESSAGE, MINE, SENDER
 
 def clean_messages(df: DataFrame, column: str = MESSAGE, sensitive: Sequence[str] = (), order: str = "default", strict_emoji: bool = False) -> DataFrame:
     """Clean one text column and drop the rows that end up blank."""
-    cleaned = df.withColumn(column, tx.clean_text(F.col(column), sensitive, order, strict_emoji))
-    return drop_blank(cleaned, column)
+    return rewrite_text(df, column, tx.clean_text(F.col(column), sensitive, order, strict_emoji))
+
+
+def normalize_messages(df: DataFrame, column: str = MESSAGE) -> DataFrame:
+    """Normalize one text column and drop the rows that end up blank; nulls stay."""
+    return rewrite_text(df, column, tx.normalize_text(F.col(column)))
+
+
+def rewrite_text(df: DataFrame, column: str, text: Column) -> DataFrame:
+    """Replace ``column`` by ``text`` without the rows where that is blank.
+
+    A filter after a projection is pushed below it, and the text would be computed once for the
+    test and once more for the result.  Exploding an array of at most one text computes it once.
+    """
+    kept = F.filter(F.array(text), lambda t: ~F.coalesce(tx.strip_text(t) == "", F.lit(False)))
+    return df.withColumn(column, F.explode(kept))
 
 
 def drop_blank(df: DataFrame, column: str = MESSAGE, exact: bool = False) -> DataFrame:

@@ -39,10 +39,15 @@ def by_dialog(
     order: Sequence[str] = TIME_ORDER,
     key: str = DIALOG,
     max_rows: int | None = None,
+    sizes_from: DataFrame | None = None,
 ) -> DataFrame:
-    """Apply ``fn``, a chain of ordered operators, to every dialog of ``df``."""
+    """Apply ``fn``, a chain of ordered operators, to every dialog of ``df``.
+
+    ``sizes_from`` names a cheaper table to count, one that has at least the rows of ``df``: the
+    table before some filter, for instance.
+    """
     limit = max_rows or MAX_ROWS_PER_KEY
-    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    sizes = (sizes_from if sizes_from is not None else df).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
     total, largest = sizes.agg(F.sum("_rows"), F.max("_rows")).first()
     if not total or largest <= limit:
         return fn(df)

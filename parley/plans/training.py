@@ -7,49 +7,66 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parley.functions.text import normalize_text
 from parley.operators.context import CONTEXT_SIZE, CONVERSATION_GAP, context_part, elapsed_part
 from parley.operators.dedup import dedup_questions
-from parley.operators.filters import clean_messages, drop_blank, drop_group_chats
+from parley.operators.filters import clean_messages, drop_group_chats, normalize_messages
 from parley.operators.turns import alternate_runs, pair_runs
+from parley.plans.scratch import settle
 from parley.plans.sequence import by_dialog
-from parley.schema import DIALOG, MESSAGE
+from parley.schema import DIALOG
 
 CLEANING = ("full", "normalize", "none")
 
 
-def build_training_table(
+def pairs_with_context(
     messages: DataFrame,
-    cleaning: str = "full",
-    sensitive: Sequence[str] = (),
-    max_participants: int | None = 2,
-    ignore: Sequence[str] = ("Meta AI",),
     size: int = CONTEXT_SIZE,
     style: str = "plain",
     scope: str = "session",
     gap_seconds: int = CONVERSATION_GAP,
     lower_questions: bool = False,
     max_rows: int | None = None,
+    sizes_from: DataFrame | None = None,
+) -> DataFrame:
+    """Elapsed time, alternation, pairing and context in one pass over the dialogs.
+
+    All steps work inside one dialog and share its hash exchange; whether a dialog is oversized
+    is decided once, before them.
+    """
+    def per_dialog(part: DataFrame) -> DataFrame:
+        pairs = pair_runs(alternate_runs(elapsed_part(part)))
+        if lower_questions:
+            pairs = pairs.withColumn("question", F.lower("question"))
+        return context_part(pairs, size, style, scope, gap_seconds)
+
+    return by_dialog(messages, per_dialog, max_rows=max_rows, sizes_from=sizes_from)
+
+
+def build_training_table(
+    messages: DataFrame,
+    cleaning: str = "full",
+    sensitive: Sequence[str] = (),
+    max_participants: int | None = 2,
+    ignore: Sequence[str] = ("Meta AI",),
+    max_rows: int | None = None,
+    **context,
 ) -> DataFrame:
     """Clean, drop group chats, alternate, pair, add context, keep each question once.
 
-    All steps between group-chat removal and de-duplication work inside one dialog and share its
-    hash exchange; the decision about oversized dialogs is taken once, before them.
+    ``context`` goes to ``pairs_with_context``.  When group chats are dropped, the cleaned
+    messages are read twice (for the participants and for the rows), so they are written once:
+    cleaning is the dearest step, and the participants are a scan of two of its columns.
     """
+    raw = messages
     if cleaning == "full":
         messages = clean_messages(messages, sensitive=sensitive)
     elif cleaning == "normalize":
-        messages = drop_blank(messages.withColumn(MESSAGE, normalize_text(F.col(MESSAGE))))
+        messages = normalize_messages(messages)
     elif cleaning != "none":
         raise ValueError(f"cleaning must be one of {CLEANING}")
     if max_participants is not None:
+        if cleaning != "none":
+            messages = settle(messages, "cleaned")
         messages = drop_group_chats(messages, max_participants, ignore)
-
-    def per_dialog(part: DataFrame) -> DataFrame:
-        pairs = pair_runs(alternate_runs(elapsed_part(part)))
-        if lower_questions:
-            pairs = pairs.withColumn("question", F.lower("question"))
-        return context_part(pairs, size, style, scope, gap_seconds)
-
-    table = dedup_questions(by_dialog(messages, per_dialog, max_rows=max_rows))
-    return table.select("question", "answer", DIALOG, "timestamp", "context")
+    pairs = pairs_with_context(messages, max_rows=max_rows, sizes_from=raw, **context)
+    return dedup_questions(pairs).select("question", "answer", DIALOG, "timestamp", "context")

@@ -10,6 +10,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Text work is heavy per byte: let small shuffles keep several partitions.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Merge sessions inside each input partition before the state store's shuffle.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
