@@ -13,7 +13,7 @@ from parley.catalog.dialog_queries import (
     context_cte,
     session_ctes,
 )
-from parley.catalog.registry import query
+from parley.catalog.registry import ORACLES, query
 from parley.catalog.text_queries import TOKENS
 from parley.catalog.views import table
 from parley.functions import metrics, variation
@@ -94,19 +94,32 @@ def shuffle_sql(text: str, rid: str) -> str:
     return f"array_to_string(list_transform({shuffled_sql(clauses, '42-shuffle', rid)}, lambda s: s.item), ', ')"
 
 
-def edit_ctes(source: str, rid: str) -> str:
-    """CTEs that apply shuffle, pop and swap to ``q`` of ``source`` where ``edits`` names them."""
-    return f"""
-e1 AS (SELECT * REPLACE (CASE WHEN list_contains(edits, 'shuffle') THEN {shuffle_sql('q', rid)} ELSE q END AS q) FROM {source}),
-e2a AS (SELECT *, regexp_extract_all(q, {TOKENS}) AS tk FROM e1),
-e2b AS (SELECT *, {shuffled_sql(f"list_filter(tk, lambda w: lower(w) NOT IN ({_in_list(STOP)}))", '42-pop', rid)} AS sh FROM e2a),
-e2c AS (SELECT *, list_position(tk, sh[1].item) AS gone FROM e2b),
-e2 AS (SELECT * EXCLUDE (tk, sh, gone) REPLACE (CASE WHEN list_contains(edits, 'pop') AND len(sh) > 0
-         THEN array_to_string(list_concat(tk[:gone - 1], tk[gone + 1:]), ' ') ELSE q END AS q) FROM e2c),
-e3a AS (SELECT *, regexp_extract_all(q, {TOKENS}) AS tk FROM e2),
-e3b AS (SELECT *, {shuffled_sql('tk', '42-swap', rid)} AS sh FROM e3a),
-edited AS (SELECT * EXCLUDE (tk, sh) REPLACE (CASE WHEN list_contains(edits, 'swap') AND len(tk) >= 2
-         THEN array_to_string(list_transform(tk, lambda w, i: CASE i WHEN sh[1].i THEN sh[2].item WHEN sh[2].i THEN sh[1].item ELSE w END), ' ') ELSE q END AS q) FROM e3b)"""
+def edit_ctes(source: str, rid: str, order=("shuffle", "pop", "swap")) -> str:
+    """CTEs ending in ``edited``: the edits that ``edits`` names, applied to ``q`` in ``order``."""
+    steps = {
+        "shuffle": """
+$n AS (SELECT * REPLACE (CASE WHEN list_contains(edits, 'shuffle') THEN $shuffled ELSE q END AS q) FROM $from)""",
+        "pop": f"""
+$na AS (SELECT *, regexp_extract_all(q, {TOKENS}) AS tk FROM $from),
+$nb AS (SELECT *, $free AS sh FROM $na),
+$nc AS (SELECT *, list_position(tk, sh[1].item) AS gone FROM $nb),
+$n AS (SELECT * EXCLUDE (tk, sh, gone) REPLACE (CASE WHEN list_contains(edits, 'pop') AND len(sh) > 0
+         THEN array_to_string(list_concat(tk[:gone - 1], tk[gone + 1:]), ' ') ELSE q END AS q) FROM $nc)""",
+        "swap": f"""
+$na AS (SELECT *, regexp_extract_all(q, {TOKENS}) AS tk FROM $from),
+$nb AS (SELECT *, $any AS sh FROM $na),
+$n AS (SELECT * EXCLUDE (tk, sh) REPLACE (CASE WHEN list_contains(edits, 'swap') AND len(tk) >= 2
+         THEN array_to_string(list_transform(tk, lambda w, i: CASE i WHEN sh[1].i THEN sh[2].item WHEN sh[2].i THEN sh[1].item ELSE w END), ' ') ELSE q END AS q) FROM $nb)""",
+    }
+    parts, previous = [], source
+    for place, name in enumerate(order):
+        step = "edited" if place == len(order) - 1 else f"{name}_done"
+        text = steps[name].replace("$shuffled", shuffle_sql("q", rid))
+        text = text.replace("$free", shuffled_sql(f"list_filter(tk, lambda w: lower(w) NOT IN ({_in_list(STOP)}))", "42-pop", rid))
+        text = text.replace("$any", shuffled_sql("tk", "42-swap", rid))
+        parts.append(text.replace("$from", previous).replace("$n", step))
+        previous = step
+    return ",".join(parts)
 
 
 def _u(tag: str, rid: str) -> str:
@@ -149,10 +162,10 @@ def choose_edits(spark, sf_dir):
     return docs.select("doc_id", F.array_join(variation.choose_edits(42, F.col("doc_id")), "+").alias("edits"))
 
 
-def _augmented_sql(factor: int, edits: str) -> str:
+def _augmented_sql(factor: int, edits: str, order=("shuffle", "pop", "swap")) -> str:
     rid = "DialogID || '|' || seq || '|' || round"
     return f"""{CONV_PAIRS_SQL}, rounds AS (SELECT pairs.*, question AS q, round FROM pairs, (SELECT unnest(range(1, {factor + 1})) AS round)),
-    src AS (SELECT *, {edits.replace('$rid', rid)} AS edits FROM rounds), {edit_ctes('src', rid)}
+    src AS (SELECT *, {edits.replace('$rid', rid)} AS edits FROM rounds), {edit_ctes('src', rid, order)}
     SELECT DISTINCT * FROM (SELECT DialogID, seq, question, answer FROM pairs WHERE question NOT IN ('', ' ')
       UNION ALL SELECT DialogID, seq, q AS question, answer FROM edited) WHERE question IS NOT NULL AND answer IS NOT NULL"""
 
@@ -163,7 +176,7 @@ def augment_questions(spark, sf_dir):
     return augmentation.augment_questions(pairs, ["DialogID", "seq"], 5, stop_words=STOP)
 
 
-@query("augment_questions_all")
+@query("augment_questions_all", _augmented_sql(2, "['shuffle', 'pop', 'swap']", ("shuffle", "swap", "pop")))
 def augment_questions_all(spark, sf_dir):
     pairs = _conv_pairs(spark, sf_dir).select("DialogID", "seq", "question", "answer")
     return augmentation.augment_questions(pairs, ["DialogID", "seq"], 2, mode="all", stop_words=STOP)
@@ -334,11 +347,10 @@ _WER_SQL = f"""{_WORD_TABLES}, dp AS (SELECT id, CAST(0 AS BIGINT) AS i, j, j AS
       SELECT d.id, t.i, d.j, CASE WHEN d.j = 0 THEN t.i ELSE least(d.v + 1, lag(d.v) OVER (PARTITION BY d.id ORDER BY d.j) + CASE WHEN p.w = t.w THEN 0 ELSE 1 END) END AS c
       FROM dp d JOIN tws t ON t.id = d.id AND t.i = d.i + 1 JOIN pws p ON p.id = d.id AND p.j = d.j))
   SELECT DialogID, seq, round(v / len(tw), 6) AS wer FROM ided JOIN dp ON dp.id = ided.id AND dp.i = len(tw) AND dp.j = len(pw)"""
-_LCS_SQL = f"""{_WORD_TABLES}, dp AS (SELECT id, CAST(0 AS BIGINT) AS i, j, CAST(0 AS BIGINT) AS v FROM pws UNION ALL
+_LCS = f"""{_WORD_TABLES}, dp AS (SELECT id, CAST(0 AS BIGINT) AS i, j, CAST(0 AS BIGINT) AS v FROM pws UNION ALL
     SELECT id, i, j, max(c) OVER (PARTITION BY id ORDER BY j) AS v FROM (
       SELECT d.id, t.i, d.j, greatest(d.v, coalesce(lag(d.v) OVER (PARTITION BY d.id ORDER BY d.j) + CASE WHEN p.w = t.w THEN 1 ELSE 0 END, 0)) AS c
-      FROM dp d JOIN tws t ON t.id = d.id AND t.i = d.i + 1 JOIN pws p ON p.id = d.id AND p.j = d.j))
-  SELECT DialogID, seq, round(2.0 * v / (len(tw) + len(pw)), 6) AS rouge_l FROM ided JOIN dp ON dp.id = ided.id AND dp.i = len(tw) AND dp.j = len(pw)"""
+      FROM dp d JOIN tws t ON t.id = d.id AND t.i = d.i + 1 JOIN pws p ON p.id = d.id AND p.j = d.j)), lcs AS (SELECT DialogID, seq, tw, pw, v FROM ided JOIN dp ON dp.id = ided.id AND dp.i = len(tw) AND dp.j = len(pw))"""
 
 
 def _table_score(name, fn, sql):
@@ -375,34 +387,57 @@ _score(
     lambda t, p: metrics.rouge1(t, p)["precision"],
     f"SELECT DialogID, seq, round(1.0 * {_overlap('pw', 'tw')} / len(pw), 6) AS rouge1_precision FROM scored",
 )
-_table_score("rouge_l", lambda t, p: metrics.rouge_l(t, p)["f1"], _LCS_SQL)
+_table_score("rouge_l", lambda t, p: metrics.rouge_l(t, p)["f1"], f"{_LCS} SELECT DialogID, seq, round(2.0 * v / (len(tw) + len(pw)), 6) AS rouge_l FROM lcs")
+_table_score("rouge_l_precision", lambda t, p: metrics.rouge_l(t, p)["precision"], f"{_LCS} SELECT DialogID, seq, round(1.0 * v / len(pw), 6) AS rouge_l_precision FROM lcs")
 
 
 def _grams(words: str, n: int) -> str:
     return f"list_transform(range(1, greatest(len({words}) - {n - 2}, 1)), lambda i: array_to_string({words}[i:i + {n - 1}], ' '))"
 
 
-_BLEU_SQL = (
-    ", grams AS (SELECT *, "
-    + ", ".join(f"{_grams('tw', n)} AS t{n}, {_grams('pw', n)} AS p{n}" for n in range(1, 5))
-    + " FROM scored), hits AS (SELECT *, "
-    + ", ".join(f"{_overlap(f'p{n}', f't{n}')} AS h{n}" for n in range(1, 5))
-    + " FROM grams) SELECT DialogID, seq, round(CASE WHEN h1 = 0 THEN 0.0 ELSE exp(least(0, CASE WHEN len(pw) > len(tw) THEN 0 ELSE 1 - len(tw) / len(pw) END)) * exp(("
-    + " + ".join(f"ln(CASE WHEN h{n} > 0 THEN h{n} ELSE 0.1 END / greatest(len(p{n}), 1))" for n in range(1, 5))
-    + ") / 4) END, 6) AS bleu FROM hits"
-)
-_score("bleu", metrics.bleu, _BLEU_SQL)
+def _bleu_sql(missing: str) -> str:
+    """``missing`` is what an order without a match scores; ``$g`` stands for its number of grams."""
+    grams = ", ".join(f"{_grams('tw', n)} AS t{n}, {_grams('pw', n)} AS p{n}" for n in range(1, 5))
+    hits = ", ".join(f"{_overlap(f'p{n}', f't{n}')} AS h{n}" for n in range(1, 5))
+    total = " + ".join(
+        f"ln(CASE WHEN h{n} > 0 THEN h{n} / greatest(len(p{n}), 1) ELSE {missing.replace('$g', f'greatest(len(p{n}), 1)')} END)" for n in range(1, 5)
+    )
+    return f""", grams AS (SELECT *, {grams} FROM scored), hits AS (SELECT *, {hits} FROM grams)
+    SELECT DialogID, seq, round(CASE WHEN h1 = 0 THEN 0.0 ELSE exp(CASE WHEN len(pw) > len(tw) THEN 0 ELSE 1 - len(tw) / len(pw) END) * exp(({total}) / 4) END, 6) AS bleu FROM hits"""
 
 
-@query("evaluate_pairs")
-def evaluate_pairs(spark, sf_dir):
+_score("bleu", metrics.bleu, _bleu_sql("0.1 / $g"))
+_score("bleu_unsmoothed", lambda t, p: metrics.bleu(t, p, smooth=False), _bleu_sql("CAST('2.2250738585072014e-308' AS DOUBLE)").replace("AS bleu FROM", "AS bleu_unsmoothed FROM"))
+
+
+def _means_sql(columns: dict[str, str], where: str = "true") -> str:
+    """Means over the rows of the single scores; ``columns`` maps a score to the query it comes from."""
+    first, *rest = columns.values()
+    joined = f"({ORACLES[first]}) AS q_{first} " + " ".join(f"JOIN ({ORACLES[q]}) AS q_{q} USING (DialogID, seq)" for q in rest)
+    means = ", ".join(f"round(avg({q}), 4) AS {score}" for score, q in columns.items())
+    return f"SELECT count(*) AS pairs, {means} FROM (SELECT * FROM {joined}) WHERE {where}"
+
+
+def _means(spark, sf_dir, **options):
     rows = _scored(spark, sf_dir).withColumn("id", F.concat_ws("-", "DialogID", "seq"))
-    means = evaluation.evaluate_pairs(rows.select("id", "y_pred"), rows.select("id", "y_true"))
-    return means.select("pairs", *[F.round(s, 6).alias(s) for s in evaluation.SCORES])
+    means = evaluation.evaluate_pairs(rows.select("id", "y_pred"), rows.select("id", "y_true"), **options)
+    return means.select("pairs", *[F.round(s, 4).alias(s) for s in evaluation.SCORES])
 
 
-@query("evaluate_pairs_precision")
+@query("evaluate_pairs", _means_sql({s: s for s in evaluation.SCORES}))
+def evaluate_pairs(spark, sf_dir):
+    return _means(spark, sf_dir)
+
+
+_DRAWN = f"""DialogID || '-' || seq IN (SELECT id FROM (SELECT DialogID || '-' || seq AS id FROM ({ORACLES['cer']})) ORDER BY md5('42-sample|' || id), id LIMIT 50)"""
+
+
+@query(
+    "evaluate_pairs_precision",
+    _means_sql(
+        {"bleu": "bleu_unsmoothed", "rouge1": "rouge1_precision", "rouge_l": "rouge_l_precision", "wer": "wer", "cer": "cer", "jaccard": "vocab_recall"},
+        _DRAWN,
+    ),
+)
 def evaluate_pairs_precision(spark, sf_dir):
-    rows = _scored(spark, sf_dir).withColumn("id", F.concat_ws("-", "DialogID", "seq"))
-    means = evaluation.evaluate_pairs(rows.select("id", "y_pred"), rows.select("id", "y_true"), samples=50, variant="precision")
-    return means.select("pairs", *[F.round(s, 6).alias(s) for s in evaluation.SCORES])
+    return _means(spark, sf_dir, samples=50, variant="precision")
