@@ -21,8 +21,7 @@ def read_discord(spark: SparkSession, path: str, first_only: bool = False, file_
     texts = (
         spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", file_name)
-        .option("wholetext", True)
-        .text(path)
+        .text(path, wholetext=True)
         .withColumn("_file", F.input_file_name())
     )
     ranks, _ = file_ranks(texts)
