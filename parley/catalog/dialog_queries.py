@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from parley.catalog.registry import query
 from parley.catalog.text_queries import clean_ctes, normalize_sql
-from parley.catalog.views import CHAT_CONV_SQL, CHAT_DAYS_SQL, CHAT_EVENTS_SQL, chat_conv, chat_events
+from parley.catalog.views import CHAT_CONV_SQL, CHAT_DAYS_SQL, CHAT_EVENTS_SQL, chat_conv, chat_events, table
 from parley.functions.text import normalize_text
 from parley.operators import context, dedup, filters, limits, profile, turns
+from parley.plans.ranking import with_position
 from parley.plans.sequence import by_dialog
 from parley.plans.training import build_training_table, pairs_with_context
 
@@ -212,8 +213,8 @@ TRAINING_SQL = f"""{CONV_PAIRS_SQL}, {session_ctes()}, {context_cte('plain', 'se
 
 @query("training_table", TRAINING_SQL)
 def training_table(spark, sf_dir):
-    table = build_training_table(chat_conv(spark, sf_dir), cleaning="normalize", max_participants=None)
-    return _stamped(table)
+    out = build_training_table(chat_conv(spark, sf_dir), cleaning="normalize", max_participants=None)
+    return _stamped(out)
 
 
 @query(
@@ -226,10 +227,10 @@ def training_table(spark, sf_dir):
     SELECT question, answer, DialogID, strftime(timestamp, {STAMP_SQL}) AS timestamp, context FROM ranked WHERE n = 1""",
 )
 def training_table_full(spark, sf_dir):
-    table = build_training_table(
+    out = build_training_table(
         chat_events(spark, sf_dir, per_day=True), sensitive=("1234",), ignore=("error",), size=3, style="tags", scope="dialog"
     )
-    return _stamped(table)
+    return _stamped(out)
 
 
 @query(
@@ -284,16 +285,14 @@ def with_sent_by_me(spark, sf_dir):
 @query(
     "filter_entities",
     """SELECT event_id, user_id FROM events
-    WHERE event_type <> 'error' AND user_id % 10 <> 0 AND user_id <> 7""",
+    WHERE event_type <> 'error' AND event_type <> 'click' AND user_id <> 7""",
 )
 def filter_entities(spark, sf_dir):
-    from parley.catalog.views import table
-
     rows = table(spark, sf_dir, "events").select(
         "event_id",
         "user_id",
         F.when(F.col("event_type") == "error", "Channel").otherwise("User").alias("entity_type"),
-        (F.col("user_id") % 10 == 0).alias("is_bot"),
+        (F.col("event_type") == "click").alias("is_bot"),
         F.col("user_id").alias("entity_id"),
     )
     return filters.filter_entities(rows, me=7).select("event_id", "user_id")
@@ -305,8 +304,6 @@ def filter_entities(spark, sf_dir):
     SELECT DialogID, seq, row_number() OVER (ORDER BY first, DialogID, Date, seq) AS place FROM f""",
 )
 def order_dialogs_by_start(spark, sf_dir):
-    from parley.plans.ranking import with_position
-
     started = context.with_dialog_start(chat_events(spark, sf_dir))
     placed = with_position(started, "place", ("Date_first", "DialogID", "Date", "seq"))
     return placed.select("DialogID", "seq", "place")

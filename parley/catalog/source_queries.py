@@ -24,11 +24,11 @@ def _write_documents(df, path, key):
 
 
 def _messages(*fields):
-    return F.array_sort(F.collect_list(F.struct(F.col("seq").alias("seq"), *fields)))
+    return F.sort_array(F.collect_list(F.struct(F.col("seq").alias("seq"), *fields)))
 
 
 def _telegram_export(spark, sf_dir):
-    """Documents of several chats; system messages get a list as text, every fifth chat is a group."""
+    """Documents of several chats; system messages get a list as text, chats of six messages are groups."""
     dialogs = (
         chat_conv(spark, sf_dir)
         .withColumn("conv_id", F.col("DialogID").cast("bigint"))
@@ -43,13 +43,13 @@ def _telegram_export(spark, sf_dir):
         F.lit('","from":"x","date":"'), m["date"], F.lit('"}'),
     )
     chat = F.concat(
-        F.lit('{"type":"'), F.when(F.col("conv_id") % 5 == 4, "private_group").otherwise("personal_chat"),
+        F.lit('{"type":"'), F.when(F.size("m") == 6, "private_group").otherwise("personal_chat"),
         F.lit('","messages":['), F.array_join(F.transform("m", message), ","), F.lit("]}"),
     )
     documents = (
         dialogs.select((F.col("conv_id") / DIALOGS_PER_DOCUMENT).cast("bigint").alias("doc"), "conv_id", chat.alias("chat"))
         .groupBy("doc")
-        .agg(F.array_sort(F.collect_list(F.struct("conv_id", "chat")))["chat"].alias("chats"))
+        .agg(F.sort_array(F.collect_list(F.struct("conv_id", "chat")))["chat"].alias("chats"))
         .select(F.lpad(F.col("doc").cast("string"), 8, "0").alias("doc"), F.concat(F.lit('{"chats":{"list":['), F.array_join("chats", ","), F.lit("]}}")).alias("value"))
     )
     path = scratch_path(spark, "telegram-export")
@@ -59,9 +59,9 @@ def _telegram_export(spark, sf_dir):
 
 # Documents and kept chats are numbered from 1; texts that were lists count as empty.
 _TELEGRAM_SQL = f"""WITH {CHAT_CONV_SQL}, sized AS (SELECT *, CAST(DialogID AS BIGINT) AS c, count(*) OVER (PARTITION BY DialogID) AS n FROM chat_conv),
-  kept AS (SELECT *, c // {DIALOGS_PER_DOCUMENT} AS doc FROM sized WHERE n > 3 AND c % 5 <> 4),
+  kept AS (SELECT *, c // {DIALOGS_PER_DOCUMENT} AS doc FROM sized WHERE n > 3 AND n <> 6),
   docs AS (SELECT doc, row_number() OVER (ORDER BY doc) AS file FROM (SELECT DISTINCT CAST(DialogID AS BIGINT) // {DIALOGS_PER_DOCUMENT} AS doc FROM chat_conv)),
-  named AS (SELECT 'T' || file || '_' || dense_rank() OVER (PARTITION BY kept.doc ORDER BY c) AS DialogID,
+  named AS (SELECT CASE WHEN (SELECT count(*) FROM docs) > 1 THEN 'T' || file || '_' ELSE 'T_' END || dense_rank() OVER (PARTITION BY kept.doc ORDER BY c) AS DialogID,
      CASE WHEN Sender = 'system' THEN '' ELSE Message END AS Message, CASE WHEN Sent_by_me THEN '1' ELSE '2' END AS Sender, Date, Sent_by_me, seq
      FROM kept JOIN docs ON kept.doc = docs.doc)"""
 
@@ -143,7 +143,7 @@ def read_discord_first_only(spark, sf_dir):
     return rows.withColumn("Date", F.date_format("Date", STAMP))
 
 
-_LANDED_SQL = f"""WITH {CHAT_EVENTS_SQL}, named AS (SELECT * REPLACE (CASE WHEN seq % 3 = 0 THEN 'peer' || DialogID ELSE Sender END AS Sender) FROM chat_events),
+_LANDED_SQL = f"""WITH {CHAT_EVENTS_SQL}, named AS (SELECT * REPLACE (CASE WHEN Sender = 'error' THEN 'peer' || DialogID ELSE Sender END AS Sender) FROM chat_events),
   {_burst_sql('(SELECT * REPLACE (false AS Sent_by_me) FROM named)', 'x')} SELECT DialogID, Sender, seq, Date, Message FROM bursts"""
 
 
@@ -152,7 +152,7 @@ def from_landed_messages(spark, sf_dir):
     landed = chat_events(spark, sf_dir).select(
         F.col("DialogID").alias("dialog_id"),
         F.concat(F.lit(" "), "Message", F.lit(" \n")).alias("message"),
-        F.when(F.col("seq") % 3 != 0, F.col("Sender")).alias("from_id"),
+        F.when(F.col("Sender") != "error", F.col("Sender")).alias("from_id"),
         F.concat(F.lit("peer"), "DialogID").alias("peer_id"),
         F.col("Date").alias("date"),
         "seq",
@@ -251,16 +251,21 @@ def stream_context(spark, sf_dir):
     return done.select("chat_id", "message_id", "question", "answer", "input_text")
 
 
-_UPDATES_SQL = """SELECT props AS message, event_id AS message_id, user_id, user_id % 2 = 0 AS is_bot, 'en' AS language_code FROM events WHERE event_id % 4 > 1"""
+def _update_text():
+    """Events as chat updates: errors are commands, views are photos without text."""
+    kind = F.col("event_type")
+    return F.when(kind == "error", F.concat(F.lit("/"), "props")).when(kind != "view", F.col("props"))
+
+
+_UPDATES_SQL = """SELECT props AS message, event_id AS message_id, user_id, user_id % 2 = 0 AS is_bot, 'en' AS language_code FROM events WHERE event_type NOT IN ('error', 'view')"""
 
 
 @query("stream_event_log", _UPDATES_SQL)
 def stream_event_log(spark, sf_dir):
     schema = table(spark, sf_dir, "events").schema
     target, progress = scratch_path(spark, "event-log"), scratch_path(spark, "progress")
-    body = F.when(F.col("event_id") % 4 == 0, F.concat(F.lit("/"), "props")).when(F.col("event_id") % 4 > 1, F.col("props"))
     updates = ingest.message_stream(spark, f"{sf_dir}/events*.parquet", schema).select(
-        body.alias("message"),
+        _update_text().alias("message"),
         F.col("event_id").alias("message_id"),
         "user_id",
         (F.col("user_id") % 2 == 0).alias("is_bot"),
@@ -274,11 +279,11 @@ def stream_event_log(spark, sf_dir):
 
 @query(
     "message_routes",
-    """SELECT route, count(*) AS messages FROM (SELECT CASE event_id % 4 WHEN 0 THEN 'command' WHEN 1 THEN 'photo' ELSE 'text' END AS route FROM events) GROUP BY route""",
+    """SELECT route, count(*) AS messages FROM (SELECT CASE event_type WHEN 'error' THEN 'command' WHEN 'view' THEN 'photo' ELSE 'text' END AS route FROM events) GROUP BY route""",
 )
 def message_routes(spark, sf_dir):
     rows = table(spark, sf_dir, "events").select(
-        F.when(F.col("event_id") % 4 == 0, F.concat(F.lit("/"), "props")).when(F.col("event_id") % 4 > 1, F.col("props")).alias("message"),
-        F.when(F.col("event_id") % 4 == 1, F.col("props")).alias("photo"),
+        _update_text().alias("message"),
+        F.when(F.col("event_type") == "view", F.col("props")).alias("photo"),
     )
     return event_log.with_route(rows, photo="photo").groupBy("route").agg(F.count(F.lit(1)).alias("messages"))

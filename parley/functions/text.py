@@ -68,7 +68,10 @@ def redact_urls(text: Column) -> Column:
     return _where(text, "http", lambda t: F.regexp_replace(t, r"(?U)http\S+", URL_MARK))
 
 
-def remove_latin_words(text: Column) -> Column:
+def remove_latin_words(text: Column, keep_marks: bool = False) -> Column:
+    """Remove words of ASCII letters; ``keep_marks`` spares the redaction markers."""
+    if keep_marks:
+        return F.regexp_replace(text, rf"(?U)({EMAIL_MARK}\b|{MENTION_MARK}\b|\b{URL_MARK}\b)|\b[a-zA-Z]+\b", "$1")
     return F.regexp_replace(text, r"(?U)\b[a-zA-Z]+\b", "")
 
 
@@ -118,7 +121,8 @@ def tokenize(text: Column) -> Column:
 
 
 def _word_set(words: Sequence[str]) -> Column:
-    return F.array(*[F.lit(w) for w in sorted({w.strip().lower() for w in words} - {""})])
+    # One literal that is split when the plan is optimized, rather than one literal per word.
+    return F.split(F.lit("\n".join(sorted({w.strip().lower() for w in words} - {""}))), "\n")
 
 
 def censor_words(text: Column, words: Sequence[str], mark: str = CENSOR_MARK) -> Column:
@@ -150,7 +154,7 @@ def clean_text(text: Column, sensitive: Sequence[str] = (), order: str = "defaul
     redactors = [redact_emails, redact_urls, redact_mentions, strip_html_tags]
     chains = {
         "default": [remove_latin_words, *redactors],
-        "redact_first": [*redactors, remove_latin_words],
+        "redact_first": [*redactors, lambda t: remove_latin_words(t, keep_marks=True)],
     }
     for step in chains[order]:
         text = step(text)

@@ -19,15 +19,14 @@ EDITS = ("translate", "shuffle", "pop", "swap")
 WEIGHTS = (0.1, 0.3, 0.3, 0.3)
 
 
-def _shuffled(items: Column, seed, *parts: Column) -> Column:
-    """``items`` as structs (key, position, item) in random order; empty for no items."""
-    keyed = F.transform(items, lambda item, i: F.struct(draw_key(seed, *parts, i).alias("k"), i.alias("i"), item.alias("item")))
-    return F.array_sort(keyed)
+def _keyed(items: Column, seed, *parts: Column) -> Column:
+    """``items`` as structs (key, position, item); sorting them puts the items in random order."""
+    return F.transform(items, lambda item, i: F.struct(draw_key(seed, *parts, i).alias("k"), i.alias("i"), item.alias("item")))
 
 
 def shuffle_clauses(text: Column, seed, *parts: Column) -> Column:
     """Comma-separated clauses in random order."""
-    shuffled = _shuffled(split_clauses(squeeze_commas(text)), f"{seed}-shuffle", *parts)
+    shuffled = F.sort_array(_keyed(split_clauses(squeeze_commas(text)), f"{seed}-shuffle", *parts))
     return F.array_join(F.transform(shuffled, lambda s: s["item"]), ", ")
 
 
@@ -41,7 +40,7 @@ def swap_words(text: Column, seed, *parts: Column) -> Column:
         )
 
     def edit(tokens):
-        joined = let(_shuffled(tokens, f"{seed}-swap", *parts), lambda picked: F.array_join(swapped(tokens, picked), " "))
+        joined = let(F.sort_array(_keyed(tokens, f"{seed}-swap", *parts)), lambda picked: F.array_join(swapped(tokens, picked), " "))
         return F.when(F.size(tokens) < 2, text).otherwise(joined)
 
     return let(tokenize(text), edit)
@@ -54,8 +53,8 @@ def pop_word(text: Column, stop_words: Sequence[str], seed, *parts: Column) -> C
         return F.when(chosen.isNull(), text).otherwise(F.array_join(kept, " "))
 
     def edit(tokens):
-        shuffled = _shuffled(remove_stopwords(tokens, stop_words), f"{seed}-pop", *parts)
-        return let(F.get(shuffled, F.lit(0))["item"], lambda chosen: without(tokens, chosen))
+        candidates = _keyed(remove_stopwords(tokens, stop_words), f"{seed}-pop", *parts)
+        return let(F.array_min(candidates)["item"], lambda chosen: without(tokens, chosen))
 
     return let(tokenize(text), edit)
 
@@ -76,6 +75,6 @@ def choose_edits(seed, *parts: Column, weights: Sequence[float] = WEIGHTS, edits
             for i, (name, w) in enumerate(zip(edits, weights))
         ]
     )
-    drawn = F.slice(F.array_sort(keyed), F.lit(1), count)
-    in_order = F.array_sort(F.transform(drawn, lambda s: F.struct(s["i"].alias("i"), s["name"].alias("name"))))
+    drawn = F.slice(F.sort_array(keyed), F.lit(1), count)
+    in_order = F.sort_array(F.transform(drawn, lambda s: F.struct(s["i"].alias("i"), s["name"].alias("name"))))
     return F.transform(in_order, lambda s: s["name"])

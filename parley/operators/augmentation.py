@@ -45,6 +45,9 @@ def augment_questions(
     if samples is not None:
         df = first_rows(df, samples, order or ids)
     columns = df.columns
+    # The edits make no nulls, so nulls are dropped here: a filter on the result would be pushed
+    # below the projections and have each edit computed twice.
+    df = df.na.drop("any")
     rounds = df.withColumn("_round", F.explode(F.sequence(F.lit(1), F.lit(factor))))
     parts = [*[F.col(c) for c in ids], F.col("_round")]
     names = ("translate", "shuffle", "pop", "swap") if mode == "random" else ("translate", "shuffle", "swap", "pop")
@@ -62,8 +65,10 @@ def augment_questions(
             edited = F.when(F.array_contains("_edits", name), edited).otherwise(F.col("question"))
         # One projection per edit: the next one refers to a finished column.
         rounds = rounds.withColumn("question", edited)
-    originals = drop_blank(df, "question", exact=True)
-    return originals.unionByName(rounds.select(*columns)).na.drop("any").dropDuplicates()
+    rounds = rounds.select(*columns)
+    if translate is not None:
+        rounds = rounds.na.drop("any")
+    return drop_blank(df, "question", exact=True).unionByName(rounds).dropDuplicates()
 
 
 def read_refusal_pairs(spark: SparkSession, path: str, questions: str = "jailbreak_q", answers: str = "jailbreak_ans") -> DataFrame:
@@ -89,7 +94,7 @@ def refusal_rows(df: DataFrame, pairs: Sequence[tuple[str, str]], ids: Sequence[
     key = draw_key(f"{seed}-sample", *[F.col(c) for c in ids])
     drawn = sample_exact(df, len(pairs), ids, seed).select(F.struct(key.alias("k"), *[F.col(c) for c in ids], F.col("timestamp").alias("t")).alias("s"))
     # As many rows as there are pairs: one small array puts them in drawing order.
-    drawn = drawn.agg(F.array_sort(F.collect_list("s")).alias("s")).select(F.posexplode("s").alias("n", "s"))
+    drawn = drawn.agg(F.sort_array(F.collect_list("s")).alias("s")).select(F.posexplode("s").alias("n", "s"))
     drawn = drawn.select((F.col("n") + 1).cast("bigint").alias("n"), F.col("s.t").alias("timestamp"))
     return listed.join(drawn, "n").select(
         "question", "answer", F.lit("Jailbreak").alias(DIALOG), "timestamp", F.lit(NO_CONTEXT).alias("context")
@@ -211,7 +216,7 @@ def replace_synonyms(
     if stop_words:
         kept = remove_stopwords(F.col("_tokens"), stop_words)
         numbered = F.filter(numbered, lambda s: F.array_contains(kept, s["w"]))
-    shuffled = F.array_sort(
+    shuffled = F.sort_array(
         F.transform(numbered, lambda s: F.struct(draw_key(f"{seed}-synonym", *[F.col(c) for c in keys], s["i"]).alias("k"), s["i"].alias("i"), s["w"].alias("w")))
     )
     drawn = tokens.select(*keys, shuffled.alias("_s"))

@@ -88,7 +88,7 @@ def encode_fixed(
     known = tokens.join(lookup, "token", "left").select(
         *keys, "column", "at", F.coalesce("_id", F.lit(UNKNOWN_ID)).alias("_id")
     )
-    rows = known.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("column", "at", "_id"))).alias("_cells"))
+    rows = known.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("column", "at", "_id"))).alias("_cells"))
     rows = df.select(*keys).join(rows, keys, "left")
 
     def padded(n: int, length: int):
@@ -106,6 +106,6 @@ def normalize_tokens(df: DataFrame, column: str, lookup: DataFrame, ids: Sequenc
     forms = size_checked(lookup.select("form", "lemma"))
     changed = tokens.join(forms, "form", "left").select(*keys, "at", F.coalesce("lemma", "form").alias("w"))
     texts = changed.groupBy(*keys).agg(
-        F.array_join(F.array_sort(F.collect_list(F.struct("at", "w")))["w"], " ").alias("_text")
+        F.array_join(F.sort_array(F.collect_list(F.struct("at", "w")))["w"], " ").alias("_text")
     )
     return df.join(texts, keys, "left").withColumn(column, F.coalesce("_text", F.substring(column, 1, 0))).drop("_text")

@@ -78,14 +78,21 @@ def dialog_participants(df: DataFrame, ignore: Sequence[str] = ()) -> DataFrame:
     if ignore:
         senders = senders.where(~F.coalesce(F.col(SENDER).isin(list(ignore)), F.lit(False)))
     pairs = senders.distinct()
-    counted = pairs.groupBy(DIALOG).agg(F.count(F.lit(1)).alias("participants"))
-    return counted
+    return pairs.groupBy(DIALOG).agg(F.count(F.lit(1)).alias("participants"))
+
+
+def group_chats(df: DataFrame, max_participants: int = 2, ignore: Sequence[str] = ("Meta AI",)) -> DataFrame:
+    """Ids of the dialogs with more than ``max_participants`` senders."""
+    return dialog_participants(df, ignore).where(F.col("participants") > max_participants).select(DIALOG)
+
+
+def without_dialogs(df: DataFrame, dialogs: DataFrame, ignore: Sequence[str] = ()) -> DataFrame:
+    """Drop the listed dialogs, and every row of the ignored senders."""
+    if ignore:
+        df = df.where(~F.coalesce(F.col(SENDER).isin(list(ignore)), F.lit(False)))
+    return df.join(dialogs, DIALOG, "left_anti")
 
 
 def drop_group_chats(df: DataFrame, max_participants: int = 2, ignore: Sequence[str] = ("Meta AI",)) -> DataFrame:
     """Drop dialogs with too many senders, and every row of the ignored senders."""
-    groups = dialog_participants(df, ignore).where(F.col("participants") > max_participants)
-    kept = df.join(groups.select(DIALOG), DIALOG, "left_anti")
-    if ignore:
-        kept = kept.where(~F.coalesce(F.col(SENDER).isin(list(ignore)), F.lit(False)))
-    return kept
+    return without_dialogs(df, group_chats(df, max_participants, ignore), ignore)

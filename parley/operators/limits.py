@@ -4,16 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parley.functions.draws import draw_key, uniform
-from parley.plans.ranking import first_rows, with_position, with_running_total
+from parley.plans.ranking import first_rows, up_to, with_position, with_running_total
 from parley.plans.sequence import by_dialog, running_sum
 from parley.schema import DIALOG, SEQ, TIME_ORDER
 
 # Up to here Spark cuts each task's share of a dialog to the limit before the shuffle.
 GROUP_LIMIT = 1_000
+MAX_CHUNKS = 1_000
 
 
 def latest_per_dialog(df: DataFrame, n: int, max_rows: int | None = None) -> DataFrame:
@@ -63,14 +64,14 @@ def sample_exact(df: DataFrame, n: int, ids: Sequence[str], seed: int = 42) -> D
     return first_rows(keyed, n, ("_key", *ids)).drop("_key")
 
 
-def _cut(df: DataFrame, position: Column, fraction: float) -> DataFrame:
-    train_rows = int(df.count() * fraction)
-    return df.withColumn("split", F.when(position <= train_rows, "train").otherwise("test")).drop("_pos")
+def _cut(df: DataFrame, order: Sequence[str], fraction: float) -> DataFrame:
+    train = up_to(df, int(df.count() * fraction), order)
+    return df.withColumn("split", F.when(train, "train").otherwise("test"))
 
 
 def with_ordered_split(df: DataFrame, order: Sequence[str], fraction: float = 0.9) -> DataFrame:
     """Add ``split``: ``train`` for the first floor(n * fraction) rows in ``order``, else ``test``."""
-    return _cut(with_position(df, "_pos", order), F.col("_pos"), fraction)
+    return _cut(df, order, fraction)
 
 
 def with_random_split(df: DataFrame, ids: Sequence[str], fraction: float = 0.9, seed: int = 42, exact: bool = False) -> DataFrame:
@@ -84,7 +85,7 @@ def with_random_split(df: DataFrame, ids: Sequence[str], fraction: float = 0.9,
         train = uniform(f"{seed}-split", *columns) < fraction
         return df.withColumn("split", F.when(train, "train").otherwise("test"))
     keyed = df.withColumn("_key", draw_key(f"{seed}-split", *columns))
-    return _cut(with_position(keyed, "_pos", ("_key", *ids)), F.col("_pos"), fraction).drop("_key")
+    return _cut(keyed, ("_key", *ids), fraction).drop("_key")
 
 
 def _two(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -100,11 +101,17 @@ def split_random(df: DataFrame, ids: Sequence[str], fraction: float = 0.9, seed:
 
 
 def assign_chunks(df: DataFrame, chunks: int, order: Sequence[str]) -> DataFrame:
-    """Add ``chunk`` (1-based): contiguous parts in ``order`` whose sizes differ by at most one."""
-    placed = with_position(df, "_pos", order)
+    """Add ``chunk`` (1-based): contiguous parts in ``order`` whose sizes differ by at most one.
+
+    The last key of each chunk is looked up over the order columns alone; a row's chunk is then
+    one more than the number of those keys before it.
+    """
+    if not 1 <= chunks <= MAX_CHUNKS:
+        raise ValueError(f"chunks must lie between 1 and {MAX_CHUNKS}")
+    placed = with_position(df.select(*order), "_pos", order)
     size, longer = divmod(placed.count(), chunks)
-    at = F.col("_pos") - 1
-    edge = longer * (size + 1)
-    in_longer = F.floor(at / (size + 1))
-    in_rest = longer + F.floor((at - edge) / max(size, 1))
-    return placed.withColumn("chunk", (F.when(at < edge, in_longer).otherwise(in_rest) + 1).cast("bigint")).drop("_pos")
+    ends = [n * size + min(n, longer) for n in range(1, chunks)]
+    keys = placed.where(F.col("_pos").isin([e for e in ends if e > 0]))
+    last = keys.agg(F.sort_array(F.collect_list(F.struct(*order)))).scalar()
+    before = F.filter("_last", lambda key: key < F.struct(*order))
+    return df.withColumn("_last", last).withColumn("chunk", (F.size(before) + 1).cast("bigint")).drop("_last")

@@ -50,7 +50,7 @@ def _coalesce_runs(df: DataFrame, case: str, order: str) -> DataFrame:
         runs,
         DIALOG,
         first.alias("_first"),
-        F.array_sort(F.collect_list(F.struct(F.col(SEQ).alias("seq"), F.col(MESSAGE).alias("text")))).alias("_texts"),
+        F.sort_array(F.collect_list(F.struct(F.col(SEQ).alias("seq"), F.col(MESSAGE).alias("text")))).alias("_texts"),
     )
     texts = F.transform(F.col("_texts"), lambda t: t["text"])
     head, tail = F.get(texts, F.lit(0)), F.slice(texts, F.lit(2), F.greatest(F.size(texts) - 1, F.lit(0)))
@@ -93,7 +93,7 @@ def alternate_runs(df: DataFrame, key: str = DIALOG, order: Sequence[str] = TIME
         runs,
         key,
         F.max_by(F.struct(*kept), rank).alias("_last"),
-        F.array_sort(F.collect_list(F.struct(rank.alias("at"), F.col(MESSAGE).alias("text")))).alias("_texts"),
+        F.sort_array(F.collect_list(F.struct(rank.alias("at"), F.col(MESSAGE).alias("text")))).alias("_texts"),
     )
     # Newest text first.
     text = F.array_join(F.transform(F.reverse(F.col("_texts")), lambda t: t["text"]), " ")

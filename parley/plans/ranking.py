@@ -57,8 +57,21 @@ def with_position(df: DataFrame, out: str, order: Sequence[str], rows_per_range:
     return with_running_total(df, out, F.lit(1).cast("bigint"), order, rows_per_range)
 
 
+def up_to(df: DataFrame, n: int, order: Sequence[str]) -> Column:
+    """True for the first ``n`` rows of ``df`` in ``order`` (which must be unique).
+
+    Only the order columns are sorted; the key found at position ``n`` then splits the table by
+    a plain comparison, so its other columns are neither shuffled nor written.
+    """
+    if n < 1:
+        return F.lit(False)
+    placed = with_position(df.select(*order), "_pos", order)
+    cut = placed.where(F.col("_pos") == n).select(F.struct(*order)).scalar()
+    return F.coalesce(F.struct(*order) <= cut, F.lit(True))
+
+
 def first_rows(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
     """The first ``n`` rows in ``order``; exact for any ``n``."""
     if n <= MAX_TOP_N:
         return df.orderBy(*order).limit(n)
-    return with_position(df, "_pos", order).where(F.col("_pos") <= n).drop("_pos")
+    return df.where(up_to(df, n, order))

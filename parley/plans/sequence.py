@@ -140,7 +140,7 @@ def last_n(df: DataFrame, out: str, value: Column, n: int, order: Sequence[str]
     tail = df.select(key, BLOCK, F.struct(*order).alias("_at"), value.alias("_value"), *order)
     tail = tail.withColumn("_back", F.row_number().over(backwards)).where(F.col("_back") <= n)
     tail = tail.groupBy(key, BLOCK).agg(
-        F.array_sort(F.collect_list(F.struct("_at", "_value")))["_value"].alias("_tail")
+        F.sort_array(F.collect_list(F.struct("_at", "_value")))["_value"].alias("_tail")
     )
     before = Window.partitionBy(key).orderBy(BLOCK).rowsBetween(-n, -1)
     tail = tail.select(key, BLOCK, F.flatten(F.collect_list("_tail").over(before)).alias("_tail"))

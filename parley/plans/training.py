@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parley.operators.context import CONTEXT_SIZE, CONVERSATION_GAP, context_part, elapsed_part
 from parley.operators.dedup import dedup_questions
-from parley.operators.filters import clean_messages, drop_group_chats, normalize_messages
+from parley.operators.filters import clean_messages, group_chats, normalize_messages, without_dialogs
 from parley.operators.turns import alternate_runs, pair_runs
 from parley.plans.scratch import settle
 from parley.plans.sequence import by_dialog
@@ -27,13 +27,16 @@ def pairs_with_context(
     lower_questions: bool = False,
     max_rows: int | None = None,
     sizes_from: DataFrame | None = None,
+    select: Callable[[DataFrame], DataFrame] = lambda part: part,
 ) -> DataFrame:
     """Elapsed time, alternation, pairing and context in one pass over the dialogs.
 
     All steps work inside one dialog and share its hash exchange; whether a dialog is oversized
-    is decided once, before them.
+    is decided once, before them.  ``select`` drops rows first; a join on the dialog belongs
+    there, after the oversized dialogs have been set apart.
     """
     def per_dialog(part: DataFrame) -> DataFrame:
+        part = select(part)
         pairs = pair_runs(alternate_runs(elapsed_part(part)))
         if lower_questions:
             pairs = pairs.withColumn("question", F.lower("question"))
@@ -57,7 +60,7 @@ def build_training_table(
     messages are read twice (for the participants and for the rows), so they are written once:
     cleaning is the dearest step, and the participants are a scan of two of its columns.
     """
-    raw = messages
+    raw, select = messages, lambda part: part
     if cleaning == "full":
         messages = clean_messages(messages, sensitive=sensitive)
     elif cleaning == "normalize":
@@ -67,6 +70,7 @@ def build_training_table(
     if max_participants is not None:
         if cleaning != "none":
             messages = settle(messages, "cleaned")
-        messages = drop_group_chats(messages, max_participants, ignore)
-    pairs = pairs_with_context(messages, max_rows=max_rows, sizes_from=raw, **context)
+        groups = group_chats(messages, max_participants, ignore)
+        select = lambda part: without_dialogs(part, groups, ignore)
+    pairs = pairs_with_context(messages, max_rows=max_rows, sizes_from=raw, select=select, **context)
     return dedup_questions(pairs).select("question", "answer", DIALOG, "timestamp", "context")

@@ -11,11 +11,19 @@ from parley.schema import MESSAGE_SCHEMA
 SAVE_MODES = ("errorifexists", "overwrite", "ignore")
 
 
-def json_documents(spark: SparkSession, path: str, schema, file_pattern: str | None = None, glob: str | None = None) -> DataFrame:
+def json_documents(
+    spark: SparkSession,
+    path: str,
+    schema,
+    file_pattern: str | None = None,
+    glob: str | None = None,
+    dir_pattern: str | None = None,
+) -> DataFrame:
     """JSON documents below ``path``, one per file, with the file's path as ``_file``.
 
-    ``glob`` selects by file name while listing; ``file_pattern`` is a regular expression that
-    has to match from the start of the file name.
+    ``glob`` selects by file name while listing.  ``file_pattern`` and ``dir_pattern`` are regular
+    expressions that have to match from the start of the name of the file, or of one of the
+    folders above it.
     """
     reader = spark.read.schema(schema).option("multiLine", True).option("recursiveFileLookup", True)
     if glob:
@@ -23,6 +31,10 @@ def json_documents(spark: SparkSession, path: str, schema, file_pattern: str | N
     df = reader.json(path)
     if file_pattern:
         df = df.where(F.col("_metadata.file_name").rlike(f"^(?:{file_pattern})"))
+    if dir_pattern:
+        parts = F.split(F.col("_metadata.file_path"), "/")
+        folders = F.slice(parts, F.lit(1), F.size(parts) - 1)
+        df = df.where(F.exists(folders, lambda folder: folder.rlike(f"^(?:{dir_pattern})")))
     return df.withColumn("_file", F.input_file_name())
 
 

@@ -9,6 +9,7 @@ from parley.functions.dates import parse_millis
 from parley.functions.text import fix_mojibake
 from parley.operators.filters import dialog_size_ok, with_sent_by_me
 from parley.operators.turns import coalesce_bursts
+from parley.plans.scratch import settle
 from parley.schema import DATE, DIALOG, MESSAGE, SENDER, SEQ
 from parley.sources.files import file_ranks, json_documents
 
@@ -23,12 +24,14 @@ def scan_instagram(
     min_messages: int | None = 50,
     dialogs_limit: int | None = None,
     file_name: str = FILE_NAME,
+    dir_pattern: str | None = None,
 ) -> DataFrame:
     """Message rows of all dialogs below ``path``, one file each.
 
-    Dialogs are numbered ``I_0, I_1, ...`` in path order over all files, before any is dropped.
+    ``dir_pattern`` keeps the files below folders of that name, ``inbox$`` for instance.  Dialogs are
+    numbered ``I_0, I_1, ...`` in path order over all files, before any is dropped.
     """
-    raw = json_documents(spark, path, EXPORT_SCHEMA, glob=file_name)
+    raw = json_documents(spark, path, EXPORT_SCHEMA, glob=file_name, dir_pattern=dir_pattern)
     ranks, _ = file_ranks(raw)
     large = raw.where(dialog_size_ok(F.size("messages"), min_messages, strict=False))
     named = large.join(ranks, "_file")
@@ -47,5 +50,8 @@ def scan_instagram(
 
 
 def read_instagram(spark: SparkSession, path: str, me=None, case: str = "all", order: str = "newest_first", **scan) -> DataFrame:
-    """``scan_instagram`` with the bursts of one sender joined."""
-    return coalesce_bursts(scan_instagram(spark, path, me, **scan), case, order)
+    """``scan_instagram`` with the bursts of one sender joined.
+
+    The documents are parsed once, into a columnar copy: joining looks at the dialog sizes first.
+    """
+    return coalesce_bursts(settle(scan_instagram(spark, path, me, **scan), "instagram"), case, order)

@@ -9,6 +9,7 @@ from parley.functions.dates import parse_iso
 from parley.functions.text import digits_only, strip_text
 from parley.operators.filters import dialog_size_ok, with_sent_by_me
 from parley.operators.turns import coalesce_bursts
+from parley.plans.scratch import settle
 from parley.schema import DATE, DIALOG, MESSAGE, SENDER, SEQ
 from parley.sources.files import file_ranks, json_documents
 
@@ -65,8 +66,11 @@ def scan_telegram(
 
 
 def read_telegram(spark: SparkSession, path: str, me=None, case: str = "first", order: str = "newest_first", **scan) -> DataFrame:
-    """``scan_telegram`` with the bursts of one sender joined."""
-    return coalesce_bursts(scan_telegram(spark, path, me, **scan), case, order)
+    """``scan_telegram`` with the bursts of one sender joined.
+
+    The documents are parsed once, into a columnar copy: joining looks at the dialog sizes first.
+    """
+    return coalesce_bursts(settle(scan_telegram(spark, path, me, **scan), "telegram"), case, order)
 
 
 def from_landed_messages(df: DataFrame, me=None, case: str = "none", order: str = "newest_first") -> DataFrame:

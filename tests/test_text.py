@@ -54,7 +54,7 @@ def test_cleaning_chain_worked_example(spark):
     cleaned = apply(spark, lambda t: tx.clean_text(t), SAMPLES[:1] + [None])
     assert cleaned == ["Привіт /email див : / / . / /mention  ", " "]
     first = apply(spark, lambda t: tx.clean_text(t, order="redact_first"), SAMPLES[:1])
-    assert "/email" in first[0] and "/mention" in first[0] and "b" not in first[0].replace("/", "")[-3:]
+    assert first == ["Привіт /email див redacted /mention  "]
 
 
 def test_censor_compares_in_lower_case_and_ignores_blanks_in_the_list(spark):
