@@ -145,19 +145,35 @@ def remove_stopwords(tokens: Column, stop_words: Sequence[str]) -> Column:
     return F.filter(tokens, lambda w: ~F.array_contains(listed, F.lower(w)))
 
 
-def clean_text(text: Column, sensitive: Sequence[str] = (), order: str = "default", strict_emoji: bool = False) -> Column:
+# Cleaning steps by name, and the orders they are usually taken in.
+STEPS = {
+    "latin": remove_latin_words,
+    "latin_but_marks": lambda t: remove_latin_words(t, keep_marks=True),
+    "emails": redact_emails,
+    "urls": redact_urls,
+    "mentions": redact_mentions,
+    "tags": strip_html_tags,
+}
+ORDERS = {
+    "default": ("latin", "emails", "urls", "mentions", "tags"),
+    "redact_first": ("emails", "urls", "mentions", "tags", "latin_but_marks"),
+}
+
+
+def clean_text(
+    text: Column,
+    sensitive: Sequence[str] = (),
+    steps: str | Sequence[str] = "default",
+    strict_emoji: bool = False,
+) -> Column:
     """The cleaning chain for one text column; null becomes a single space.
 
-    ``order="redact_first"`` redacts addresses and tags before Latin words are removed, so that
-    no word removal can break an address apart.
+    ``steps`` is a key of ``ORDERS`` or a sequence of names from ``STEPS``; censoring, collapsing
+    whitespace and removing emoji always follow.  ``redact_first`` redacts addresses and tags
+    before Latin words are removed, so that no word removal can break an address apart.
     """
-    redactors = [redact_emails, redact_urls, redact_mentions, strip_html_tags]
-    chains = {
-        "default": [remove_latin_words, *redactors],
-        "redact_first": [*redactors, lambda t: remove_latin_words(t, keep_marks=True)],
-    }
-    for step in chains[order]:
-        text = step(text)
+    for name in ORDERS[steps] if isinstance(steps, str) else steps:
+        text = STEPS[name](text)
     # The censor leaves single spaces between tokens and none at the ends.
     text = censor_words(text, sensitive)
     return F.coalesce(remove_emojis(text, strict_emoji), F.lit(" "))

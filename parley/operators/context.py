@@ -17,11 +17,13 @@ CONTEXT_SIZE = 10
 
 STYLES = ("tags", "plain", "chat")
 PAIR_ORDER = (ELAPSED, SEQ)
+# The same order where the pairs still carry their dates; it continues the order of the messages.
+DATED_PAIR_ORDER = ("timestamp", SEQ)
 
 
 def elapsed_part(df: DataFrame, date: str = DATE) -> DataFrame:
     """``with_elapsed`` for one part of ``by_dialog``."""
-    df = key_min(df, "_first", F.col(date))
+    df = key_min(df, "_first", F.col(date), (date, SEQ))
     return df.withColumn(ELAPSED, whole_seconds(F.col("_first"), F.col(date))).drop("_first")
 
 

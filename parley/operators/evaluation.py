@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parley.functions import metrics as m
+from parley.operators.encoding import normalize_tokens
 from parley.operators.limits import sample_exact
 
 SCORES = ("bleu", "rouge1", "rouge_l", "wer", "cer", "jaccard")
@@ -42,14 +43,19 @@ def evaluate_pairs(
     samples: int | None = None,
     variant: str = "f1",
     seed: int = 42,
+    lemmas: DataFrame | None = None,
 ) -> DataFrame:
     """Mean of every score over ``predictions`` joined to ``truths`` on ``ids``.
 
-    ``samples`` scores exactly that many random pairs; without it all are scored.
+    ``samples`` scores exactly that many random pairs; without it all are scored.  ``lemmas``
+    (form, lemma) is applied to both texts before scoring.
     """
     keys = list(ids)
     pairs = predictions.select(*keys, "y_pred").join(truths.select(*keys, "y_true"), keys)
     if samples is not None:
         pairs = sample_exact(pairs, samples, keys, seed)
+    if lemmas is not None:
+        for column in ("y_true", "y_pred"):
+            pairs = normalize_tokens(pairs, column, lemmas, keys)
     scored = score_pairs(pairs, variant=variant)
     return scored.agg(F.count(F.lit(1)).alias("pairs"), *[F.avg(s).alias(s) for s in SCORES])

@@ -11,9 +11,9 @@ from parley.functions import text as tx
 from parley.schema import DIALOG, MESSAGE, MINE, SENDER
 
 
-def clean_messages(df: DataFrame, column: str = MESSAGE, sensitive: Sequence[str] = (), order: str = "default", strict_emoji: bool = False) -> DataFrame:
+def clean_messages(df: DataFrame, column: str = MESSAGE, sensitive: Sequence[str] = (), steps: str | Sequence[str] = "default", strict_emoji: bool = False) -> DataFrame:
     """Clean one text column and drop the rows that end up blank."""
-    return rewrite_text(df, column, tx.clean_text(F.col(column), sensitive, order, strict_emoji))
+    return rewrite_text(df, column, tx.clean_text(F.col(column), sensitive, steps, strict_emoji))
 
 
 def normalize_messages(df: DataFrame, column: str = MESSAGE) -> DataFrame:

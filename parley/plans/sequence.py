@@ -150,9 +150,13 @@ def last_n(df: DataFrame, out: str, value: Column, n: int, order: Sequence[str]
     return joined.withColumn(out, F.slice(out, start, F.lit(n)))
 
 
-def key_min(df: DataFrame, out: str, value: Column, key: str = DIALOG) -> DataFrame:
-    """Add the smallest ``value`` of the dialog."""
+def key_min(df: DataFrame, out: str, value: Column, order: Sequence[str] = TIME_ORDER, key: str = DIALOG):
+    """Add the smallest ``value`` of the dialog, for a value that never falls in ``order``.
+
+    That makes it a running minimum, which needs neither a second sort nor a buffered dialog.
+    """
     if not has_blocks(df):
-        return df.withColumn(out, F.min(value).over(Window.partitionBy(key)))
+        upto = _row_window(df, order, key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.withColumn(out, F.min(value).over(upto))
     # Only split keys get here, so at most MAX_SPLIT_KEYS rows are broadcast.
     return df.join(F.broadcast(df.groupBy(key).agg(F.min(value).alias(out))), key, "left")

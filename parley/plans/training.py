@@ -7,7 +7,13 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parley.operators.context import CONTEXT_SIZE, CONVERSATION_GAP, context_part, elapsed_part
+from parley.operators.context import (
+    CONTEXT_SIZE,
+    CONVERSATION_GAP,
+    DATED_PAIR_ORDER,
+    context_part,
+    elapsed_part,
+)
 from parley.operators.dedup import dedup_questions
 from parley.operators.filters import clean_messages, group_chats, normalize_messages, without_dialogs
 from parley.operators.turns import alternate_runs, pair_runs
@@ -40,7 +46,7 @@ def pairs_with_context(
         pairs = pair_runs(alternate_runs(elapsed_part(part)))
         if lower_questions:
             pairs = pairs.withColumn("question", F.lower("question"))
-        return context_part(pairs, size, style, scope, gap_seconds)
+        return context_part(pairs, size, style, scope, gap_seconds, DATED_PAIR_ORDER)
 
     return by_dialog(messages, per_dialog, max_rows=max_rows, sizes_from=sizes_from)
 

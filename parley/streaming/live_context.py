@@ -22,17 +22,26 @@ def _render(history: list[tuple[str, str]], empty: str) -> str:
     return "".join(f" <Q{i}> {q} <A{i}> {a}" for i, (q, a) in enumerate(history, 1))
 
 
-def stream_context(stream: DataFrame, language: str = "uk", size: int = HISTORY) -> DataFrame:
+def stream_context(
+    stream: DataFrame,
+    language: str = "uk",
+    size: int = HISTORY,
+    forget_after_seconds: int | None = None,
+) -> DataFrame:
     """For each text message its prompt with the last ``size`` turns of the chat as context.
 
     Expects ``chat_id, message_id, message_time, message, answer``; within a chat, messages are
-    ordered by (message_time, message_id).  The state per chat is at most ``size`` turns.  One
+    ordered by (message_time, message_id).  The state per chat is at most ``size`` turns and is
+    dropped when the chat has been silent for ``forget_after_seconds``, if given.  One
     micro-batch of one chat is sorted in a task, so the source has to bound its batches, for
     instance by ``maxFilesPerTrigger``.
     """
     labels = labels_for(language)
 
     def advance(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         history = list(zip(*state.get)) if state.exists else []
         rows = pd.concat(list(batches)).sort_values(["message_time", "message_id"], kind="stable")
         prompts = []
@@ -41,6 +50,8 @@ def stream_context(stream: DataFrame, language: str = "uk", size: int = HISTORY)
             prompts.append(f"[{labels.question}]:{question}\n[{labels.context}]: {context}\n")
             history = [*history, (question, answer)][-size:]
         state.update(([q for q, _ in history], [a for _, a in history]))
+        if forget_after_seconds:
+            state.setTimeoutDuration(forget_after_seconds * 1_000)
         yield rows.assign(chat_id=key[0], input_text=prompts)[
             ["chat_id", "message_id", "message_time", "question", "answer", "input_text"]
         ]
@@ -57,5 +68,5 @@ def stream_context(stream: DataFrame, language: str = "uk", size: int = HISTORY)
         outputStructType=OUTPUT,
         stateStructType="questions array<string>, answers array<string>",
         outputMode="append",
-        timeoutConf=GroupStateTimeout.NoTimeout,
+        timeoutConf=GroupStateTimeout.ProcessingTimeTimeout if forget_after_seconds else GroupStateTimeout.NoTimeout,
     )

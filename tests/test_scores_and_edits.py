@@ -63,6 +63,15 @@ def test_empty_and_null_texts(spark):
     assert null.wer is None and null.bleu is None
 
 
+def test_lemmas_are_applied_before_scoring(spark):
+    truths = spark.createDataFrame([(1, "коти сплять"), (2, "дім")], "id int, y_true string")
+    preds = spark.createDataFrame([(1, "кіт спить"), (2, "дім")], "id int, y_pred string")
+    lemmas = spark.createDataFrame([("коти", "кіт"), ("сплять", "спати"), ("спить", "спати")], "form string, lemma string")
+    plain = evaluation.evaluate_pairs(preds, truths).first()
+    assert plain.pairs == 2 and plain.wer == 0.5
+    assert evaluation.evaluate_pairs(preds, truths, lemmas=lemmas).first().wer == 0
+
+
 TEXTS = ["a, b,, c , d", "one two three", "word", "", "the of", "x x y z, q"]
 STOP = ("the", "of")
 

@@ -133,7 +133,8 @@ def test_stream_sessions_equal_batch(spark, tmp_path):
     assert live == {(r.DialogID, r.n) for r in batch.collect() if r.DialogID != "z"}
 
 
-def test_live_context_carries_over_batches(spark, tmp_path):
+@pytest.mark.parametrize("forget", [None, 3600])
+def test_live_context_carries_over_batches(spark, tmp_path, forget):
     source, target, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
     schema = "chat_id string, message_id long, message_time timestamp, message string, answer string"
 
@@ -142,7 +143,7 @@ def test_live_context_carries_over_batches(spark, tmp_path):
         spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(source)
 
     add(("x", 2, " Two "), ("x", 1, "ONE"), ("y", 1, ""))
-    stream = live_context.stream_context(ingest.message_stream(spark, source, schema), "en", size=2)
+    stream = live_context.stream_context(ingest.message_stream(spark, source, schema), "en", size=2, forget_after_seconds=forget)
     finish(ingest.ingest_incremental(stream, target, progress))
     add(("x", 3, "three"), ("x", 4, "four"), ("y", 5, "five"))
     finish(ingest.ingest_incremental(stream, target, progress))

@@ -53,8 +53,10 @@ def test_emoji_runs_become_one_space(spark):
 def test_cleaning_chain_worked_example(spark):
     cleaned = apply(spark, lambda t: tx.clean_text(t), SAMPLES[:1] + [None])
     assert cleaned == ["Привіт /email див : / / . / /mention  ", " "]
-    first = apply(spark, lambda t: tx.clean_text(t, order="redact_first"), SAMPLES[:1])
+    first = apply(spark, lambda t: tx.clean_text(t, steps="redact_first"), SAMPLES[:1])
     assert first == ["Привіт /email див redacted /mention  "]
+    chosen = apply(spark, lambda t: tx.clean_text(t, steps=["tags", "mentions"]), ["<b>ok</b> @олег"])
+    assert chosen == ["ok /mention"]
 
 
 def test_censor_compares_in_lower_case_and_ignores_blanks_in_the_list(spark):
