@@ -120,7 +120,8 @@ def tokenize(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), F.lit(0))
 
 
-def _word_set(words: Sequence[str]) -> Column:
+def word_set(words: Sequence[str]) -> Column:
+    """The words, trimmed and in lower case, as an array."""
     # One literal that is split when the plan is optimized, rather than one literal per word.
     return F.split(F.lit("\n".join(sorted({w.strip().lower() for w in words} - {""}))), "\n")
 
@@ -130,7 +131,7 @@ def censor_words(text: Column, words: Sequence[str], mark: str = CENSOR_MARK) ->
     spaced = collapse_whitespace(F.regexp_replace(text, MARK_PATTERN, " $0 "))
     if not {w.strip() for w in words} - {""}:
         return spaced
-    listed = _word_set(words)
+    listed = word_set(words)
     kept = F.transform(
         F.split(spaced, " "), lambda w: F.when(F.array_contains(listed, F.lower(w)), F.lit(mark)).otherwise(w)
     )
@@ -141,7 +142,7 @@ def remove_stopwords(tokens: Column, stop_words: Sequence[str]) -> Column:
     """The tokens that are not stop words."""
     if not {w.strip() for w in stop_words} - {""}:
         return tokens
-    listed = _word_set(stop_words)
+    listed = word_set(stop_words)
     return F.filter(tokens, lambda w: ~F.array_contains(listed, F.lower(w)))
 
 

@@ -11,8 +11,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parley.functions.binding import let
 from parley.functions.draws import draw_key
-from parley.functions.text import remove_stopwords, tokenize
+from parley.functions.text import tokenize, word_set
 from parley.functions.variation import choose_edits, pop_word, shuffle_clauses, swap_words
 from parley.operators.filters import drop_blank
 from parley.operators.limits import sample_exact
@@ -214,8 +215,8 @@ def replace_synonyms(
     tokens = df.select(*keys, tokenize(F.col(column)).alias("_tokens"))
     numbered = F.transform(F.col("_tokens"), lambda w, i: F.struct(i.alias("i"), w.alias("w")))
     if stop_words:
-        kept = remove_stopwords(F.col("_tokens"), stop_words)
-        numbered = F.filter(numbered, lambda s: F.array_contains(kept, s["w"]))
+        listed = word_set(stop_words)
+        numbered = F.filter(numbered, lambda s: ~F.array_contains(listed, F.lower(s["w"])))
     shuffled = F.sort_array(
         F.transform(numbered, lambda s: F.struct(draw_key(f"{seed}-synonym", *[F.col(c) for c in keys], s["i"]).alias("k"), s["i"].alias("i"), s["w"].alias("w")))
     )
@@ -225,9 +226,28 @@ def replace_synonyms(
     found = drawn.select(*keys, F.col("s.i").alias("i"), F.lower("s.w").alias("word")).join(
         synonyms.select("word", "synonym"), "word"
     )
-    changes = found.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("i", "synonym"))).alias("_changes"))
-    text = F.array_join(
-        F.transform(tokenize(F.col(column)), lambda w, i: F.coalesce(F.try_element_at(F.col("_changes"), i), w)), " "
-    )
+    change = F.struct("i", F.lit(1).alias("p"), F.col("synonym").alias("w"))
+    changes = found.groupBy(*keys).agg(F.collect_list(change).alias("_changes"))
     joined = df.join(changes, keys, "left")
-    return joined.withColumn(column, F.when(F.col("_changes").isNull(), F.col(column)).otherwise(text)).select(*df.columns)
+    text = F.when(F.col("_changes").isNull(), F.col(column)).otherwise(
+        F.array_join(_replaced(tokenize(F.col(column)), F.col("_changes")), " ")
+    )
+    return joined.withColumn(column, text).select(*df.columns)
+
+
+def _replaced(tokens: Column, changes: Column) -> Column:
+    """Tokens with the words of ``changes`` (structs i, p, w with p = 1) at their positions.
+
+    Tokens and changes are sorted together by position, and of two entries for one position the
+    later one stays; looking up each position in the changes would be quadratic.
+    """
+    old = F.transform(tokens, lambda w, i: F.struct(i.alias("i"), F.lit(0).alias("p"), w.alias("w")))
+    both = F.sort_array(F.concat(old, changes))
+
+    def last_of_each(entries):
+        following = lambda k: F.get(entries, k + 1)["i"]
+        return F.transform(
+            F.filter(entries, lambda e, k: F.coalesce(following(k) != e["i"], F.lit(True))), lambda e: e["w"]
+        )
+
+    return let(both, last_of_each)
