@@ -15,7 +15,7 @@ from parley.catalog.dialog_queries import (
 )
 from parley.catalog.registry import ORACLES, query
 from parley.catalog.text_queries import TOKENS
-from parley.catalog.views import table
+from parley.catalog.views import table, text_table
 from parley.functions import metrics, variation
 from parley.plans.training import pairs_with_context
 from parley.operators import augmentation, encoding, evaluation, language
@@ -71,7 +71,7 @@ def prepare_training_frame(spark, sf_dir):
     day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 365).cast("int"))
     formats = ["yyyy-MM-dd", "dd.MM.yyyy HH:mm", "yyyy-MM-dd'T'HH:mm:ss", "MM/dd/yyyy HH:mm:ss"]
     mixed = F.coalesce(*[F.when(F.col("doc_id") % 4 == i, F.date_format(day, f)) for i, f in enumerate(formats)])
-    docs = table(spark, sf_dir, "documents").select(
+    docs = text_table(spark, sf_dir, "documents").select(
         "doc_id", F.concat(F.lit(" \n"), "text").alias("question"), F.concat(F.upper("lang"), F.lit(" ")).alias("context"), mixed.alias("timestamp")
     )
     return encoding.prepare_training_frame(docs).withColumn("timestamp", F.date_format("timestamp", STAMP))
@@ -158,7 +158,7 @@ _one_edit("pop_word", lambda q, *p: variation.pop_word(q, STOP, 42, *p), "pop")
     f"""SELECT doc_id, array_to_string({choose_sql('doc_id')}, '+') AS edits FROM documents""",
 )
 def choose_edits(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = text_table(spark, sf_dir, "documents")
     return docs.select("doc_id", F.array_join(variation.choose_edits(42, F.col("doc_id")), "+").alias("edits"))
 
 
@@ -220,7 +220,7 @@ def _reversed(texts):
 
 @query("apply_text_transform", "SELECT doc_id, text, reverse(text) AS reversed FROM documents")
 def apply_text_transform(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = text_table(spark, sf_dir, "documents").select("doc_id", "text")
     return augmentation.apply_text_transform(docs, "text", _reversed, "reversed")
 
 
@@ -289,7 +289,7 @@ vocab AS (SELECT token, count, row_number() OVER (ORDER BY count DESC, token) +
 
 @query("build_vocab", f"WITH {_VOCAB} SELECT token, count, id FROM vocab")
 def build_vocab(spark, sf_dir):
-    return encoding.build_vocab(table(spark, sf_dir, "documents"), ["text"])
+    return encoding.build_vocab(text_table(spark, sf_dir, "documents"), ["text"])
 
 
 def _encoded_sql(column: str, length: int) -> str:
@@ -309,7 +309,7 @@ def _padded_sql(ids: str, length: int) -> str:
     FROM documents d LEFT JOIN {_encoded_sql('text', 512)} a USING (doc_id) LEFT JOIN {_encoded_sql('source', 128)} b USING (doc_id)""",
 )
 def encode_fixed(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    docs = text_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     vocab = encoding.build_vocab(docs, ["text"], max_size=5000)
     out = encoding.encode_fixed(docs, ["doc_id"], vocab, {"text": ("input_ids", 512), "source": ("labels", 128)})
     return out.select("doc_id", *[F.array_join(F.col(c).cast("array<string>"), " ").alias(c) for c in ("input_ids", "labels")])

@@ -11,6 +11,7 @@ from parley.functions.dates import parse_mixed
 from parley.functions.prompts import labels_for, render_prompt
 from parley.functions.text import strip_text, tokenize
 from parley.plans.ranking import with_position
+from parley.plans.scratch import settle
 from parley.schema import NO_CONTEXT
 
 MAX_LENGTH = 512
@@ -57,7 +58,9 @@ def build_vocab(df: DataFrame, columns: Sequence[str], max_size: int | None = No
     """
     tokens = F.flatten(F.array(*[F.coalesce(tokenize(F.lower(F.col(c))), F.array().cast("array<string>")) for c in columns]))
     counts = df.select(F.explode(tokens).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("count"))
-    ranked = with_position(counts.withColumn("_rare", -F.col("count")), "_pos", ("_rare", "token"))
+    # Ranking reads its input several times (count, sample, sort); the texts are read once.
+    counts = settle(counts.withColumn("_rare", -F.col("count")), "token-counts")
+    ranked = with_position(counts, "_pos", ("_rare", "token"))
     vocab = ranked.select("token", "count", (F.col("_pos") + (FIRST_WORD_ID - 1)).alias("id"))
     return vocab.where(F.col("id") < FIRST_WORD_ID + max_size) if max_size else vocab
 
