@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from parley.llm.common import table
 from parley.llm.mixing import mix_sizes
+from parley.llm.near_dedup import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,5 +17,12 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sizes(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {"op2_mix_sources": op2_mix_sources}
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2)
+
+
+QUERIES: dict[str, Query] = {
+    "op2_mix_sources": op2_mix_sources,
+    "op3_near_dedup": op3_near_dedup,
+}
 ORACLES: dict[str, str] = {}
