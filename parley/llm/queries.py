@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from parley.llm.common import table
+from parley.llm.decontaminate import contamination
 from parley.llm.mixing import mix_sizes
 from parley.llm.near_dedup import near_duplicates
 
@@ -21,8 +22,13 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2)
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_mix_sources": op2_mix_sources,
     "op3_near_dedup": op3_near_dedup,
+    "op8_decontaminate": op8_decontaminate,
 }
 ORACLES: dict[str, str] = {}
