@@ -10,6 +10,7 @@ from parley.llm.common import table
 from parley.llm.decontaminate import contamination
 from parley.llm.mixing import mix_sizes
 from parley.llm.near_dedup import near_duplicates
+from parley.llm.pii import find_personal_data
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,9 +27,14 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_mix_sources": op2_mix_sources,
     "op3_near_dedup": op3_near_dedup,
     "op8_decontaminate": op8_decontaminate,
+    "op9_personal_data": op9_personal_data,
 }
 ORACLES: dict[str, str] = {}
