@@ -11,6 +11,7 @@ from parley.llm.decontaminate import contamination
 from parley.llm.mixing import mix_sizes
 from parley.llm.near_dedup import near_duplicates
 from parley.llm.pii import find_personal_data
+from parley.llm.warc import archive_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +24,10 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2)
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_pages(table(spark, sf_dir, "pages")).drop("record_id")
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -31,10 +36,23 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(table(spark, sf_dir, "documents"))
 
 
+OP7_SQL = """
+WITH hashed AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+grouped AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last_id FROM hashed)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> last_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> last_id THEN last_id END AS refers_to
+FROM grouped"""
+
+
 QUERIES: dict[str, Query] = {
     "op2_mix_sources": op2_mix_sources,
     "op3_near_dedup": op3_near_dedup,
+    "op7_warc": op7_warc,
     "op8_decontaminate": op8_decontaminate,
     "op9_personal_data": op9_personal_data,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_warc": OP7_SQL,
+}
