@@ -11,6 +11,7 @@ from parley.llm.decontaminate import contamination
 from parley.llm.mixing import mix_sizes
 from parley.llm.near_dedup import near_duplicates
 from parley.llm.pii import find_personal_data
+from parley.llm.quality import score_quality, train_quality
 from parley.llm.warc import archive_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +25,11 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2)
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_quality(docs, train_quality(docs, table(spark, sf_dir, "labels")))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_pages(table(spark, sf_dir, "pages")).drop("record_id")
 
@@ -49,6 +55,7 @@ FROM grouped"""
 QUERIES: dict[str, Query] = {
     "op2_mix_sources": op2_mix_sources,
     "op3_near_dedup": op3_near_dedup,
+    "op4_quality": op4_quality,
     "op7_warc": op7_warc,
     "op8_decontaminate": op8_decontaminate,
     "op9_personal_data": op9_personal_data,

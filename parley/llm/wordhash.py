@@ -92,3 +92,21 @@ def batches(texts: list[bytes | None], separators: bytes = WHITESPACE) -> Iterat
             ends = np.cumsum([len(p) + 1 for p in part])
             yield first, hashes, np.concatenate([[0], np.searchsorted(starts, ends)])
         first = last
+
+
+def word_table(texts: list[bytes], separators: bytes, classes: np.ndarray):
+    """(hashes, class bits, lengths, class of the last byte, bounds) of all words, case kept out of the hash."""
+    joined = b" ".join(texts)
+    data = np.frombuffer(joined, np.uint8)
+    is_word = np.ones(256, bool)
+    is_word[list(separators)] = False
+    hashes, starts = _segment(np.frombuffer(joined.lower(), np.uint8), is_word)
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    bounds = np.concatenate([[0], np.searchsorted(starts, ends)])
+    where = np.flatnonzero(is_word[data])
+    first = np.flatnonzero(np.diff(where, prepend=-2) != 1)
+    lengths = np.diff(first, append=len(where))
+    if not len(first):
+        return hashes, np.empty(0, np.uint8), lengths, np.empty(0, np.uint8), bounds
+    kinds = classes[data[where]]
+    return hashes, np.bitwise_or.reduceat(kinds, first), lengths, kinds[first + lengths - 1], bounds
