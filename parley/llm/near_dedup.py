@@ -7,10 +7,10 @@
 3. Candidates: in each band bucket the smallest id is the hub, all others meet the hub.  That is one
    pair per member and bucket, however large the bucket.  The bit counts of two signatures give the
    similarity, corrected for chance collisions; pairs far below the threshold leave.
-4. The best hub of each document is confirmed on the full sets; then the others, if they still lie
-   in another component.  What is left are buckets that hold several components: there, members of
-   different components meet, again signature first.  So no link between two components is lost,
-   and pairs inside a component are never looked at.
+4. Documents that may be similar, through hubs or, in buckets that still hold several families,
+   directly, form families.  Only their texts are read again.  Families are compared on full sets
+   in pairs of blocks of about ``BLOCK_SETS`` documents; a pair of blocks gives a spanning forest of
+   its links, never all pairs, and pairs of blocks that are known to be connected are left out.
 
 With bands of four minima, 32 of them, a pair at similarity 0.8 shares no bucket with probability
 (1 - 0.8 ** 4) ** 32 = 5e-8; one at the threshold falls below ``MARGIN`` with less than 1e-8.
@@ -35,6 +35,11 @@ BANDS, ROWS = 32, 4
 BITS = 2
 #: Estimates below the threshold by more than this (six standard deviations) are no candidates.
 MARGIN = 0.25
+#: Sets, and shingles of them, that a block of a family holds about.
+BLOCK_SETS, BLOCK_SHINGLES = 200, 400_000
+MATRIX_COLUMNS = 8_192
+#: So many ids of documents in families may be broadcast (16 bytes each); beyond, they are joined.
+BROADCAST_IDS = 2_000_000
 
 _MULTIPLIERS = np.random.Generator(np.random.PCG64(11)).integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -129,6 +134,71 @@ def _confirm(percent: int):
     return run
 
 
+def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all pairwise intersections, by products of 0/1 matrices over the shared shingles."""
+    values = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], owner[order]
+    new = np.concatenate([[True], values[1:] != values[:-1]])
+    number = np.cumsum(new) - 1
+    shared = np.bincount(number) > 1
+    keep = shared[number]
+    number, owner = (np.cumsum(shared) - 1)[number[keep]], owner[keep]
+    out = np.zeros((len(sets), len(sets)), np.float32)
+    for at in range(0, int(shared.sum()), MATRIX_COLUMNS):
+        lo, hi = np.searchsorted(number, [at, at + MATRIX_COLUMNS])
+        part = np.zeros((len(sets), min(MATRIX_COLUMNS, int(shared.sum()) - at)), np.float32)
+        part[owner[lo:hi], number[lo:hi] - at] = 1
+        out += part @ part.T
+    return out
+
+
+def _forest(nodes: list[int], sides: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links among the sets of one pair of blocks, reduced to a spanning forest."""
+    both, sizes = _overlaps(sets), np.array([len(s) for s in sets])
+    side = np.array(sides)
+    linked = 100 * both >= percent * (sizes[:, None] + sizes[None, :] - both)
+    linked &= (side[:, None] != side[None, :]) | (side[:, None] == 2)
+    left, right = np.nonzero(np.triu(linked, 1))
+    root = list(range(len(nodes)))
+    out = []
+    for i, j in zip(left.tolist(), right.tolist()):
+        while root[i] != i:
+            root[i] = i = root[root[i]]
+        while root[j] != j:
+            root[j] = j = root[root[j]]
+        if i != j:
+            root[j] = i
+            out.append((nodes[i], nodes[j]))
+    return out
+
+
+def _compare(percent: int):
+    """Links of the tasks in a partition; rows (task, side, node, members) come sorted by task."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, held, links = None, ([], [], []), []
+        for part in parts:
+            columns = (part.column(c).to_pylist() for c in ("task", "side", "node"))
+            for key, side, node, members in zip(*columns, part.column("members")):
+                if key != task:
+                    links += _forest(held[1], held[0], held[2], percent) if len(held[1]) > 1 else []
+                    task, held = key, ([], [], [])
+                held[0].append(side)
+                held[1].append(node)
+                held[2].append(np.frombuffer(members.as_py(), np.uint64))
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links)], schema=schema)
+                links = []
+        links += _forest(held[1], held[0], held[2], percent) if len(held[1]) > 1 else []
+        if links:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links)], schema=schema)
+
+    return run
+
+
 def similarity(x: Column, y: Column) -> Column:
     """Similarity of two sets from their packed signatures, corrected for equal low bits by chance."""
     chance, lanes = 1 / 2**BITS, BANDS * ROWS
@@ -140,6 +210,72 @@ def similarity(x: Column, y: Column) -> Column:
     return ((1 - different / lanes) - chance) / (1 - chance)
 
 
+def _families(pairs: DataFrame, crowded: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """(node, component): families such that all pairs of a bucket that may be similar share one."""
+    family = connected_components(pairs)
+    labelled = crowded.join(family, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    labelled = settle(labelled.select("key", "node", "component"), "labelled")
+    mixed = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
+    across = labelled.join(mixed.select("key"), "key").join(nodes.select("node", "n_shingles", "sig"), "node")
+    across = settle(across, "across")
+    left, right = (across.select("key", F.col("node").alias(end), F.col("component").alias(f"c{end}"),
+                                 F.col("n_shingles").alias(f"n{end}"), F.col("sig").alias(f"s{end}")) for end in "ab")
+    fits = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+    near = similarity(F.col("sa"), F.col("sb")) >= percent / 100 - MARGIN
+    more = left.join(right, (left.key == right.key) & (F.col("ca") < F.col("cb")) & fits & near)
+    more = settle(more.select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct(), "more")
+    if more.isEmpty():
+        return family
+    # Families that meet become one.
+    return connected_components(pairs.unionByName(more))
+
+
+def _exact_links(texts: DataFrame, nodes: DataFrame, family: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (a, b) on full sets; enough of them to connect what is connected.
+
+    Members of a family are compared in pairs of blocks.  In large families the best hub of every
+    member is confirmed first; a component that comes out of it fills blocks of its own, and pairs
+    of blocks of one component are left out.
+    """
+    ids = settle(family.select("node").distinct(), "wanted")
+    few = ids.count() <= BROADCAST_IDS
+    wanted = texts.withColumnRenamed("doc_id", "node").join(F.broadcast(ids) if few else ids, "node", "left_semi")
+    sets = settle(wanted.mapInArrow(_set_bytes(words), "node bigint, members binary"), "sets")
+
+    placed = settle(nodes.select("node", "n_shingles").join(family, "node").withColumnRenamed("component", "family"), "families")
+    large = placed.groupBy("family").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BLOCK_SETS).select("family")
+    inside = placed.join(large, "family", "left_semi").select("node", "family")
+    best = pairs.join(inside.withColumnRenamed("node", "b"), "b").groupBy("b").agg(F.max_by("a", F.struct("estimate", "a")).alias("a"))
+    both = best.join(sets.select(F.col("node").alias("a"), F.col("members").alias("x")), "a")
+    both = both.join(sets.select(F.col("node").alias("b"), F.col("members").alias("y")), "b").select("a", "b", "x", "y")
+    first = settle(both.mapInArrow(_confirm(percent), "a bigint, b bigint"), "links")
+    if not first.isEmpty():
+        placed = placed.join(connected_components(first), "node", "left")
+    else:
+        placed = placed.withColumn("component", F.lit(None).cast("bigint"))
+    own = placed.where("component IS NOT NULL").groupBy("component").agg(F.count(F.lit(1)).alias("_n"))
+    placed = placed.join(own.where(F.col("_n") > BLOCK_SETS // 2), "component", "left")
+    # The pool of a node: its component if that is large, else the rest of its family (null).
+    placed = settle(placed.select("node", "n_shingles", "family", F.when(F.col("_n").isNotNull(), F.col("component")).alias("pool")), "pools")
+    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_SETS, F.sum("n_shingles") / BLOCK_SHINGLES)).cast("bigint")
+    pools = settle(placed.groupBy("family", "pool").agg(blocks.alias("blocks")), "blocks")
+    numbered = pools.select("family", "pool", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("k"))
+    left, right = (numbered.select(F.col("family").alias(f"f{e}"), F.col("pool").alias(f"p{e}"), F.col("k").alias(f"k{e}")) for e in "ab")
+    ordered = F.struct("pa", "ka") <= F.struct("pb", "kb")
+    same = F.col("pa").eqNullSafe(F.col("pb")) & F.col("pa").isNotNull()
+    meet = left.join(right, F.col("fa") == F.col("fb")).where(ordered & ~same)
+    meet = meet.withColumn("task", F.xxhash64("fa", "pa", "ka", "pb", "kb"))
+    twin = F.col("pa").eqNullSafe(F.col("pb")) & (F.col("ka") == F.col("kb"))
+    seats = meet.select("task", F.col("fa").alias("family"), F.col("pa").alias("pool"), F.col("ka").alias("k"), F.when(twin, 2).otherwise(0).alias("side"))
+    seats = seats.unionByName(meet.where(~twin).select("task", F.col("fa").alias("family"), F.col("pb").alias("pool"), F.col("kb").alias("k"), F.lit(1).alias("side")))
+    located = placed.join(pools.withColumnsRenamed({"family": "_f", "pool": "_p"}), (F.col("family") == F.col("_f")) & F.col("pool").eqNullSafe(F.col("_p")))
+    located = located.select("node", F.col("family").alias("_f"), F.col("pool").alias("_p"), F.pmod(F.xxhash64("node"), "blocks").alias("_k"))
+    dealt = located.join(seats, (F.col("family") == F.col("_f")) & F.col("pool").eqNullSafe(F.col("_p")) & (F.col("k") == F.col("_k")))
+    rows = dealt.select("task", "side", "node").join(sets, "node").select("task", "side", "node", "members")
+    rows = rows.repartition("task").sortWithinPartitions("task", "node")
+    return first.unionByName(settle(rows.mapInArrow(_compare(percent), "a bigint, b bigint"), "links"))
+
+
 def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text).
 
@@ -173,49 +309,10 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
         return with_b.where(fits).withColumn("estimate", similarity(F.col("sa"), F.col("sb"))).where(
             F.col("estimate") >= percent / 100 - MARGIN).select("a", "b", "estimate")
 
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        """Those (a, b) whose full sets are similar enough."""
-        pairs = settle(pairs.select("a", "b"), "pairs")
-        ids = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        wanted = texts.withColumnRenamed("doc_id", "node").join(ids, "node", "left_semi")
-        sets = settle(wanted.mapInArrow(_set_bytes(shingle_words), "node bigint, members binary"), "sets")
-        both = pairs.join(sets.select(F.col("node").alias("a"), F.col("members").alias("x")), "a")
-        both = both.join(sets.select(F.col("node").alias("b"), F.col("members").alias("y")), "b")
-        return settle(both.mapInArrow(_confirm(percent), "a bigint, b bigint"), "links")
-
-    def apart(pairs: DataFrame, component: DataFrame) -> DataFrame:
-        """Those pairs whose ends lie in different components."""
-        for end in ("a", "b"):
-            own = component.select(F.col("node").alias(end), F.col("component").alias(f"c{end}"))
-            pairs = pairs.join(own, end, "left").withColumn(f"c{end}", F.coalesce(f"c{end}", end))
-        return pairs.where("ca <> cb").drop("ca", "cb")
-
     met = crowded.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     pairs = settle(estimated(met), "candidates")
-    best = pairs.groupBy("b").agg(F.max_by("a", F.struct("estimate", "a")).alias("a"))
-    links = confirmed(best)
-    # Members of the same bucket that met neither directly nor through their hub so far.
-    component = connected_components(links)
-    tried = best.select("a", "b")
-    rest = apart(pairs.join(tried, ["a", "b"], "left_anti"), component)
-    if not (rest := settle(rest, "rest")).isEmpty():
-        links = settle(links.unionByName(confirmed(rest)), "links")
-        component = connected_components(links)
-    labelled = crowded.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    labelled = settle(labelled.select("key", "node", "component"), "labelled")
-    mixed = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    across = labelled.join(mixed.select("key"), "key").join(nodes.select("node", "n_shingles", "sig"), "node")
-    across = settle(across, "across")
-    left, right = (across.select("key", F.col("node").alias(end), F.col("component").alias(f"c{end}"),
-                                 F.col("n_shingles").alias(f"n{end}"), F.col("sig").alias(f"s{end}")) for end in "ab")
-    fits = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
-    near = similarity(F.col("sa"), F.col("sb")) >= percent / 100 - MARGIN
-    more = left.join(right, "key").where("a < b AND ca <> cb").where(fits & near).select("a", "b").distinct()
-    known = pairs.select("a", "b")
-    more = settle(more.join(known, ["a", "b"], "left_anti"), "more")
-    if not more.isEmpty():
-        links = settle(links.unionByName(confirmed(more)), "links")
-        component = connected_components(links)
+    family = _families(pairs.select("a", "b"), crowded, nodes, percent)
+    component = connected_components(_exact_links(texts, nodes, family, pairs, shingle_words, percent))
 
     found = member.join(component, "node", "left")
     found = found.select("doc_id", "node", F.coalesce("component", "node").alias("c"))
