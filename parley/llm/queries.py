@@ -12,6 +12,7 @@ from parley.llm.mixing import mix_sizes
 from parley.llm.near_dedup import near_duplicates
 from parley.llm.pii import find_personal_data
 from parley.llm.quality import score_quality, train_quality
+from parley.llm.toxicity import score_toxicity, train_toxicity
 from parley.llm.warc import archive_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +43,11 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_toxicity(docs, train_toxicity(docs, table(spark, sf_dir, "labels")))
+
+
 OP7_SQL = """
 WITH hashed AS (
   SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
@@ -59,6 +65,7 @@ QUERIES: dict[str, Query] = {
     "op7_warc": op7_warc,
     "op8_decontaminate": op8_decontaminate,
     "op9_personal_data": op9_personal_data,
+    "op10_toxicity": op10_toxicity,
 }
 ORACLES: dict[str, str] = {
     "op7_warc": OP7_SQL,

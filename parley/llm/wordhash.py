@@ -110,3 +110,25 @@ def word_table(texts: list[bytes], separators: bytes, classes: np.ndarray):
         return hashes, np.empty(0, np.uint8), lengths, np.empty(0, np.uint8), bounds
     kinds = classes[data[where]]
     return hashes, np.bitwise_or.reduceat(kinds, first), lengths, kinds[first + lengths - 1], bounds
+
+
+def prefix_hashes(texts: list[bytes], separators: bytes, prefixes: tuple[int, ...]):
+    """([hashes of words, then of their first n bytes for each n], bounds)."""
+    joined = b" ".join(texts).lower()
+    data = np.frombuffer(joined, np.uint8)
+    is_word = np.ones(256, bool)
+    is_word[list(separators)] = False
+    where = np.flatnonzero(is_word[data])
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    if not len(where):
+        return [np.empty(0, np.uint64)] * (1 + len(prefixes)), np.zeros(len(texts) + 1, np.int64)
+    first = np.flatnonzero(np.diff(where, prepend=-2) != 1)
+    lengths = np.diff(first, append=len(where))
+    bounds = np.concatenate([[0], np.searchsorted(where[first], ends)])
+    place = np.arange(len(where)) - np.repeat(first, lengths)
+    values = _BYTES[data[where]] * _powers(int(lengths.max()))[place]
+    out = [mix(np.add.reduceat(values, first) + lengths.astype(np.uint64))]
+    for n in prefixes:
+        part = np.add.reduceat(np.where(place < n, values, np.uint64(0)), first)
+        out.append(mix(part + np.uint64(1 << 40) + np.uint64(n)))
+    return out, bounds
