@@ -88,29 +88,29 @@ class ArchiveError(ValueError):
     """An archive whose headers or lengths do not fit."""
 
 
-def _line(data: memoryview, at: int, limit: int = 1 << 20) -> tuple[bytes, int]:
-    found = bytes(data[at : at + limit]).partition(b"\n")
-    if not found[1]:
+def _line(content: bytes, at: int) -> tuple[bytes, int]:
+    end = content.find(b"\n", at)
+    if end < 0:
         raise ArchiveError(f"no header line at byte {at}")
-    return found[0].rstrip(b"\r"), at + len(found[0]) + 1
+    return content[at:end].rstrip(b"\r"), end + 1
 
 
 def read_arc(content: bytes) -> Iterator[tuple[str, str, str, str, bytes]]:
     """(url, ip, date, mime, block) of every record of an ARC file, its version block left out."""
-    data, at, fields = memoryview(content), 0, 0
-    while at < len(data):
-        if data[at] == 10:  # the newline that ends a record
+    at, fields = 0, 0
+    while at < len(content):
+        if content[at] == 10:  # the newline that ends a record
             at += 1
             continue
-        line, at = _line(data, at)
+        line, at = _line(content, at)
         words = line.split(b" ")
         try:
             length = int(words[-1])
         except ValueError as e:
             raise ArchiveError(f"no length in ARC header {line[:80]!r}") from e
-        if at + length > len(data):
+        if at + length > len(content):
             raise ArchiveError(f"record of {length} bytes runs past the end of the file")
-        block = bytes(data[at : at + length])
+        block = content[at : at + length]
         at += length
         if not fields:
             if not line.startswith(b"filedesc://"):
@@ -168,25 +168,25 @@ def warc_record(url: str, ip: str, date: str, page_id: int | None, payload: byte
 
 def read_warc(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """(header fields, block) of every record of a WARC file; names in lower case."""
-    data, at = memoryview(content), 0
-    while at < len(data):
-        if data[at] in (10, 13):
+    at = 0
+    while at < len(content):
+        if content[at] in (10, 13):
             at += 1
             continue
-        line, at = _line(data, at)
+        line, at = _line(content, at)
         if not line.startswith(b"WARC/"):
             raise ArchiveError(f"no WARC record at byte {at}")
         fields: dict[str, str] = {}
         while True:
-            line, at = _line(data, at)
+            line, at = _line(content, at)
             if not line:
                 break
             name, _, value = line.partition(b":")
             fields[name.decode().strip().lower()] = value.decode().strip()
         length = int(fields.get("content-length", -1))
-        if length < 0 or at + length > len(data):
+        if length < 0 or at + length > len(content):
             raise ArchiveError("a WARC record's length does not fit the file")
-        yield fields, bytes(data[at : at + length])
+        yield fields, content[at : at + length]
         at += length
 
 
