@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from parley.llm.common import table
 from parley.llm.decontaminate import contamination
+from parley.llm.lm import score_texts
 from parley.llm.mixing import mix_sizes
 from parley.llm.near_dedup import near_duplicates
 from parley.llm.pii import find_personal_data
@@ -18,6 +19,10 @@ from parley.llm.warc import archive_pages
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"))
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sizes(table(spark, sf_dir, "documents"))
 
@@ -59,6 +64,7 @@ FROM grouped"""
 
 
 QUERIES: dict[str, Query] = {
+    "op1_lm_score": op1_lm_score,
     "op2_mix_sources": op2_mix_sources,
     "op3_near_dedup": op3_near_dedup,
     "op4_quality": op4_quality,
