@@ -13,6 +13,7 @@ from parley.llm.mixing import mix_sizes
 from parley.llm.near_dedup import near_duplicates
 from parley.llm.pii import find_personal_data
 from parley.llm.quality import score_quality, train_quality
+from parley.llm.topk import top_k
 from parley.llm.toxicity import score_toxicity, train_toxicity
 from parley.llm.warc import archive_pages
 
@@ -36,6 +37,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(docs, train_quality(docs, table(spark, sf_dir, "labels")))
 
 
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_pages(table(spark, sf_dir, "pages")).drop("record_id")
 
@@ -68,11 +73,26 @@ QUERIES: dict[str, Query] = {
     "op2_mix_sources": op2_mix_sources,
     "op3_near_dedup": op3_near_dedup,
     "op4_quality": op4_quality,
+    "op6_topk": op6_topk,
     "op7_warc": op7_warc,
     "op8_decontaminate": op8_decontaminate,
     "op9_personal_data": op9_personal_data,
     "op10_toxicity": op10_toxicity,
 }
+OP6_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON len(a.q) = len(b.q) AND a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scored)
+SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <= 10"""
+
+
 ORACLES: dict[str, str] = {
+    "op6_topk": OP6_SQL,
     "op7_warc": OP7_SQL,
 }
