@@ -321,3 +321,14 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
     out = features.select("doc_id", "n_shingles", "f1", "f2").join(by_doc, "doc_id", "left")
     component_id = F.coalesce("component_id", "doc_id")
     return out.select("doc_id", "n_shingles", component_id.alias("component_id"), F.col("doc_id").eqNullSafe(component_id).alias("kept"))
+
+
+def keep_representatives(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` that are the smallest doc_id of their group; all columns.
+
+    Rows without id stay.
+    """
+    found = settle(near_duplicates(docs, shingle_words, percent).where(~F.col("kept")).select(
+        F.col("doc_id").alias("_gone")).distinct(), "copies")
+    few = found.count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(found) if few else found, F.col("doc_id").cast("bigint") == F.col("_gone"), "left_anti")

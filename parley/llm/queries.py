@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from parley.llm.common import table
 from parley.llm.decontaminate import contamination
+from parley.llm.line_dedup import line_report
 from parley.llm.lm import score_texts
 from parley.llm.mixing import mix_sizes
 from parley.llm.near_dedup import near_duplicates
@@ -37,6 +38,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(docs, train_quality(docs, table(spark, sf_dir, "labels")))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(table(spark, sf_dir, "documents"))
+
+
 def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"))
 
@@ -73,6 +78,7 @@ QUERIES: dict[str, Query] = {
     "op2_mix_sources": op2_mix_sources,
     "op3_near_dedup": op3_near_dedup,
     "op4_quality": op4_quality,
+    "op5_line_dedup": op5_line_dedup,
     "op6_topk": op6_topk,
     "op7_warc": op7_warc,
     "op8_decontaminate": op8_decontaminate,
