@@ -56,10 +56,10 @@ def shingle_sets(texts: list[bytes | None], words: int) -> Iterator[tuple[int, l
             if hi - lo >= words:
                 sets.append(np.unique(whole[lo : hi - words + 1]))
             elif hi > lo:
-                short = np.uint64(hi - lo)
+                short = np.array([hi - lo], np.uint64)
                 for k in range(lo, hi):
-                    short = mix(np.array([short + hashes[k]]))[0]
-                sets.append(np.array([short]))
+                    short = mix(short + hashes[k])
+                sets.append(short)
             else:
                 sets.append(np.empty(0, np.uint64))
         yield first, sets

@@ -85,6 +85,46 @@ QUERIES: dict[str, Query] = {
     "op9_personal_data": op9_personal_data,
     "op10_toxicity": op10_toxicity,
 }
+OP3_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, list_slice(w, i, i + 1) AS shingle
+  FROM w, unnest(range(1, greatest(len(w), 2))) t(i) WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b USING (shingle) WHERE a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * k >= 80 * (x.n + y.n - k)),
+edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(a, b) AS (SELECT a, b FROM edges UNION SELECT r.a, e.b FROM reach r JOIN edges e ON e.a = r.b),
+lowest AS (SELECT a AS doc_id, min(b) AS low FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(low, doc_id)) AS component_id,
+       doc_id = least(doc_id, coalesce(low, doc_id)) AS kept
+FROM w LEFT JOIN sizes USING (doc_id) LEFT JOIN lowest USING (doc_id)"""
+
+OP8_SQL = r"""
+WITH dw AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+iw AS (
+  SELECT CAST(item_id AS VARCHAR) AS item_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS n, list_slice(w, i, i + least(10, len(w)) - 1) AS g
+  FROM iw, unnest(range(1, len(w) - least(10, len(w)) + 2)) t(i) WHERE len(w) > 0),
+dg AS (
+  SELECT rid, i, n, list_slice(w, i, i + n - 1) AS g
+  FROM dw, (SELECT DISTINCT n FROM win) lens, unnest(range(1, greatest(len(w) - n + 2, 1))) t(i)),
+hit AS (SELECT DISTINCT rid, i, dg.n, item_id FROM dg JOIN win ON dg.n = win.n AND dg.g = win.g),
+cover AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS p FROM hit) GROUP BY rid),
+items AS (SELECT rid, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS ids FROM hit GROUP BY rid)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN cover USING (rid) LEFT JOIN items USING (rid)"""
+
 OP6_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS q
@@ -99,6 +139,8 @@ SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <
 
 
 ORACLES: dict[str, str] = {
+    "op3_near_dedup": OP3_SQL,
+    "op8_decontaminate": OP8_SQL,
     "op6_topk": OP6_SQL,
     "op7_warc": OP7_SQL,
 }
