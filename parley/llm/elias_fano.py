@@ -31,7 +31,7 @@ class Monotone:
         bits = np.zeros(n + int(high[-1] if n else 0) + 2, np.uint8)
         bits[high + np.arange(n)] = 1
         width = -(-low_bits // 8)
-        lows = values & ((np.uint64(1) << shift) - np.uint64(1))
+        lows = values & np.uint64((1 << low_bits) - 1)
         packed = lows.astype("<u8").view(np.uint8).reshape(n, 8)[:, :width] if n else np.empty((0, width), np.uint8)
         return cls(low_bits, np.ascontiguousarray(packed), np.packbits(bits), n)
 
@@ -63,7 +63,7 @@ class Monotone:
         at = np.maximum(at, lo)
         if hi is not None:
             end = np.minimum(end, hi)
-        low = values & ((np.uint64(1) << shift) - np.uint64(1))
+        low = values & np.uint64((1 << self.low_bits) - 1)
         last = end.copy()
         open_ = np.flatnonzero(at < end)
         while len(open_):

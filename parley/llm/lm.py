@@ -37,13 +37,13 @@ from parley.plans.scratch import settle
 FOLDS, HELD_OUT = 10, 0
 BASE_SMOOTHING = 0.1
 MU = 1000.0
-SHARD_TOKENS = 2_000_000
+SHARD_TOKENS = 1_000_000
 #: Words with a code of two bytes.
 CODES = 65_535
 #: Tokens of a batch of documents.
-BATCH_TOKENS = 1_500_000
+BATCH_TOKENS = 1_000_000
 #: Distinct words that a partition counts before it hands them on.
-FLUSH = 2_000_000
+FLUSH = 1_000_000
 
 END, START = np.uint64(1), np.uint64(2)
 
@@ -204,19 +204,40 @@ def build_trie(words: np.ndarray, before: np.ndarray, counts_of_hot: dict[int, i
     return Trie.build(kinds, counts, contexts, word_of, context_of, np.log10(n + MU * share[word_of]))
 
 
+def _narrow(values: np.ndarray) -> np.ndarray:
+    """Non-negative integers in as few bytes as hold them."""
+    most = int(values.max()) if len(values) else 0
+    return values.astype(np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.uint32)
+
+
+def _pack_sums(docs: np.ndarray, base: np.ndarray, score: np.ndarray, known: np.ndarray) -> bytes:
+    parts = [base, score.astype(np.float32), _narrow(docs), _narrow(known)]
+    return np.array([len(docs), parts[2].itemsize, parts[3].itemsize], np.int64).tobytes() + b"".join(p.tobytes() for p in parts)
+
+
+def _unpack_sums(data: bytes) -> list[np.ndarray]:
+    n, *widths = np.frombuffer(data, np.int64, 3).tolist()
+    out, at = [], 24
+    for dtype in ("f8", "f4", *(f"u{w}" for w in widths)):
+        out.append(np.frombuffer(data, dtype, n, at))
+        at += out[-1].nbytes
+    return out
+
+
 def _answer(stats: dict):
     """Build a shard's trie, then look its occurrences up: sums per document, batch by batch."""
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         passed = frame.shard < 0
-        rows = frame[~passed]
+        rows = frame[~passed].copy(deep=False)
         out = [(b, n, "docs", d) for b, n, d in zip(frame.batch[passed], frame.docs[passed], frame.data[passed])]
         if len(rows):
             unpacked = [_unpack(d, stats["common"]) for d in rows.data]
             words, before, docs = (np.concatenate(x) for x in zip(*unpacked))
             cuts = np.cumsum([0] + [len(u[0]) for u in unpacked])
-            del unpacked
+            del unpacked, rows["data"]
             train = (docs & 1).astype(bool)
             trie = mapped(build_trie(words[train], before[train], stats["hot_counts"], stats).to_bytes())
+            del train
             kinds, word_of = np.unique(words, return_inverse=True)
             at, known = trie.find_words(kinds)
             counts = np.zeros(len(kinds), np.int64)
@@ -237,13 +258,12 @@ def _answer(stats: dict):
             following = np.where(kinds == END, 0.0, np.log10(counts + MU))
             score = mass - following[word_of]
             base = np.log10(counts + BASE_SMOOTHING)[word_of]
+            is_known = (counts > 0)[word_of]
             for i, (batch, size) in enumerate(zip(rows.batch, rows.docs)):
                 part = slice(cuts[i], cuts[i + 1])
-                doc = docs[part] >> 1
-                sums = np.stack([np.bincount(doc, w[part], minlength=size) for w in (base, score, (counts > 0)[word_of].astype(float))])
-                some = np.flatnonzero(np.bincount(doc, minlength=size))
-                head = np.array([len(some)], np.int64).tobytes()
-                out.append((batch, size, "sums", head + some.astype(np.uint32).tobytes() + sums[:2, some].tobytes() + sums[2, some].astype(np.uint32).tobytes()))
+                some, doc = np.unique(docs[part] >> 1, return_inverse=True)
+                sums = [np.bincount(doc, w[part], minlength=len(some)) for w in (base, score, is_known)]
+                out.append((batch, size, "sums", _pack_sums(some, *sums)))
         return pd.DataFrame(out, columns=["batch", "docs", "kind", "data"])
 
     return run
@@ -255,12 +275,10 @@ def _add(stats: dict):
         size = int(frame.docs.iloc[0])
         base, score, known = np.zeros(size), np.zeros(size), np.zeros(size, np.int64)
         for data in frame.data[frame.kind == "sums"]:
-            n = int(np.frombuffer(data, np.int64, 1)[0])
-            at = np.frombuffer(data, np.uint32, n, 8)
-            sums = np.frombuffer(data[8 + 4 * n :], np.float64, 2 * n).reshape(2, n)
-            base[at] += sums[0]
-            score[at] += sums[1]
-            known[at] += np.frombuffer(data, np.uint32, n, 8 + 20 * n)
+            part_base, part_score, at, part_known = _unpack_sums(data)
+            base[at] += part_base
+            score[at] += part_score
+            known[at] += part_known
         with pa.ipc.open_stream(frame.data[frame.kind == "docs"].iloc[0]) as reader:
             docs = reader.read_pandas()
         total = np.log10(stats["n"] + BASE_SMOOTHING * (stats["v"] + 1))
