@@ -10,6 +10,7 @@ from parley.catalog.views import CHAT_CONV_SQL, CHAT_DAYS_SQL, CHAT_EVENTS_SQL,
 from parley.functions.text import normalize_text
 from parley.operators import context, dedup, filters, limits, profile, turns
 from parley.plans.ranking import with_position
+from parley.plans.scratch import settle
 from parley.plans.sequence import by_dialog
 from parley.plans.training import build_training_table, pairs_with_context
 
@@ -304,9 +305,10 @@ def filter_entities(spark, sf_dir):
     SELECT DialogID, seq, row_number() OVER (ORDER BY first, DialogID, Date, seq) AS place FROM f""",
 )
 def order_dialogs_by_start(spark, sf_dir):
-    started = context.with_dialog_start(chat_events(spark, sf_dir))
-    placed = with_position(started, "place", ("Date_first", "DialogID", "Date", "seq"))
-    return placed.select("DialogID", "seq", "place")
+    ordered = context.order_dialogs_by_start(chat_events(spark, sf_dir))
+    # Ids that grow with the order the operator put the rows in, written once.
+    numbered = settle(ordered.select("DialogID", "seq", F.monotonically_increasing_id().alias("_nth")), "ordered")
+    return with_position(numbered, "place", ("_nth",)).select("DialogID", "seq", "place")
 
 
 @query(

@@ -8,6 +8,7 @@ from parley.catalog.dialog_queries import CONV_PAIRS_SQL, STAMP, STAMP_SQL, _con
 from parley.catalog.registry import query
 from parley.catalog.views import CHAT_CONV_SQL, CHAT_EVENTS_SQL, chat_conv, chat_events, table
 from parley.functions.prompts import labels_for
+from parley.operators import augmentation
 from parley.operators.turns import coalesce_bursts
 from parley.plans.scratch import scratch_path, settle
 from parley.sources import collect, discord, files, instagram, telegram
@@ -81,14 +82,26 @@ def _burst_sql(named: str, fold: str) -> str:
         array_to_string(list_concat(list_reverse(list_transform(m[2:], lambda x: {fold})), [m[1]]), ' ') || CASE WHEN m[1][-1] IN ('.', '!', '?') THEN '' ELSE repeat(',', len(m) - 1) END AS Message FROM merged)"""
 
 
+@query("scan_telegram_pattern", f"{_TELEGRAM_SQL} SELECT DialogID, seq, Message FROM named")
+def scan_telegram_pattern(spark, sf_dir):
+    # Other documents beside the export, of other names: they neither count nor break the scan.
+    path = _telegram_export(spark, sf_dir)
+    spark.range(3).select(F.lit("no json").alias("value")).write.csv(f"{path}/doc=00000000/settings")
+    rows = telegram.scan_telegram(spark, path, min_messages=3, file_pattern=r"part-.*\.txt$")
+    return rows.select("DialogID", "seq", "Message")
+
+
 @query("read_telegram", f"{_TELEGRAM_SQL}, {_burst_sql('named', 'lower(x[1]) || x[2:]')} SELECT * FROM bursts")
 def read_telegram(spark, sf_dir):
     rows = telegram.read_telegram(spark, _telegram_export(spark, sf_dir), me="1", min_messages=3)
     return rows.withColumn("Date", F.date_format("Date", STAMP)).select("DialogID", "Sender", "seq", "Sent_by_me", "Date", "Message")
 
 
-def _instagram_export(spark, sf_dir):
-    """One document per dialog, texts garbled as the messenger does it, system texts missing."""
+def _instagram_export(spark, sf_dir, inbox_only=False):
+    """One document per dialog, texts garbled as the messenger does it, system texts missing.
+
+    ``inbox_only``: every third dialog in a folder of that name, the others in one before it.
+    """
     garbled = F.decode(F.encode(F.col("Message"), "UTF-8"), "ISO-8859-1")
     fields = [
         F.col("Sender").alias("sender_name"),
@@ -97,7 +110,12 @@ def _instagram_export(spark, sf_dir):
     ]
     documents = chat_conv(spark, sf_dir).groupBy("DialogID").agg(_messages(*fields).alias("messages"))
     path = scratch_path(spark, "instagram-export")
-    _write_documents(documents.select(F.lpad("DialogID", 10, "0").alias("dialog"), F.to_json(F.struct("messages")).alias("value")), path, "dialog")
+    documents = documents.select(F.lpad("DialogID", 10, "0").alias("dialog"), F.to_json(F.struct("messages")).alias("value"))
+    if inbox_only:
+        place = F.when(F.col("dialog").cast("bigint") % 3 == 0, "inbox").otherwise("archive")
+        documents.withColumn("place", place).repartition("dialog").write.partitionBy("place", "dialog").text(path)
+    else:
+        _write_documents(documents, path, "dialog")
     return path
 
 
@@ -112,6 +130,18 @@ def scan_instagram(spark, sf_dir):
     return rows.withColumn("Date", F.date_format("Date", STAMP))
 
 
+@query(
+    "scan_instagram_inbox",
+    f"""WITH {CHAT_CONV_SQL}, sized AS (SELECT *, count(*) OVER (PARTITION BY DialogID) AS n, CAST(DialogID AS BIGINT) % 3 = 0 AS wanted FROM chat_conv),
+    named AS (SELECT *, dense_rank() OVER (ORDER BY CAST(DialogID AS BIGINT)) - 1 AS i FROM sized WHERE wanted)
+    SELECT 'I_' || i AS DialogID, Sender, seq FROM named WHERE n >= 4 AND i < 20""",
+)
+def scan_instagram_inbox(spark, sf_dir):
+    path = _instagram_export(spark, sf_dir, inbox_only=True)
+    rows = instagram.scan_instagram(spark, path, min_messages=4, file_name="part-*", dir_pattern="place=inbox$", dialogs_limit=20)
+    return rows.select("DialogID", "Sender", "seq")
+
+
 @query("read_instagram", f"{_INSTAGRAM_SQL}, {_burst_sql('named', 'lower(x)')} SELECT * FROM bursts")
 def read_instagram(spark, sf_dir):
     path = _instagram_export(spark, sf_dir)
@@ -211,16 +241,19 @@ def ingest_incremental(spark, sf_dir):
     "stream_sessions",
     f"""WITH {CHAT_EVENTS_SQL}, gaps AS (SELECT *, epoch_us(Date) - lag(epoch_us(Date)) OVER (PARTITION BY DialogID ORDER BY Date, seq) AS gap FROM chat_events),
     numbered AS (SELECT *, sum(CASE WHEN gap > 21600000000 THEN 1 ELSE 0 END) OVER (PARTITION BY DialogID ORDER BY Date, seq) AS c FROM gaps)
-    SELECT DialogID, strftime(min(Date), {STAMP_SQL}) AS first_message, strftime(max(Date), {STAMP_SQL}) AS last_message, count(*) AS messages
-    FROM numbered GROUP BY DialogID, c HAVING max(Date) + INTERVAL 7 HOURS <= (SELECT max(ts) FROM events)""",
+    SELECT DialogID, strftime(min(Date), {STAMP_SQL}) AS first_message, strftime(max(Date), {STAMP_SQL}) AS last_message, count(*) AS messages,
+      max(Date) + INTERVAL 6 HOURS < (SELECT max(ts) FROM events) AS closed
+    FROM numbered GROUP BY DialogID, c""",
 )
 def stream_sessions(spark, sf_dir):
-    raw = settle(chat_events(spark, sf_dir).select("DialogID", "Date", "seq"), "stream-input")
-    source = raw.inputFiles()[0].rsplit("/", 1)[0]
+    # Files that cut through the dialogs and their time order, one per micro-batch.
+    source = scratch_path(spark, "stream-input")
+    rows = chat_events(spark, sf_dir).select("DialogID", "Date", "seq")
+    rows.withColumn("part", F.pmod(F.xxhash64("seq"), F.lit(3))).repartition(3, "part").drop("part").write.parquet(source)
     target, progress = scratch_path(spark, "sessions"), scratch_path(spark, "progress")
-    closed = sessions.stream_sessions(ingest.message_stream(spark, source, raw.schema))
-    _finish(ingest.ingest_incremental(closed, target, progress))
-    done = spark.read.schema(closed.schema).parquet(target)
+    stream = ingest.message_stream(spark, source, rows.schema, files_per_batch=1)
+    _finish(sessions.stream_sessions(stream, target, progress))
+    done = sessions.read_sessions(spark, target)
     return done.withColumns({c: F.date_format(c, STAMP) for c in ("first_message", "last_message")})
 
 
@@ -251,13 +284,38 @@ def stream_context(spark, sf_dir):
     return done.select("chat_id", "message_id", "question", "answer", "input_text")
 
 
+_FORGET = 20_000
+
+
+@query(
+    "stream_context_forget",
+    f"""{CONV_PAIRS_SQL}, gaps AS (SELECT *, CASE WHEN epoch_us(timestamp) - lag(epoch_us(timestamp)) OVER (PARTITION BY DialogID ORDER BY timestamp, seq) > {_FORGET * 1_000_000} THEN 1 ELSE 0 END AS far FROM pairs),
+    parts AS (SELECT *, sum(far) OVER (PARTITION BY DialogID ORDER BY timestamp, seq) AS part FROM gaps),
+    windowed AS (SELECT *, list({{'q': question, 'a': answer}}) OVER (PARTITION BY DialogID, part ORDER BY timestamp, seq ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING) AS prev FROM parts)
+    SELECT DialogID AS chat_id, seq AS message_id, '[{_UK.question}]:' || question || chr(10) || '[{_UK.context}]: ' ||
+      CASE WHEN coalesce(len(prev), 0) = 0 THEN '[{_UK.no_context}]: ' ELSE array_to_string(list_transform(prev, lambda p, i: {_TURN}), '') END || chr(10) AS input_text FROM windowed""",
+)
+def stream_context_forget(spark, sf_dir):
+    rows = _conv_pairs(spark, sf_dir).select(
+        F.col("DialogID").alias("chat_id"), F.col("seq").alias("message_id"), F.col("timestamp").alias("message_time"),
+        F.col("question").alias("message"), "answer")
+    source = scratch_path(spark, "stream-input")
+    rows.write.parquet(source)
+    target, progress = scratch_path(spark, "contexts"), scratch_path(spark, "progress")
+    prompts = live_context.stream_context(ingest.message_stream(spark, source, rows.schema), forget_after_seconds=_FORGET)
+    _finish(ingest.ingest_incremental(prompts, target, progress))
+    return spark.read.schema(prompts.schema).parquet(target).select("chat_id", "message_id", "input_text")
+
+
 def _update_text():
     """Events as chat updates: errors are commands, views are photos without text."""
     kind = F.col("event_type")
     return F.when(kind == "error", F.concat(F.lit("/"), "props")).when(kind != "view", F.col("props"))
 
 
-_UPDATES_SQL = """SELECT props AS message, event_id AS message_id, user_id, user_id % 2 = 0 AS is_bot, 'en' AS language_code FROM events WHERE event_type NOT IN ('error', 'view')"""
+_UPDATES_SQL = f"""SELECT props AS message, 'a' || event_id AS answer, strftime(ts, {STAMP_SQL}) AS message_time, user_id, 'u' || user_id AS username, 'F' AS first_name,
+  CAST(NULL AS VARCHAR) AS last_name, user_id * 10 AS chat_id, event_id AS message_id, user_id % 2 = 0 AS is_bot, 'en' AS language_code
+  FROM events WHERE event_type NOT IN ('error', 'view')"""
 
 
 @query("stream_event_log", _UPDATES_SQL)
@@ -266,6 +324,11 @@ def stream_event_log(spark, sf_dir):
     target, progress = scratch_path(spark, "event-log"), scratch_path(spark, "progress")
     updates = ingest.message_stream(spark, f"{sf_dir}/events*.parquet", schema).select(
         _update_text().alias("message"),
+        F.concat(F.lit("a"), F.col("event_id")).alias("answer"),
+        F.col("ts").cast("timestamp").alias("message_time"),
+        F.concat(F.lit("u"), F.col("user_id")).alias("username"),
+        F.lit("F").alias("first_name"),
+        (F.col("user_id") * 10).alias("chat_id"),
         F.col("event_id").alias("message_id"),
         "user_id",
         (F.col("user_id") % 2 == 0).alias("is_bot"),
@@ -274,7 +337,7 @@ def stream_event_log(spark, sf_dir):
     log = event_log.stream_event_log(updates)
     _finish(ingest.ingest_incremental(log, target, progress))
     done = spark.read.schema(log.schema).parquet(target)
-    return done.select("message", "message_id", "user_id", "is_bot", "language_code")
+    return done.select(*event_log.EVENT_FIELDS).withColumn("message_time", F.date_format("message_time", STAMP))
 
 
 @query(
@@ -287,3 +350,14 @@ def message_routes(spark, sf_dir):
         F.when(F.col("event_type") == "view", F.col("props")).alias("photo"),
     )
     return event_log.with_route(rows, photo="photo").groupBy("route").agg(F.count(F.lit(1)).alias("messages"))
+
+
+@query("read_refusal_pairs", "SELECT item_id, text AS question, reverse(text) AS answer FROM benchmark")
+def read_refusal_pairs(spark, sf_dir):
+    items = table(spark, sf_dir, "benchmark")
+    # Each document holds one pair, and a question without an answer.
+    value = F.to_json(F.struct(F.array("text", F.lit("unanswered")).alias("jailbreak_q"), F.array(F.reverse("text")).alias("jailbreak_ans")))
+    path = scratch_path(spark, "refusals")
+    _write_documents(items.select("item_id", value.alias("value")), path, "item_id")
+    pairs = augmentation.read_refusal_pairs(spark, f"{path}/*/part-*")
+    return pairs.join(items.select(F.col("text").alias("question"), "item_id"), "question").select("item_id", "question", "answer")

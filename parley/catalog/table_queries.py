@@ -6,12 +6,11 @@ from pyspark.sql import functions as F
 
 from parley.catalog.registry import query
 from parley.catalog.views import table
+from parley.functions.dates import day_key
 from parley.operators import limits, profile
 from parley.plans.ranking import with_position
 
 YEARS = "SELECT year(o_orderdate) AS year, month(o_orderdate) AS month, day(o_orderdate) AS day FROM orders"
-# All months of the order table's calendar: the columns of the heat map.
-MONTHS = [f"{y}-{m:02d}" for y in range(1995, 2002) for m in range(1, 13)]
 
 
 def _orders(spark, sf_dir):
@@ -45,18 +44,19 @@ def daily_counts(spark, sf_dir):
     return profile.daily_counts(_orders(spark, sf_dir), "o_orderdate")
 
 
-_CELLS = ", ".join(
-    f"CAST(coalesce(sum(n) FILTER (month = '{m}'), 0) AS BIGINT) AS \"{m}\"" for m in MONTHS
-)
-
-
 @query(
     "message_heatmap",
-    f"""SELECT day, {_CELLS} FROM (SELECT day(o_orderdate) AS day, strftime(o_orderdate, '%Y-%m') AS month, count(*) AS n
-        FROM orders GROUP BY ALL) GROUP BY day""",
+    """PIVOT (SELECT day(o_orderdate) AS day, strftime(o_orderdate, '%Y-%m') AS month FROM orders)
+       ON month USING count(*) GROUP BY day""",
 )
 def message_heatmap(spark, sf_dir):
-    return profile.message_heatmap(_orders(spark, sf_dir), "o_orderdate", MONTHS).na.fill(0)
+    return profile.message_heatmap(_orders(spark, sf_dir), "o_orderdate").na.fill(0)
+
+
+@query("messages_by_day_key", "SELECT strftime(o_orderdate, '%Y-%m-%d') AS day, count(*) AS messages FROM orders GROUP BY 1")
+def messages_by_day_key(spark, sf_dir):
+    days = _orders(spark, sf_dir).select(day_key(F.col("o_orderdate")).alias("day"))
+    return days.groupBy("day").agg(F.count(F.lit(1)).alias("messages"))
 
 
 @query(

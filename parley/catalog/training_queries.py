@@ -182,6 +182,18 @@ def augment_questions_all(spark, sf_dir):
     return augmentation.augment_questions(pairs, ["DialogID", "seq"], 2, mode="all", stop_words=STOP)
 
 
+@query(
+    "augment_questions_translated",
+    _augmented_sql(2, "['shuffle', 'pop', 'swap']", ("shuffle", "swap", "pop")).replace(
+        "question AS q, round", "CASE WHEN length(question) % 2 = 0 THEN question || ', said again' ELSE question END AS q, round"),
+)
+def augment_questions_translated(spark, sf_dir):
+    pairs = _conv_pairs(spark, sf_dir).select("DialogID", "seq", "question", "answer")
+    # A table of translations that lacks every other text.
+    known = pairs.where(F.char_length("question") % 2 == 0).select(F.col("question").alias("text"), F.concat("question", F.lit(", said again")).alias("translation"))
+    return augmentation.augment_questions(pairs, ["DialogID", "seq"], 2, mode="all", stop_words=STOP, translate=known)
+
+
 _REFUSAL_ROWS = ", ".join("({}, '{}', '{}')".format(i, q.replace("'", "''"), a.replace("'", "''")) for i, (q, a) in enumerate(REFUSALS, 1))
 _REFUSAL_CTES = f"""
 drawn AS (SELECT timestamp, row_number() OVER (ORDER BY md5('42-sample|' || DialogID || '|' || seq), DialogID, seq) AS n FROM contexts
@@ -304,13 +316,13 @@ def _padded_sql(ids: str, length: int) -> str:
 
 @query(
     "encode_fixed",
-    f"""WITH {_VOCAB}, small AS (SELECT token, id FROM vocab WHERE id < 5002)
+    f"""WITH {_VOCAB}, small AS (SELECT token, id FROM vocab)
     SELECT d.doc_id, {_padded_sql('a.ids', 512)} AS input_ids, {_padded_sql('b.ids', 128)} AS labels
     FROM documents d LEFT JOIN {_encoded_sql('text', 512)} a USING (doc_id) LEFT JOIN {_encoded_sql('source', 128)} b USING (doc_id)""",
 )
 def encode_fixed(spark, sf_dir):
     docs = text_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    vocab = encoding.build_vocab(docs, ["text"], max_size=5000)
+    vocab = encoding.build_vocab(docs, ["text"])
     out = encoding.encode_fixed(docs, ["doc_id"], vocab, {"text": ("input_ids", 512), "source": ("labels", 128)})
     return out.select("doc_id", *[F.array_join(F.col(c).cast("array<string>"), " ").alias(c) for c in ("input_ids", "labels")])
 

@@ -5,8 +5,6 @@ Words are whitespace-separated.  Scores whose denominator is empty are null.
 
 from __future__ import annotations
 
-from collections import Counter
-
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -63,17 +61,24 @@ def vocab_recall(truth: Column, pred: Column) -> Column:
     return _ratio(F.size(F.array_intersect(t, vocabulary(pred))), F.size(t))
 
 
-def _overlaps(a, b) -> list[int]:
-    """n-grams in common, counted with repetition, for n = 1 to 4."""
-    def grams(items, n):
-        return Counter(zip(*[items[i:] for i in range(n)]))
+def _numbered_ngrams(items: Column, n: int) -> Column:
+    """The n-grams of ``items``, sorted, each with its number among equal ones: all different."""
+    last = F.size(items) - (n - 1)
+    starts = F.when(last > 0, F.sequence(F.lit(1), F.greatest(last, F.lit(1)))).otherwise(F.array().cast("array<int>"))
+    grams = F.array_sort(F.transform(starts, lambda i: F.array_join(F.slice(items, i, F.lit(n)), "\u0001")))
+    return let(grams, lambda sorted_: F.transform(
+        sorted_, lambda g, i: F.concat_ws("\u0002", g, (i - F.array_position(sorted_, g)).cast("string"))))
 
-    return [(grams(a, n) & grams(b, n)).total() for n in range(1, 5)]
 
+def _shared_ngrams(a: Column, b: Column, orders: int = 4) -> Column:
+    """n-grams in common, counted with repetition, for n = 1 to ``orders``; null if a text is null.
 
-@F.pandas_udf(T.ArrayType(T.IntegerType()))
-def _shared_ngrams(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([None if x is None or y is None else _overlaps(list(x), list(y)) for x, y in zip(a, b)])
+    The number of an n-gram among equal ones is found by position, so the cost grows with the
+    square of a text's length; chat messages are short.
+    """
+    both = let(F.struct(a.alias("a"), b.alias("b")), lambda s: F.array(*[
+        F.size(F.array_intersect(_numbered_ngrams(s["a"], n), _numbered_ngrams(s["b"], n))) for n in range(1, orders + 1)]))
+    return F.when(a.isNotNull() & b.isNotNull(), both)
 
 
 def _precision_recall_f1(hits: Column, truth_size: Column, pred_size: Column) -> Column:
@@ -90,7 +95,7 @@ def _precision_recall_f1(hits: Column, truth_size: Column, pred_size: Column) ->
 def rouge1(truth: Column, pred: Column) -> Column:
     """Unigram overlap counted with repetition: struct of precision, recall, f1."""
     t, p = words(truth), words(pred)
-    return _precision_recall_f1(F.get(_shared_ngrams(t, p), F.lit(0)), F.size(t), F.size(p))
+    return _precision_recall_f1(F.get(_shared_ngrams(t, p, 1), F.lit(0)), F.size(t), F.size(p))
 
 
 def _lcs(a, b) -> int:

@@ -120,30 +120,30 @@ def tokenize(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), F.lit(0))
 
 
-def word_set(words: Sequence[str]) -> Column:
-    """The words, trimmed and in lower case, as an array."""
-    # One literal that is split when the plan is optimized, rather than one literal per word.
-    return F.split(F.lit("\n".join(sorted({w.strip().lower() for w in words} - {""}))), "\n")
+def word_list(words: Sequence[str]) -> list[str]:
+    """The words, trimmed and in lower case, each once."""
+    return sorted({w.strip().lower() for w in words} - {""})
+
+
+def listed(word: Column, words: Sequence[str]) -> Column:
+    """Whether ``word``, in lower case, is one of ``words``; Spark looks longer lists up in a hash set."""
+    return F.lower(word).isin(word_list(words))
 
 
 def censor_words(text: Column, words: Sequence[str], mark: str = CENSOR_MARK) -> Column:
     """Replace listed words (compared in lower case) and join the tokens by one space."""
     spaced = collapse_whitespace(F.regexp_replace(text, MARK_PATTERN, " $0 "))
-    if not {w.strip() for w in words} - {""}:
+    if not word_list(words):
         return spaced
-    listed = word_set(words)
-    kept = F.transform(
-        F.split(spaced, " "), lambda w: F.when(F.array_contains(listed, F.lower(w)), F.lit(mark)).otherwise(w)
-    )
+    kept = F.transform(F.split(spaced, " "), lambda w: F.when(listed(w, words), F.lit(mark)).otherwise(w))
     return F.array_join(kept, " ")
 
 
 def remove_stopwords(tokens: Column, stop_words: Sequence[str]) -> Column:
     """The tokens that are not stop words."""
-    if not {w.strip() for w in stop_words} - {""}:
+    if not word_list(stop_words):
         return tokens
-    listed = word_set(stop_words)
-    return F.filter(tokens, lambda w: ~F.array_contains(listed, F.lower(w)))
+    return F.filter(tokens, lambda w: ~listed(w, stop_words))
 
 
 # Cleaning steps by name, and the orders they are usually taken in.

@@ -13,11 +13,10 @@ from pyspark.sql import functions as F
 
 from parley.functions.binding import let
 from parley.functions.draws import draw_key
-from parley.functions.text import tokenize, word_set
+from parley.functions.text import listed, tokenize, word_list
 from parley.functions.variation import choose_edits, pop_word, shuffle_clauses, swap_words
-from parley.operators.filters import drop_blank
 from parley.operators.limits import sample_exact
-from parley.plans.ranking import MAX_TOP_N, first_rows
+from parley.plans.ranking import first_rows
 from parley.schema import DIALOG, NO_CONTEXT
 
 # Vectors compared at once by one task.
@@ -31,15 +30,17 @@ def augment_questions(
     seed: int = 42,
     mode: str = "random",
     stop_words: Sequence[str] = (),
-    translate: Callable[[Column], Column] | None = None,
+    translate: Callable[[Column], Column] | DataFrame | None = None,
     samples: int | None = None,
     order: Sequence[str] | None = None,
 ) -> DataFrame:
     """The rows plus ``factor`` edited copies of each, without nulls and repeated rows.
 
     ``mode="random"`` draws the edits per row and round; ``mode="all"`` applies translate,
-    shuffle, swap and pop in this order.  ``samples`` takes only the first rows in ``order``.
-    The draws depend on ``ids`` and the round alone.
+    shuffle, swap and pop in this order.  ``translate`` is a function of a column, or a table
+    (text, translation) of texts that were translated before; texts that it lacks stay as they are.
+    ``samples`` takes only the first rows in ``order``.  The draws depend on ``ids`` and the round
+    alone.  The input is read once: a row and its copies come from one ``explode``.
     """
     if mode not in ("random", "all"):
         raise ValueError("mode must be 'random' or 'all'")
@@ -48,12 +49,20 @@ def augment_questions(
     columns = df.columns
     # The edits make no nulls, so nulls are dropped here: a filter on the result would be pushed
     # below the projections and have each edit computed twice.
-    df = df.na.drop("any")
-    rounds = df.withColumn("_round", F.explode(F.sequence(F.lit(1), F.lit(factor))))
+    rounds = df.na.drop("any").withColumn("_round", F.explode(F.sequence(F.lit(0), F.lit(factor))))
+    # A row that is blank itself goes, its copies stay.
+    rounds = rounds.where((F.col("_round") > 0) | ~F.col("question").isin(" ", ""))
+    if isinstance(translate, DataFrame):
+        known = translate.groupBy("text").agg(F.min("translation").alias("_translation"))
+        rounds = rounds.join(known.withColumnRenamed("text", "_text"), F.col("question") == F.col("_text"), "left")
+        rounds = rounds.withColumn("_translation", F.coalesce("_translation", "question")).drop("_text")
+        steps_translate = lambda t: F.col("_translation")  # noqa: E731  translating comes first
+    else:
+        steps_translate = translate or (lambda t: t)
     parts = [*[F.col(c) for c in ids], F.col("_round")]
     names = ("translate", "shuffle", "pop", "swap") if mode == "random" else ("translate", "shuffle", "swap", "pop")
     steps = {
-        "translate": translate or (lambda t: t),
+        "translate": steps_translate,
         "shuffle": lambda t: shuffle_clauses(t, seed, *parts),
         "pop": lambda t: pop_word(t, stop_words, seed, *parts),
         "swap": lambda t: swap_words(t, seed, *parts),
@@ -61,15 +70,16 @@ def augment_questions(
     if mode == "random":
         rounds = rounds.withColumn("_edits", choose_edits(seed, *parts))
     for name in names:
-        edited = steps[name](F.col("question"))
+        wanted = F.col("_round") > 0
         if mode == "random":
-            edited = F.when(F.array_contains("_edits", name), edited).otherwise(F.col("question"))
+            wanted &= F.array_contains("_edits", name)
+        edited = F.when(wanted, steps[name](F.col("question"))).otherwise(F.col("question"))
         # One projection per edit: the next one refers to a finished column.
         rounds = rounds.withColumn("question", edited)
     rounds = rounds.select(*columns)
     if translate is not None:
         rounds = rounds.na.drop("any")
-    return drop_blank(df, "question", exact=True).unionByName(rounds).dropDuplicates()
+    return rounds.dropDuplicates()
 
 
 def read_refusal_pairs(spark: SparkSession, path: str, questions: str = "jailbreak_q", answers: str = "jailbreak_ans") -> DataFrame:
@@ -86,8 +96,9 @@ def refusal_rows(df: DataFrame, pairs: Sequence[tuple[str, str]], ids: Sequence[
 
     ``pairs`` is a hand-written list on the driver; as many timestamps are drawn.
     """
-    if len(pairs) > MAX_TOP_N:
-        raise ValueError(f"at most {MAX_TOP_N} refusal pairs")
+    found = df.limit(len(pairs)).count()
+    if found < len(pairs):
+        raise ValueError(f"{len(pairs)} refusal pairs need as many rows to take timestamps from; there are {found}")
     spark = df.sparkSession
     listed = spark.createDataFrame(
         [(i, q, a) for i, (q, a) in enumerate(pairs, 1)], "n long, question string, answer string"
@@ -209,14 +220,14 @@ def replace_synonyms(
     """Replace a random ``share`` of the words that are no stop words by their synonyms.
 
     Of n such words floor(share * n), at least one, are drawn; a drawn word without an entry stays.
-    Tokens travel with their row id and position only, and only drawn ones reach the join.
+    Tokens travel with their row id and position only, and only drawn ones reach the join.  A word
+    that is listed several times takes its first synonym in alphabetical order.
     """
     keys = list(ids)
     tokens = df.select(*keys, tokenize(F.col(column)).alias("_tokens"))
     numbered = F.transform(F.col("_tokens"), lambda w, i: F.struct(i.alias("i"), w.alias("w")))
-    if stop_words:
-        listed = word_set(stop_words)
-        numbered = F.filter(numbered, lambda s: ~F.array_contains(listed, F.lower(s["w"])))
+    if word_list(stop_words):
+        numbered = F.filter(numbered, lambda s: ~listed(s["w"], stop_words))
     shuffled = F.sort_array(
         F.transform(numbered, lambda s: F.struct(draw_key(f"{seed}-synonym", *[F.col(c) for c in keys], s["i"]).alias("k"), s["i"].alias("i"), s["w"].alias("w")))
     )
@@ -224,7 +235,7 @@ def replace_synonyms(
     wanted = F.greatest(F.floor(F.size("_s") * share).cast("int"), F.lit(1))
     drawn = drawn.select(*keys, F.explode(F.slice("_s", F.lit(1), wanted)).alias("s"))
     found = drawn.select(*keys, F.col("s.i").alias("i"), F.lower("s.w").alias("word")).join(
-        synonyms.select("word", "synonym"), "word"
+        synonyms.groupBy("word").agg(F.min("synonym").alias("synonym")), "word"
     )
     change = F.struct("i", F.lit(1).alias("p"), F.col("synonym").alias("w"))
     changes = found.groupBy(*keys).agg(F.collect_list(change).alias("_changes"))

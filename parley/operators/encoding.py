@@ -103,10 +103,13 @@ def encode_fixed(
 
 
 def normalize_tokens(df: DataFrame, column: str, lookup: DataFrame, ids: Sequence[str]) -> DataFrame:
-    """Replace each token by its entry in ``lookup`` (form, lemma) and join by one space."""
+    """Replace each token by its entry in ``lookup`` (form, lemma) and join by one space.
+
+    A form that is listed several times takes its first lemma in alphabetical order.
+    """
     keys = list(ids)
     tokens = df.select(*keys, F.posexplode(tokenize(F.col(column))).alias("at", "form"))
-    forms = size_checked(lookup.select("form", "lemma"))
+    forms = size_checked(lookup.groupBy("form").agg(F.min("lemma").alias("lemma")))
     changed = tokens.join(forms, "form", "left").select(*keys, "at", F.coalesce("lemma", "form").alias("w"))
     texts = changed.groupBy(*keys).agg(
         F.array_join(F.sort_array(F.collect_list(F.struct("at", "w")))["w"], " ").alias("_text")

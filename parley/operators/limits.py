@@ -14,7 +14,6 @@ from parley.schema import DIALOG, SEQ, TIME_ORDER
 
 # Up to here Spark cuts each task's share of a dialog to the limit before the shuffle.
 GROUP_LIMIT = 1_000
-MAX_CHUNKS = 1_000
 
 
 def latest_per_dialog(df: DataFrame, n: int, max_rows: int | None = None) -> DataFrame:
@@ -103,15 +102,14 @@ def split_random(df: DataFrame, ids: Sequence[str], fraction: float = 0.9, seed:
 def assign_chunks(df: DataFrame, chunks: int, order: Sequence[str]) -> DataFrame:
     """Add ``chunk`` (1-based): contiguous parts in ``order`` whose sizes differ by at most one.
 
-    The last key of each chunk is looked up over the order columns alone; a row's chunk is then
-    one more than the number of those keys before it.
+    The first chunks are the longer ones; a row's chunk follows from its position.
     """
-    if not 1 <= chunks <= MAX_CHUNKS:
-        raise ValueError(f"chunks must lie between 1 and {MAX_CHUNKS}")
-    placed = with_position(df.select(*order), "_pos", order)
-    size, longer = divmod(placed.count(), chunks)
-    ends = [n * size + min(n, longer) for n in range(1, chunks)]
-    keys = placed.where(F.col("_pos").isin([e for e in ends if e > 0]))
-    last = keys.agg(F.sort_array(F.collect_list(F.struct(*order)))).scalar()
-    before = F.filter("_last", lambda key: key < F.struct(*order))
-    return df.withColumn("_last", last).withColumn("chunk", (F.size(before) + 1).cast("bigint")).drop("_last")
+    if chunks < 1:
+        raise ValueError("chunks must be at least 1")
+    placed = with_position(df, "_pos", order)
+    size, longer = divmod(df.count(), chunks)
+    at = F.col("_pos") - 1
+    within_longer = F.floor(at / (size + 1))
+    after = longer + F.floor((at - longer * (size + 1)) / max(size, 1))
+    chunk = F.when(at < longer * (size + 1), within_longer).otherwise(after) + 1
+    return placed.withColumn("chunk", chunk.cast("bigint")).drop("_pos")

@@ -144,6 +144,15 @@ def check_alternation(df: DataFrame) -> DataFrame:
     return df
 
 
+def assert_alternation(df: DataFrame) -> DataFrame:
+    """``df``, one part of ``by_dialog``, whose job fails when it meets a row out of turn."""
+    placed = running_sum(df, "_position", F.lit(1).cast("bigint"))
+    wrong = F.col(MINE) != (F.col("_position") % 2 == 0)
+    message = F.concat(F.lit("row out of turn in dialog "), F.coalesce(F.col(DIALOG), F.lit("null")))
+    fine = F.when(wrong, F.raise_error(message).cast("boolean")).otherwise(True)
+    return settle_blocks(placed.where(fine).drop("_position"))
+
+
 def pair_runs(df: DataFrame) -> DataFrame:
     """``pair_turns`` for one part of ``by_dialog``."""
     df = lead_one(df, "_answer", F.struct(F.col(MESSAGE).alias("text"), F.col(MINE).alias("mine")))

@@ -13,9 +13,8 @@ from pyspark.sql import functions as F
 
 from parley.plans.sequence import BLOCK, assign_blocks
 
-# Rows per range; the number of ranges is capped so that the offsets stay a small broadcast.
+# Rows per range; there are as many ranges as the table needs.
 ROWS_PER_RANGE = 1_000_000
-MAX_RANGES = 20_000
 # Up to here ``orderBy().limit(n)`` (a per-task top n, merged on the driver) is the better plan.
 MAX_TOP_N = 10_000
 
@@ -23,7 +22,7 @@ MAX_TOP_N = 10_000
 def _ranges(df: DataFrame, order: Sequence[str], rows_per_range: int | None) -> DataFrame:
     rows = df.count()
     ranges = -(-rows // (rows_per_range or ROWS_PER_RANGE))
-    return assign_blocks(df, order, max(1, min(MAX_RANGES, ranges)))
+    return assign_blocks(df, order, max(1, ranges))
 
 
 def with_running_total(
@@ -40,13 +39,13 @@ def with_running_total(
     ranged = _ranges(df, order, rows_per_range)
     upto = Window.partitionBy(BLOCK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     sums = ranged.groupBy(BLOCK).agg(F.sum(value).alias("_sum"))
-    # One row per range, at most MAX_RANGES rows in all: these may share a task.
+    # One row per million rows of the table: these may share a task.
     before = Window.partitionBy(F.lit(0)).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(
         BLOCK, F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset")
     )
     return (
-        ranged.join(F.broadcast(offsets), BLOCK)
+        ranged.join(offsets, BLOCK)
         .withColumn(out, F.sum(value).over(upto) + F.col("_offset"))
         .drop(BLOCK, "_offset")
     )

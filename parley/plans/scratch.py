@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_ROOTS: dict[str, str] = {}
+_USED: set[str] = set()
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -27,9 +29,34 @@ def scratch_root(spark: SparkSession) -> str:
     return _LOCAL_ROOTS[app]
 
 
+def _session_folder(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/parley/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that nothing else uses."""
-    return f"{scratch_root(spark)}/parley/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    folder = _session_folder(spark)
+    if folder not in _USED:
+        _USED.add(folder)
+        atexit.register(_clear_at_exit, spark)
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this session.
+
+    Results that still read them have to be written first.  Called by itself when the program
+    ends; a program that goes on for long calls it between its jobs.
+    """
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(_session_folder(spark))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _clear_at_exit(spark: SparkSession) -> None:
+    context = getattr(spark.sparkContext, "_jsc", None)
+    if context is not None and not context.sc().isStopped():
+        clear_scratch(spark)
 
 
 def settle(df: DataFrame, label: str = "table") -> DataFrame:

@@ -26,11 +26,10 @@ from parley.schema import DIALOG, TIME_ORDER
 
 BLOCK = "_block"
 
-# A key with more rows than this is split into blocks of about this many rows.
+# A key with more rows than this is split into blocks of about this many rows, whatever the table's
+# size.  Summaries have a row per split key and block; they are joined without a forced broadcast,
+# so neither their rows nor their bytes need a bound.
 MAX_ROWS_PER_KEY = 2_000_000
-# Upper bound for the number of split keys, and so for every summary that is broadcast: the
-# limit above grows with the table where needed, to total rows / MAX_SPLIT_KEYS.
-MAX_SPLIT_KEYS = 20_000
 
 
 def by_dialog(
@@ -48,19 +47,17 @@ def by_dialog(
     """
     limit = max_rows or MAX_ROWS_PER_KEY
     sizes = (sizes_from if sizes_from is not None else df).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    total, largest = sizes.agg(F.sum("_rows"), F.max("_rows")).first()
-    if not total or largest <= limit:
+    largest = sizes.agg(F.max("_rows")).first()[0]
+    if not largest or largest <= limit:
         return fn(df)
-    limit = max(limit, -(-total // MAX_SPLIT_KEYS))
-    large = settle(sizes.where((F.col("_rows") > limit) & F.col(key).isNotNull()), "large-keys")
+    large = settle(sizes.where(F.col("_rows") > limit), "large-keys")
     large_rows = large.agg(F.sum("_rows")).first()[0]
-    if not large_rows:
-        return fn(df)
-    # At most total / limit <= MAX_SPLIT_KEYS keys can exceed the limit.
-    large_keys = F.broadcast(large.select(key))
-    small_part = df.join(large_keys, key, "left_anti")
+    # A null key is a key like any other.
+    large_keys = large.select(F.col(key).alias("_large"))
+    is_large = F.col(key).eqNullSafe(F.col("_large"))
+    small_part = df.join(large_keys, is_large, "left_anti")
     large_part = assign_blocks(
-        df.join(large_keys, key, "left_semi"), (key, *order), -(-large_rows // limit) + 1
+        df.join(large_keys, is_large, "left_semi"), (key, *order), -(-large_rows // limit) + 1
     )
     return fn(small_part).unionByName(fn(large_part).drop(BLOCK))
 
@@ -86,8 +83,10 @@ def _row_window(df: DataFrame, order: Sequence[str], key: str):
 
 
 def _carry(df: DataFrame, summary: DataFrame, key: str) -> DataFrame:
-    # One row per (split key, block): bounded by MAX_SPLIT_KEYS keys plus as many borders.
-    return df.join(F.broadcast(summary), [key, BLOCK], "left")
+    # One row per (split key, block).  Blocks are of even size, so the join has no hot key.
+    named = summary.withColumnsRenamed({key: "_skey", BLOCK: "_sblock"})
+    same = F.col(key).eqNullSafe(F.col("_skey")) & (F.col(BLOCK) == F.col("_sblock"))
+    return df.join(named, same, "left").drop("_skey", "_sblock")
 
 
 def _neighbour(df, out, value, order, key, previous: bool) -> DataFrame:
@@ -144,6 +143,8 @@ def last_n(df: DataFrame, out: str, value: Column, n: int, order: Sequence[str]
     )
     before = Window.partitionBy(key).orderBy(BLOCK).rowsBetween(-n, -1)
     tail = tail.select(key, BLOCK, F.flatten(F.collect_list("_tail").over(before)).alias("_tail"))
+    # Cut to the last n before it travels to the rows of the block.
+    tail = tail.withColumn("_tail", F.slice("_tail", F.greatest(F.size("_tail") - n + 1, F.lit(1)), F.lit(n)))
     rows = F.concat(F.coalesce(F.col("_tail"), F.array()), local)
     joined = _carry(df, tail, key).withColumn(out, rows).drop("_tail")
     start = F.greatest(F.size(out) - n + 1, F.lit(1))
@@ -158,5 +159,6 @@ def key_min(df: DataFrame, out: str, value: Column, order: Sequence[str] = TIME_
     if not has_blocks(df):
         upto = _row_window(df, order, key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return df.withColumn(out, F.min(value).over(upto))
-    # Only split keys get here, so at most MAX_SPLIT_KEYS rows are broadcast.
-    return df.join(F.broadcast(df.groupBy(key).agg(F.min(value).alias(out))), key, "left")
+    lowest = df.groupBy(key, BLOCK).agg(F.min(value).alias("_low"))
+    whole = Window.partitionBy(key)
+    return _carry(df, lowest.select(key, BLOCK, F.min("_low").over(whole).alias(out)), key)

@@ -16,7 +16,7 @@ from parley.operators.context import (
 )
 from parley.operators.dedup import dedup_questions
 from parley.operators.filters import clean_messages, group_chats, normalize_messages, without_dialogs
-from parley.operators.turns import alternate_runs, pair_runs
+from parley.operators.turns import alternate_runs, assert_alternation, pair_runs
 from parley.plans.scratch import settle
 from parley.plans.sequence import by_dialog
 from parley.schema import DIALOG
@@ -34,16 +34,19 @@ def pairs_with_context(
     max_rows: int | None = None,
     sizes_from: DataFrame | None = None,
     select: Callable[[DataFrame], DataFrame] = lambda part: part,
+    checked: bool = False,
 ) -> DataFrame:
     """Elapsed time, alternation, pairing and context in one pass over the dialogs.
 
     All steps work inside one dialog and share its hash exchange; whether a dialog is oversized
     is decided once, before them.  ``select`` drops rows first; a join on the dialog belongs
-    there, after the oversized dialogs have been set apart.
+    there, after the oversized dialogs have been set apart.  ``checked`` makes the job fail if a row
+    is out of turn after the alternation.
     """
     def per_dialog(part: DataFrame) -> DataFrame:
         part = select(part)
-        pairs = pair_runs(alternate_runs(elapsed_part(part)))
+        turns = alternate_runs(elapsed_part(part))
+        pairs = pair_runs(assert_alternation(turns) if checked else turns)
         if lower_questions:
             pairs = pairs.withColumn("question", F.lower("question"))
         return context_part(pairs, size, style, scope, gap_seconds, DATED_PAIR_ORDER)

@@ -6,54 +6,100 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from parley.plans.ranking import with_position
+from parley.plans.scratch import settle
 from parley.schema import MESSAGE_SCHEMA
 
 SAVE_MODES = ("errorifexists", "overwrite", "ignore")
 
 
+CORRUPT = "_corrupt"
+BROKEN = ("fail", "skip")
+
+
 def json_documents(
     spark: SparkSession,
     path: str,
-    schema,
+    schema: str,
     file_pattern: str | None = None,
     glob: str | None = None,
     dir_pattern: str | None = None,
+    broken: str = "fail",
 ) -> DataFrame:
     """JSON documents below ``path``, one per file, with the file's path as ``_file``.
 
     ``glob`` selects by file name while listing.  ``file_pattern`` and ``dir_pattern`` are regular
     expressions that have to match from the start of the name of the file, or of one of the
-    folders above it.
+    folders above it.  A document that is no JSON of this schema ends the job; ``broken="skip"``
+    leaves it out, and ``broken_documents`` lists what was left out.
     """
-    reader = spark.read.schema(schema).option("multiLine", True).option("recursiveFileLookup", True)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    df = reader.json(path)
+    if broken not in BROKEN:
+        raise ValueError(f"broken must be one of {BROKEN}")
+    reader = _reader(spark, glob).option("multiLine", True)
+    if broken == "fail":
+        df = reader.schema(schema).option("mode", "FAILFAST").json(path)
+    else:
+        df = reader.schema(f"{schema}, {CORRUPT} STRING").option("columnNameOfCorruptRecord", CORRUPT).json(path)
+    df = _matching(df, file_pattern, dir_pattern).withColumn("_file", F.col("_metadata.file_path"))
+    return df if broken == "fail" else df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+
+
+def broken_documents(
+    spark: SparkSession,
+    path: str,
+    schema: str,
+    file_pattern: str | None = None,
+    glob: str | None = None,
+    dir_pattern: str | None = None,
+) -> DataFrame:
+    """(path, content) of the documents that ``json_documents`` cannot read."""
+    reader = _reader(spark, glob).option("multiLine", True).option("columnNameOfCorruptRecord", CORRUPT)
+    df = _matching(reader.schema(f"{schema}, {CORRUPT} STRING").json(path), file_pattern, dir_pattern)
+    # Spark parses only if a data column is read as well, and the mark is final only once it is written.
+    parsed = df.select(F.col("_metadata.file_path").alias("path"), F.col(CORRUPT).alias("content"), F.col(df.columns[0]).isNull().alias("empty"))
+    return settle(parsed, "parsed").where(F.col("content").isNotNull()).select("path", "content")
+
+
+def _reader(spark: SparkSession, glob: str | None):
+    reader = spark.read.option("recursiveFileLookup", True)
+    return reader.option("pathGlobFilter", glob) if glob else reader
+
+
+def _matching(df: DataFrame, file_pattern: str | None, dir_pattern: str | None) -> DataFrame:
     if file_pattern:
         df = df.where(F.col("_metadata.file_name").rlike(f"^(?:{file_pattern})"))
     if dir_pattern:
         parts = F.split(F.col("_metadata.file_path"), "/")
         folders = F.slice(parts, F.lit(1), F.size(parts) - 1)
         df = df.where(F.exists(folders, lambda folder: folder.rlike(f"^(?:{dir_pattern})")))
-    return df.withColumn("_file", F.input_file_name())
+    return df
 
 
-def file_ranks(df: DataFrame) -> tuple[DataFrame, int]:
-    """(table of ``_file`` and its 1-based rank in path order, number of files).
+def file_ranks(
+    spark: SparkSession,
+    path: str,
+    file_pattern: str | None = None,
+    glob: str | None = None,
+    dir_pattern: str | None = None,
+) -> DataFrame:
+    """``_file`` and its 1-based rank in path order, over the files that match all patterns.
 
-    Taken from the listing the driver already holds, so no job is run.
+    The listing is a table of paths (no file is opened), ranked by ranges.
     """
-    files = sorted(df.inputFiles())
-    rows = [(f, i) for i, f in enumerate(files, 1)]
-    return df.sparkSession.createDataFrame(rows, "_file string, _rank long"), len(files)
+    files = _matching(_reader(spark, glob).format("binaryFile").load(path), file_pattern, dir_pattern)
+    return with_position(files.select(F.col("_metadata.file_path").alias("_file")), "_rank", ["_file"])
 
 
-def read_messages_csv(spark: SparkSession, path: str, schema: StructType | str = MESSAGE_SCHEMA) -> DataFrame:
-    """An interchange CSV with a header; quoted texts may hold line breaks."""
+def read_messages_csv(spark: SparkSession, path: str, schema: StructType | str = MESSAGE_SCHEMA, line_breaks: bool = True) -> DataFrame:
+    """An interchange CSV with a header.
+
+    Quoted texts may hold line breaks, which makes a file one task's work; where they hold none,
+    ``line_breaks=False`` lets Spark split files.
+    """
     return (
         spark.read.schema(schema)
         .option("header", True)
-        .option("multiLine", True)
+        .option("multiLine", line_breaks)
         .option("escape", '"')
         .option("enforceSchema", False)
         .csv(path)

@@ -25,14 +25,15 @@ def scan_instagram(
     dialogs_limit: int | None = None,
     file_name: str = FILE_NAME,
     dir_pattern: str | None = None,
+    broken: str = "fail",
 ) -> DataFrame:
     """Message rows of all dialogs below ``path``, one file each.
 
     ``dir_pattern`` keeps the files below folders of that name, ``inbox$`` for instance.  Dialogs are
-    numbered ``I_0, I_1, ...`` in path order over all files, before any is dropped.
+    numbered ``I_0, I_1, ...`` in path order over these files, before any dialog is dropped.
     """
-    raw = json_documents(spark, path, EXPORT_SCHEMA, glob=file_name, dir_pattern=dir_pattern)
-    ranks, _ = file_ranks(raw)
+    raw = json_documents(spark, path, EXPORT_SCHEMA, glob=file_name, dir_pattern=dir_pattern, broken=broken)
+    ranks = file_ranks(spark, path, glob=file_name, dir_pattern=dir_pattern)
     large = raw.where(dialog_size_ok(F.size("messages"), min_messages, strict=False))
     named = large.join(ranks, "_file")
     if dialogs_limit is not None:

@@ -29,6 +29,7 @@ def scan_telegram(
     min_messages: int | None = 50,
     dialogs_limit: int | None = None,
     file_pattern: str | None = None,
+    broken: str = "fail",
 ) -> DataFrame:
     """Message rows of the personal chats in one or more export documents.
 
@@ -36,7 +37,7 @@ def scan_telegram(
     numbered ``T_1, T_2, ...`` in list order; with several documents the number of the document
     in path order is added: ``T2_1``.  Formatted texts count as empty.
     """
-    raw = json_documents(spark, path, EXPORT_SCHEMA, file_pattern)
+    raw = json_documents(spark, path, EXPORT_SCHEMA, file_pattern, broken=broken)
     chats = F.col("chats.list")
     if dialogs_limit is not None:
         chats = F.slice(chats, F.lit(1), F.lit(dialogs_limit))
@@ -45,9 +46,9 @@ def scan_telegram(
         lambda c: (c["type"] == "personal_chat") & dialog_size_ok(F.size(c["messages"]), min_messages, strict=True),
     )
     chats = raw.select("_file", F.posexplode(kept).alias("n", "chat"))
-    ranks, files = file_ranks(raw)
+    ranks = file_ranks(spark, path, file_pattern)
     number = (F.col("n") + 1).cast("string")
-    if files > 1:
+    if ranks.limit(2).count() > 1:
         chats = chats.join(ranks, "_file")
         dialog = F.concat(F.lit("T"), F.col("_rank").cast("string"), F.lit("_"), number)
     else:

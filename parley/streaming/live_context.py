@@ -27,14 +27,17 @@ def stream_context(
     language: str = "uk",
     size: int = HISTORY,
     forget_after_seconds: int | None = None,
+    evict_after_seconds: int | None = None,
 ) -> DataFrame:
     """For each text message its prompt with the last ``size`` turns of the chat as context.
 
     Expects ``chat_id, message_id, message_time, message, answer``; within a chat, messages are
-    ordered by (message_time, message_id).  The state per chat is at most ``size`` turns and is
-    dropped when the chat has been silent for ``forget_after_seconds``, if given.  One
-    micro-batch of one chat is sorted in a task, so the source has to bound its batches, for
-    instance by ``maxFilesPerTrigger``.
+    ordered by (message_time, message_id).  The state per chat is at most ``size`` turns.  A message
+    that comes more than ``forget_after_seconds`` after the one before it starts without context:
+    that is decided by the messages' own times, so every run gives the same rows and ends.
+    ``evict_after_seconds`` drops the state of chats that have been silent that long by the clock; it
+    is meant for streams that never end.  One micro-batch of one chat is sorted in a task, so the
+    source has to bound its batches, for instance by ``maxFilesPerTrigger``.
     """
     labels = labels_for(language)
 
@@ -42,16 +45,24 @@ def stream_context(
         if state.hasTimedOut:
             state.remove()
             return
-        history = list(zip(*state.get)) if state.exists else []
+        history, last = [], None
+        if state.exists:
+            questions, answers, last = state.get
+            history = list(zip(questions, answers))
         rows = pd.concat(list(batches)).sort_values(["message_time", "message_id"], kind="stable")
         prompts = []
-        for question, answer in zip(rows["question"], rows["answer"]):
+        for question, answer, at in zip(rows["question"], rows["answer"], rows["message_time"]):
+            if not pd.isna(at):
+                now = int(at.value) // 1_000
+                if forget_after_seconds and last is not None and now - last > forget_after_seconds * 1_000_000:
+                    history = []
+                last = now if last is None else max(last, now)
             context = _render(history, labels.no_context)
             prompts.append(f"[{labels.question}]:{question}\n[{labels.context}]: {context}\n")
             history = [*history, (question, answer)][-size:]
-        state.update(([q for q, _ in history], [a for _, a in history]))
-        if forget_after_seconds:
-            state.setTimeoutDuration(forget_after_seconds * 1_000)
+        state.update(([q for q, _ in history], [a for _, a in history], last))
+        if evict_after_seconds:
+            state.setTimeoutDuration(evict_after_seconds * 1_000)
         yield rows.assign(chat_id=key[0], input_text=prompts)[
             ["chat_id", "message_id", "message_time", "question", "answer", "input_text"]
         ]
@@ -66,7 +77,7 @@ def stream_context(
     return turns.groupBy("chat_id").applyInPandasWithState(
         advance,
         outputStructType=OUTPUT,
-        stateStructType="questions array<string>, answers array<string>",
+        stateStructType="questions array<string>, answers array<string>, last_micros long",
         outputMode="append",
-        timeoutConf=GroupStateTimeout.ProcessingTimeTimeout if forget_after_seconds else GroupStateTimeout.NoTimeout,
+        timeoutConf=GroupStateTimeout.ProcessingTimeTimeout if evict_after_seconds else GroupStateTimeout.NoTimeout,
     )

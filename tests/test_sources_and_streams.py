@@ -125,12 +125,81 @@ def test_stream_sessions_equal_batch(spark, tmp_path):
     df = spark.createDataFrame(data, "DialogID string, Date timestamp, seq long")
     source, target, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
     df.write.parquet(source)
-    stream = sessions.stream_sessions(ingest.message_stream(spark, source, df.schema))
-    finish(ingest.ingest_incremental(stream, target, progress))
-    live = {(r.DialogID, r.messages) for r in spark.read.parquet(target).collect()}
+    finish(sessions.stream_sessions(ingest.message_stream(spark, source, df.schema), target, progress))
+    live = {(r.DialogID, r.messages) for r in sessions.read_sessions(spark, target).collect()}
     batch = sessionize(with_elapsed(df)).groupBy("DialogID", "ConversationID").agg(F.count("*").alias("n"))
-    # The last session of all is still open.
-    assert live == {(r.DialogID, r.n) for r in batch.collect() if r.DialogID != "z"}
+    assert live == {(r.DialogID, r.n) for r in batch.collect()}
+    # Only the last session of all is still open.
+    assert [r.DialogID for r in sessions.read_sessions(spark, target).where("NOT closed").collect()] == ["z"]
+
+
+def test_sessions_do_not_depend_on_batches(spark, tmp_path):
+    source = str(tmp_path / "in")
+    files_ = [[("late", 90_000), ("a", 30_000)], [("a", 0)], [("b", 10)], [("early", 5), ("a", 21_600)], [("b", 21_611), ("a", 60_000)]]
+    schema = "DialogID string, Date timestamp, seq long"
+    for n, rows in enumerate(files_):
+        spark.createDataFrame([(d, START + timedelta(seconds=s), n) for d, s in rows], schema).coalesce(1).write.mode("append").parquet(source)
+    tables = []
+    for size in (1, 1_000):
+        target, progress = str(tmp_path / f"out{size}"), str(tmp_path / f"progress{size}")
+        finish(sessions.stream_sessions(ingest.message_stream(spark, source, schema, files_per_batch=size), target, progress))
+        tables.append(sorted(map(tuple, sessions.read_sessions(spark, target).collect())))
+    assert tables[0] == tables[1]
+    assert {r[0] for r in tables[0]} == {"late", "a", "b", "early"} and sum(r[3] for r in tables[0]) == 8
+
+
+def test_live_context_forgets_by_message_time(spark, tmp_path):
+    source, target, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    schema = "chat_id string, message_id long, message_time timestamp, message string, answer string"
+    rows = [("x", i, START + timedelta(seconds=s), f"m{i}", "a") for i, s in enumerate([0, 100, 3_700, 7_301])]
+    for row in rows:
+        spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(source)
+    stream = live_context.stream_context(ingest.message_stream(spark, source, schema), "en", forget_after_seconds=3600)
+    finish(ingest.ingest_incremental(stream, target, progress))
+    got = {r.message_id: "No context" in r.input_text for r in spark.read.parquet(target).collect()}
+    assert got == {0: True, 1: False, 2: False, 3: True}
+
+
+def test_broken_documents_fail_or_are_listed(spark, tmp_path):
+    for name, text in (("a", '{"messages": [{"sender_name": "P", "timestamp_ms": 1, "content": "x"}]}'), ("b", '{"messages": [')):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "message_1.json").write_text(text)
+    with pytest.raises(Exception):
+        instagram.scan_instagram(spark, str(tmp_path), min_messages=None).collect()
+    kept = instagram.scan_instagram(spark, str(tmp_path), min_messages=None, broken="skip")
+    assert [(r.DialogID, r.Message) for r in kept.collect()] == [("I_0", "x")]
+    listed = files.broken_documents(spark, str(tmp_path), instagram.EXPORT_SCHEMA, glob="message_1.json")
+    assert [r.path.endswith("b/message_1.json") for r in listed.collect()] == [True]
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "messages.json").write_text('[{"Timestamp": 1')
+    with pytest.raises(Exception):
+        discord.read_discord(spark, str(tmp_path)).collect()
+    assert discord.read_discord(spark, str(tmp_path), broken="skip").count() == 0
+
+
+def test_numbers_and_limits_count_matching_files_only(spark, tmp_path):
+    for folder in ("archived_threads/a", "inbox/b", "inbox/c"):
+        (tmp_path / folder).mkdir(parents=True)
+        (tmp_path / folder / "message_1.json").write_text('{"messages": [{"sender_name": "P", "timestamp_ms": 1, "content": "x"}]}')
+    got = instagram.scan_instagram(spark, str(tmp_path), min_messages=None, dir_pattern="inbox$")
+    assert sorted(r.DialogID for r in got.collect()) == ["I_0", "I_1"]
+    got = instagram.scan_instagram(spark, str(tmp_path), min_messages=None, dir_pattern="inbox$", dialogs_limit=1)
+    assert [r.DialogID for r in got.collect()] == ["I_0"]
+    export = tmp_path / "telegram"
+    export.mkdir()
+    (export / "result.json").write_text(json.dumps({"chats": {"list": [{"type": "personal_chat", "messages": [message("Hi")] * 2}]}}))
+    (export / "settings.json").write_text("{}")
+    got = telegram.scan_telegram(spark, str(export), min_messages=1, file_pattern="result")
+    assert {r.DialogID for r in got.collect()} == {"T_1"}
+
+
+def test_scratch_is_cleared(spark):
+    import os
+
+    path = scratch.settle(spark.range(3)).inputFiles()[0].removeprefix("file://")
+    assert os.path.exists(path)
+    scratch.clear_scratch(spark)
+    assert not os.path.exists(path)
 
 
 @pytest.mark.parametrize("forget", [None, 3600])
