@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
-from parley.catalog.dialog_queries import CONV_PAIRS_SQL, STAMP, STAMP_SQL, _conv_pairs
+from parley.catalog.dialog_queries import CONV_PAIRS_SQL, STAMP, STAMP_SQL, _conv_pairs, context_cte, session_ctes, turn_ctes
 from parley.catalog.registry import query
+from parley.catalog.text_queries import normalize_sql
 from parley.catalog.views import CHAT_CONV_SQL, CHAT_EVENTS_SQL, chat_conv, chat_events, table
 from parley.functions.prompts import labels_for
 from parley.operators import augmentation
 from parley.operators.turns import coalesce_bursts
 from parley.plans.scratch import scratch_path, settle
+from parley.plans.training import build_training_table
 from parley.sources import collect, discord, files, instagram, telegram
 from parley.streaming import events as event_log
 from parley.streaming import ingest, live_context, sessions
@@ -201,6 +205,31 @@ def collect_sources(spark, sf_dir):
     return both.select("DialogID", "Message", "Sent_by_me", "seq", "source")
 
 
+def _named(sql: str, prefix: str) -> str:
+    """The CTEs of ``sql`` (which begins with WITH chat_conv) under names of their own."""
+    body = sql.split(CHAT_CONV_SQL, 1)[1]
+    for name in ("sized", "kept", "docs", "named"):
+        body = re.sub(rf"\b{name}\b", f"{prefix}_{name}", body)
+    return body
+
+
+@query(
+    "training_table_from_exports",
+    f"""WITH {CHAT_CONV_SQL}{_named(_TELEGRAM_SQL, 'tg')}{_named(_INSTAGRAM_SQL, 'ig')},
+    collected AS (SELECT DialogID, Message, Sender, Date, Sent_by_me, seq FROM tg_named UNION ALL SELECT DialogID, Message, Sender, Date, Sent_by_me, seq FROM ig_named),
+    collected_normal AS (SELECT * FROM (SELECT * REPLACE ({normalize_sql('Message')} AS Message) FROM collected) WHERE Message IS NULL OR Message <> ''),
+    {turn_ctes('collected_normal')}, {session_ctes()}, {context_cte('plain', 'session')},
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY question ORDER BY DialogID, time_diff_seconds, seq) AS n FROM contexts)
+    SELECT question, answer, DialogID, strftime(timestamp, {STAMP_SQL}) AS timestamp, context FROM ranked WHERE n = 1""",
+)
+def training_table_from_exports(spark, sf_dir):
+    telegram_rows = telegram.scan_telegram(spark, _telegram_export(spark, sf_dir), me="1", min_messages=3)
+    instagram_rows = instagram.scan_instagram(spark, _instagram_export(spark, sf_dir), me="assistant", min_messages=4, file_name="part-*")
+    rows = settle(collect.collect_sources(telegram=telegram_rows, instagram=instagram_rows), "collected")
+    out = build_training_table(rows, cleaning="normalize", max_participants=None, checked=True)
+    return out.withColumn("timestamp", F.date_format("timestamp", STAMP))
+
+
 @query("csv_round_trip", f"WITH {CHAT_CONV_SQL} SELECT DialogID, Message, Sender, strftime(Date, {STAMP_SQL}) AS Date, Sent_by_me, seq FROM chat_conv")
 def csv_round_trip(spark, sf_dir):
     path = scratch_path(spark, "csv")
