@@ -247,9 +247,27 @@ def nearest_words(spark, sf_dir):
     return augmentation.nearest_words(vectors, 256).withColumn("score", F.round("score", 5))
 
 
-@query("synonym_table")
+_SYNONYM_SQL = f"""
+WITH rows AS (SELECT row_number() OVER () AS r, list_filter(regexp_extract_all(lower(text), {TOKENS}), lambda w: regexp_matches(w, '\\p{{L}}')) AS w FROM conversations),
+tokens AS (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM rows),
+frequent AS (SELECT word, row_number() OVER (ORDER BY count(*) DESC, word) - 1 AS c FROM tokens GROUP BY word QUALIFY c < 64),
+met AS (SELECT a.word, c, count(*) AS n FROM tokens a JOIN tokens b ON a.r = b.r AND b.i <> a.i AND abs(b.i - a.i) <= 2 JOIN frequent f ON f.word = b.word GROUP BY ALL),
+cells AS (SELECT g.word, g.c, coalesce(m.n, 0) AS n FROM (SELECT w.word, f.c FROM (SELECT DISTINCT word FROM met) w, frequent f) g LEFT JOIN met m ON g.word = m.word AND g.c = m.c),
+vectors AS (SELECT word, list(CAST(n AS DOUBLE) ORDER BY c) AS v FROM cells GROUP BY word),
+signs AS (SELECT bit, list(CASE WHEN md5(c || '|' || bit)[1] < '8' THEN CAST(1 AS DOUBLE) ELSE -1 END ORDER BY c) AS s
+          FROM (SELECT unnest(range(24)) AS bit), (SELECT c FROM frequent) GROUP BY bit),
+codes AS (SELECT word, v, bit // 6 || ':' || string_agg(CASE WHEN list_inner_product(v, s) >= 0 THEN '1' ELSE '0' END, '' ORDER BY bit) AS code FROM vectors, signs GROUP BY word, v, bit // 6),
+sized AS (SELECT *, CAST(ceil(count(*) OVER (PARTITION BY code) / 256.0) AS BIGINT) AS parts FROM codes),
+placed AS (SELECT *, CAST('0x' || substr(md5(word), 1, 8) AS BIGINT) % parts AS part FROM sized),
+scored AS (SELECT a.word, b.word AS synonym, list_inner_product(a.v, b.v) / sqrt(list_inner_product(a.v, a.v) * list_inner_product(b.v, b.v)) AS score
+           FROM placed a JOIN placed b ON a.code = b.code AND a.part = b.part AND a.word <> b.word)
+SELECT word, m.synonym, round(m.score, 6) AS score FROM (SELECT word, max({{'score': score, 'synonym': synonym}}) AS m FROM scored GROUP BY word)"""
+
+
+@query("synonym_table", _SYNONYM_SQL)
 def synonym_table(spark, sf_dir):
-    return augmentation.synonym_table(table(spark, sf_dir, "conversations"), "text", min_count=10, vector_size=16)
+    found = augmentation.synonym_table(table(spark, sf_dir, "conversations"), "text")
+    return found.withColumn("score", F.round("score", 6))
 
 
 # A rule that gives every word of the vocabulary a partner, for a checkable lookup.

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import Word2Vec
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,10 +16,13 @@ from parley.functions.text import listed, tokenize, word_list
 from parley.functions.variation import choose_edits, pop_word, shuffle_clauses, swap_words
 from parley.operators.limits import sample_exact
 from parley.plans.ranking import first_rows
+from parley.plans.scratch import settle
 from parley.schema import DIALOG, NO_CONTEXT
 
 # Vectors compared at once by one task.
 VECTORS_PER_BLOCK = 4_096
+# The most frequent words, whose neighbourhood describes a word.
+CONTEXT_WORDS = 64
 
 
 def augment_questions(
@@ -198,14 +200,67 @@ def nearest_words(vectors: DataFrame, block_rows: int = VECTORS_PER_BLOCK) -> Da
     return best.groupBy("word").agg(winner.alias("synonym"), F.max("score").alias("score"))
 
 
-def synonym_table(corpus: DataFrame, text: str, min_count: int = 5, vector_size: int = 50, seed: int = 42) -> DataFrame:
-    """Nearest word of each corpus word, from word vectors trained on the corpus itself."""
-    sentences = corpus.select(F.transform(tokenize(F.col(text)), F.lower).alias("tokens"))
-    model = Word2Vec(
-        inputCol="tokens", outputCol="vector", minCount=min_count, vectorSize=vector_size, seed=seed
-    ).fit(sentences)
-    vectors = model.getVectors().select("word", vector_to_array("vector").alias("vector"))
-    return nearest_words(vectors.where(F.col("word").rlike(r"\p{L}")))
+def context_vectors(corpus: DataFrame, text: str, contexts: int = CONTEXT_WORDS, reach: int = 2, min_count: int = 1) -> DataFrame:
+    """(word, vector): how often each of the most frequent words stands within ``reach`` of ``word``.
+
+    Words hold a letter and are in lower case; ties for the most frequent ones go by the alphabet.
+    Only words with such a neighbour have a row.
+    """
+    words = F.filter(F.transform(tokenize(F.col(text)), F.lower), lambda w: w.rlike(r"\p{L}"))
+    rows = settle(corpus.select(words.alias("w")).where(F.size("w") > 0), "tokens")
+    counts = rows.select(F.explode("w").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    counts = settle(counts, "word-counts")
+    frequent = [r.word for r in counts.orderBy(F.desc("n"), "word").limit(contexts).collect()]
+    if not frequent:
+        return rows.sparkSession.createDataFrame([], "word string, vector array<bigint>")
+    lo = lambda i: F.greatest(i - reach, F.lit(0))
+    around = F.transform("w", lambda w, i: F.struct(
+        w.alias("word"), F.concat(F.slice("w", lo(i) + 1, i - lo(i)), F.slice("w", i + 2, F.lit(reach))).alias("near")))
+    met = rows.select(F.explode(around).alias("m")).select("m.word", F.explode("m.near").alias("near"))
+    met = met.where(F.col("near").isin(frequent)).groupBy("word", "near").agg(F.count(F.lit(1)).alias("n"))
+    if min_count > 1:
+        met = met.join(counts.where(F.col("n") >= min_count).select("word"), "word", "left_semi")
+    by_word = met.groupBy("word").agg(F.map_from_entries(F.collect_list(F.struct("near", "n"))).alias("m"))
+    vector = F.transform(F.array(*[F.lit(c) for c in frequent]), lambda c: F.coalesce(F.try_element_at("m", c), F.lit(0)).cast("bigint"))
+    return by_word.select("word", vector.alias("vector"))
+
+
+def _band_codes(bands: int, bits: int, contexts: int) -> Column:
+    """Per band the signs of ``bits`` sums of the vector, each with signs fixed by md5."""
+    def sign(bit: int) -> list[int]:
+        return [1 if hashlib.md5(f"{c}|{bit}".encode()).hexdigest()[0] < "8" else -1 for c in range(contexts)]
+
+    def total(bit: int) -> Column:
+        signed = F.zip_with("vector", F.array(*[F.lit(s) for s in sign(bit)]), lambda v, s: v * s)
+        return F.aggregate(signed, F.lit(0).cast("bigint"), lambda a, v: a + F.coalesce(v, F.lit(0)))
+
+    one = lambda bit: F.when(total(bit) >= 0, "1").otherwise("0")
+    return F.array(*[F.concat(F.lit(f"{k}:"), *[one(k * bits + i) for i in range(bits)]) for k in range(bands)])
+
+
+def similar_words(vectors: DataFrame, contexts: int = CONTEXT_WORDS, bands: int = 4, bits: int = 6, part_rows: int = 256) -> DataFrame:
+    """For every (word, vector) row the most similar word by cosine among its candidates; approximate.
+
+    Candidates share the signs of a band.  A bucket of more than ``part_rows`` words is split by a
+    hash of the word, so a word meets at most about ``part_rows`` others per band, however large the
+    vocabulary.  Words without candidates have no row.
+    """
+    placed = settle(vectors.select("word", "vector", F.explode(_band_codes(bands, bits, contexts)).alias("code")), "bands")
+    sizes = placed.groupBy("code").agg(F.ceil(F.count(F.lit(1)) / part_rows).alias("parts"))
+    number = F.conv(F.substring(F.md5("word"), 1, 8), 16, 10).cast("bigint")
+    placed = placed.join(sizes, "code").withColumn("part", number % F.col("parts")).select("code", "part", "word", "vector")
+    other = placed.select("code", "part", F.col("word").alias("synonym"), F.col("vector").alias("v2"))
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0).cast("bigint"), lambda s, v: s + v)
+    pairs = placed.join(other, ["code", "part"]).where("word <> synonym")
+    score = dot(F.col("vector"), F.col("v2")) / F.sqrt((dot(F.col("vector"), F.col("vector")) * dot(F.col("v2"), F.col("v2"))).cast("double"))
+    scored = pairs.select("word", "synonym", score.alias("score"))
+    best = scored.groupBy("word").agg(F.max(F.struct("score", "synonym")).alias("b"))
+    return best.select("word", "b.synonym", "b.score")
+
+
+def synonym_table(corpus: DataFrame, text: str, min_count: int = 1, contexts: int = CONTEXT_WORDS) -> DataFrame:
+    """A similar word for each corpus word, from counts of the words around it; approximate."""
+    return similar_words(context_vectors(corpus, text, contexts, min_count=min_count), contexts)
 
 
 def replace_synonyms(

@@ -48,5 +48,5 @@ def test_query_equals_sql(spark, duck, name):
     assert rows == expected
 
 
-def test_every_query_but_trained_vectors_has_sql():
-    assert set(QUERIES) - set(ORACLES) == {"synonym_table"}
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLES)
