@@ -198,6 +198,8 @@ def match_windows(docs: DataFrame, items: DataFrame, window: int = WINDOW, shing
                 index.setdefault(k, {}).setdefault(row.tokens[offset], []).append((offset, row.n, len(texts_of)))
                 texts_of.append(bytes(row.words))
         state = state.mapInArrow(_probe(index, texts_of), schema)
+        if chunks > 1:  # one chunk's index at a time
+            state = settle(state, "probed")
     return state, windows.select("item_id", "words")
 
 

@@ -21,6 +21,7 @@ from __future__ import annotations
 import heapq
 import pickle
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -38,7 +39,7 @@ GROUP_ROWS = 256
 MAX_PIVOTS = 512
 LEAF = 64
 MAX_CHILDREN = 64
-#: Blocks whose centres are sent out at once.
+#: Blocks whose centres are held and sent out at once.
 BOUND_BLOCKS = 20_000
 
 
@@ -279,13 +280,19 @@ def _top_k_of(rows: DataFrame, every: int, k: int) -> DataFrame | None:
     groups = _blocks(queries.mapInArrow(_assign(pivots), fields), GROUP_ROWS)
     if groups.isEmpty():
         return None
-    blocks = index.select("block", "centre", "radius").orderBy("block").collect()
+    chunks = -(-index.count() // BOUND_BLOCKS)
+
+    def meetings(shape: DataFrame, first: bool) -> DataFrame:
+        """Bounds of all groups against all blocks; centres of about BOUND_BLOCKS blocks are held at a time."""
+        parts = []
+        for chunk in range(chunks):
+            part = index.where(F.pmod(F.xxhash64("block"), F.lit(chunks)) == chunk).select("block", "centre", "radius")
+            if blocks := part.orderBy("block").collect():
+                parts.append(settle(shape.mapInArrow(_meetings(blocks, first), "group bigint, block bigint, bound double"), "bounds"))
+        return reduce(DataFrame.unionByName, parts)
+
     group_shape = groups.select("block", "centre", "radius")
-    chunks = [blocks[i : i + BOUND_BLOCKS] for i in range(0, len(blocks), BOUND_BLOCKS)]
-    meets = [group_shape.mapInArrow(_meetings(c, True), "group bigint, block bigint, bound double") for c in chunks]
-    meet = meets[0]
-    for more in meets[1:]:
-        meet = meet.unionByName(more)
+    meet = meetings(group_shape, True)
     meet = settle(meet.groupBy("group").agg(F.max_by("block", F.struct("bound", "block")).alias("block")), "meetings")
     first = settle(_search_meetings(meet, groups, index, None, k), "first")
     kth = first.groupBy("group", "query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).cast("double").alias("kth"))
@@ -297,11 +304,8 @@ def _top_k_of(rows: DataFrame, every: int, k: int) -> DataFrame | None:
     worst = F.when(F.col("n") == F.col("size"), F.col("worst")).otherwise(F.lit(float("-inf")))
     state = settle(state.select("group", "seen", F.coalesce("floors", F.create_map().cast("map<bigint,double>")).alias("floors"), worst.alias("worst")), "floors")
     shape = group_shape.join(state.select(F.col("group").alias("block"), "seen", "worst"), "block")
-    out = first
-    for chunk in chunks:
-        rest = shape.mapInArrow(_meetings(chunk, False), "group bigint, block bigint, bound double")
-        out = out.unionByName(_search_meetings(rest, groups, index, state, k))
-    return out.select("query_id", "vec_id", "score")
+    rest = _search_meetings(meetings(shape, False), groups, index, state, k)
+    return first.unionByName(rest).select("query_id", "vec_id", "score")
 
 
 def _sizes(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
