@@ -296,7 +296,12 @@ def model_stats(rows: DataFrame, shard_tokens: int = SHARD_TOKENS) -> dict:
     total = counted.agg(F.sum("n").alias("n"), F.count_if(F.col("n") > 0).alias("v"), F.count_if(F.col("n") == 1).alias("ones"),
                         F.count_if(F.col("n") == 2).alias("twos"), F.sum("uses").alias("uses")).first()
     uses = total.uses or 0
-    common = [r.word for r in counted.orderBy(F.desc("uses"), "word").limit(CODES).collect()]
+    # Common words: the lowest of these thresholds that no more than CODES words reach.  At most
+    # CODES words can make up 1 / CODES of all uses each, so the first one always serves.
+    thresholds = [max(1, -(-uses // (CODES << k))) for k in range(12)]
+    reach = counted.agg(*[F.count_if(F.col("uses") >= t).alias(f"t{k}") for k, t in enumerate(thresholds)]).first()
+    threshold = min(t for t, n in zip(thresholds, reach) if n <= CODES)
+    common = [r.word for r in counted.where(F.col("uses") >= threshold).select("word").collect()]
     # At most uses / (shard_tokens / 2) words.
     hot = counted.where(F.col("uses") > shard_tokens // 2).collect()
     ends = counted.where(F.col("word") == int(END)).first()
