@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401  pa.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -238,24 +240,57 @@ def _band_codes(bands: int, bits: int, contexts: int) -> Column:
     return F.array(*[F.concat(F.lit(f"{k}:"), *[one(k * bits + i) for i in range(bits)]) for k in range(bands)])
 
 
-def similar_words(vectors: DataFrame, contexts: int = CONTEXT_WORDS, bands: int = 4, bits: int = 6, part_rows: int = 256) -> DataFrame:
+def _closest(table: pa.Table) -> pa.Table:
+    """For each row of one block, or of two blocks against each other, the best of the others."""
+    table = table.take(pa.compute.sort_indices(table["top"]))  # by bytes, as Spark compares
+    tops, block = table["top"].to_numpy(zero_copy_only=False), table["b"].to_numpy()
+    flat = table["vector"].combine_chunks().flatten().fill_null(0)
+    matrix = flat.to_numpy(zero_copy_only=False).astype("float64").reshape(len(tops), -1)
+    norms = (matrix * matrix).sum(axis=1)
+    low, high = np.flatnonzero(block == block.min()), np.flatnonzero(block == block.max())
+    at, best, score = [], [], []
+    for asking, answering in [(low, high)] if block.min() == block.max() else [(low, high), (high, low)]:
+        for k in range(0, len(asking), 512):
+            rows = asking[k : k + 512]
+            scores = matrix[rows] @ matrix[answering].T
+            with np.errstate(divide="ignore", invalid="ignore"):
+                scores /= np.sqrt(norms[rows, None] * norms[None, answering])
+            scores[(rows[:, None] == answering[None, :]) | np.isnan(scores)] = -np.inf
+            # Of equal scores the last word counts.
+            found = scores.shape[1] - 1 - scores[:, ::-1].argmax(axis=1)
+            at.append(rows)
+            best.append(answering[found])
+            score.append(scores[np.arange(len(rows)), found])
+    at, best, score = np.concatenate(at), np.concatenate(best), np.concatenate(score)
+    some = np.isfinite(score)
+    return pa.table({"top": pa.array(tops[at[some]], pa.string()), "synonym": pa.array(tops[best[some]], pa.string()), "score": score[some]})
+
+
+def similar_words(vectors: DataFrame, contexts: int = CONTEXT_WORDS, bands: int = 4, bits: int = 6, block_rows: int = VECTORS_PER_BLOCK) -> DataFrame:
     """For every (word, vector) row the most similar word by cosine among its candidates; approximate.
 
-    Candidates share the signs of a band.  A bucket of more than ``part_rows`` words is split by a
-    hash of the word, so a word meets at most about ``part_rows`` others per band, however large the
-    vocabulary.  Words without candidates have no row.
+    Candidates share the signs of a band, and a word meets all of them: words of equal vectors are
+    compared as one, and a bucket of more than ``block_rows`` vectors is cut into blocks of which
+    every pair meets in one bounded task.  Words without candidates have no row.
     """
-    placed = settle(vectors.select("word", "vector", F.explode(_band_codes(bands, bits, contexts)).alias("code")), "bands")
-    sizes = placed.groupBy("code").agg(F.ceil(F.count(F.lit(1)) / part_rows).alias("parts"))
-    number = F.conv(F.substring(F.md5("word"), 1, 8), 16, 10).cast("bigint")
-    placed = placed.join(sizes, "code").withColumn("part", number % F.col("parts")).select("code", "part", "word", "vector")
-    other = placed.select("code", "part", F.col("word").alias("synonym"), F.col("vector").alias("v2"))
-    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0).cast("bigint"), lambda s, v: s + v)
-    pairs = placed.join(other, ["code", "part"]).where("word <> synonym")
-    score = dot(F.col("vector"), F.col("v2")) / F.sqrt((dot(F.col("vector"), F.col("vector")) * dot(F.col("v2"), F.col("v2"))).cast("double"))
-    scored = pairs.select("word", "synonym", score.alias("score"))
-    best = scored.groupBy("word").agg(F.max(F.struct("score", "synonym")).alias("b"))
-    return best.select("word", "b.synonym", "b.score")
+    words = settle(vectors.select("word", "vector"), "vectors")
+    groups = settle(words.groupBy("vector").agg(F.max("word").alias("top")), "groups")
+    members = settle(words.join(groups, "vector").select("word", "top"), "members")
+    placed = settle(groups.select("top", "vector", F.explode(_band_codes(bands, bits, contexts)).alias("code")), "bands")
+    # At most bands * 2 ** bits rows.
+    sizes = placed.groupBy("code").agg(F.ceil(F.count(F.lit(1)) / block_rows).alias("blocks"))
+    placed = placed.join(F.broadcast(sizes), "code").withColumn("b", F.pmod(F.xxhash64("top"), F.col("blocks")))
+    placed = placed.withColumn("p", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    pairs = placed.select("code", F.least("b", "p").alias("i"), F.greatest("b", "p").alias("j"), "b", "top", "vector")
+    best = pairs.groupBy("code", "i", "j").applyInArrow(_closest, "top string, synonym string, score double")
+    best = best.groupBy("top").agg(F.max(F.struct("score", "synonym")).alias("other"))
+    # Words of the same vector: the last of them, or for that one the last but one.
+    second = members.where("word <> top").groupBy("top").agg(F.max("word").alias("second"))
+    found = members.join(best, "top", "left").join(second, "top", "left")
+    twin = F.when(F.col("word") == F.col("top"), F.col("second")).otherwise(F.col("top"))
+    own = F.when(twin.isNotNull(), F.struct(F.lit(1.0).alias("score"), twin.alias("synonym")))
+    found = found.select("word", F.greatest("other", own).alias("b")).where("b IS NOT NULL")
+    return found.select("word", "b.synonym", "b.score")
 
 
 def synonym_table(corpus: DataFrame, text: str, min_count: int = 1, contexts: int = CONTEXT_WORDS) -> DataFrame:

@@ -60,3 +60,17 @@ def test_alternation_is_asserted_inside_the_job(spark):
     assert turns.assert_alternation(df.limit(2)).count() == 2
     with pytest.raises(Exception, match="out of turn"):
         turns.assert_alternation(df).collect()
+
+
+def test_similar_words_meet_their_whole_bucket(spark):
+    """600 vectors of one bucket, each with a near twin, and one vector that many words share."""
+    rows = [(f"w{i:03d}{side}", [20_000 + 20 * i, 20_000 - 20 * i + side] + [1] * 62) for i in range(600) for side in (0, 1)]
+    rows += [(f"same{i:03d}", [5] * 64) for i in range(300)]
+    vectors = spark.createDataFrame(rows, "word string, vector array<bigint>")
+    exact = {r.word: r.score for r in augmentation.nearest_words(vectors.where("word LIKE 'w%'")).collect()}
+    for block_rows in (4096, 100):
+        found = {r.word: (r.synonym, r.score) for r in augmentation.similar_words(vectors, block_rows=block_rows).collect()}
+        assert len(found) == len(rows)
+        assert sum(found[w][1] >= s - 1e-12 for w, s in exact.items()) >= 0.9 * len(exact)
+        assert all(found[w][0] == w[:4] + "10"[int(w[4])] for w in exact)
+        assert found["same299"] == ("same298", 1.0) and found["same000"] == ("same299", 1.0)
