@@ -7,7 +7,9 @@ record by record by the declared lengths, whatever the payload holds.
 ARC files start with a version block that says how the header lines are laid out: five fields in
 version 1 (URL, IP, date, type, length), ten in version 2 (with result code, checksum, location,
 offset and filename).  The converter synthesises from these what WARC asks for: record ids (name
-based UUIDs, the same in every run), ISO timestamps, record types and SHA-1 digests.
+based UUIDs, the same in every run), ISO timestamps, record types and SHA-1 digests.  Blocks go over
+byte by byte: an HTTP response becomes a response record with its own head, any other block (dns, ftp)
+a resource record with the content type of its ARC header.
 
 Equal payloads of ``min_revisit`` bytes or more are stored once: the record with the largest page
 id is the response, the others revisit it.  Payload digests are grouped by an aggregate over
@@ -18,6 +20,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -38,7 +41,8 @@ ARC_FIELDS = {
     2: "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length",
 }
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
-RECORD_SCHEMA = "page_id bigint, url string, ip string, date string, mime string, payload binary"
+_BLANK_LINE = re.compile(rb"\r?\n\r?\n")
+RECORD_SCHEMA = "page_id bigint, url string, ip string, date string, mime string, head binary, payload binary"
 
 
 # --- ARC ---------------------------------------------------------------------------------------
@@ -70,6 +74,11 @@ def arc_record(version: int, url: str | None, page_id: int | None, payload: byte
     return (" ".join(fields) + f" {len(block)}\n").encode() + block
 
 
+def _lines(records: list[bytes]) -> pa.RecordBatch:
+    """Records for Spark's text writer, which writes the bytes as they are; they need not be UTF-8."""
+    return pa.RecordBatch.from_arrays([pa.array(records, pa.binary()).view(pa.string())], names=["value"])
+
+
 def _to_arc(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of one file: its version block, then its records.  Files take turns in the version."""
     opened = False
@@ -81,7 +90,7 @@ def _to_arc(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 out.append(arc_version_block(version, "pages.arc"))
                 opened = True
             out.append(arc_record(version, url, page_id, payload or b"", "pages.arc"))
-        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()).cast(pa.string())], names=["value"])
+        yield _lines(out)
 
 
 class ArchiveError(ValueError):
@@ -95,6 +104,14 @@ def _line(content: bytes, at: int) -> tuple[bytes, int]:
     return content[at:end].rstrip(b"\r"), end + 1
 
 
+def _text(field: bytes) -> str:
+    """A header field; bytes that are no UTF-8 are escaped as in URLs."""
+    try:
+        return field.decode()
+    except UnicodeDecodeError:
+        return "".join(chr(c) if c < 128 else f"%{c:02X}" for c in field)
+
+
 def read_arc(content: bytes) -> Iterator[tuple[str, str, str, str, bytes]]:
     """(url, ip, date, mime, block) of every record of an ARC file, its version block left out."""
     at, fields = 0, 0
@@ -122,14 +139,23 @@ def read_arc(content: bytes) -> Iterator[tuple[str, str, str, str, bytes]]:
             continue
         if len(words) != fields:
             raise ArchiveError(f"{len(words)} fields in ARC header {line[:80]!r}, {fields} expected")
-        yield words[0].decode(), words[1].decode(), words[2].decode(), words[3].decode(), block
+        yield _text(words[0]), _text(words[1]), _text(words[2]), _text(words[3]), block
+
+
+def split_block(block: bytes) -> tuple[bytes | None, bytes]:
+    """Head, with its blank line, and payload of an HTTP response; of any other block no head and all of it."""
+    if not block.startswith(b"HTTP/"):
+        return None, block
+    blank = _BLANK_LINE.search(block)
+    end = blank.end() if blank else len(block)
+    return block[:end], block[end:]
 
 
 def split_http(block: bytes) -> tuple[dict[str, str], bytes]:
-    """Header fields (lower-case names) and payload of an HTTP response."""
-    head, _, payload = block.partition(b"\r\n\r\n")
-    fields = (line.partition(b":") for line in head.split(b"\r\n")[1:])
-    return {k.decode().strip().lower(): v.decode().strip() for k, _, v in fields}, payload
+    """Header fields (lower-case names) and payload of an HTTP response; a block that is none is all payload."""
+    head, payload = split_block(block)
+    fields = (line.partition(b":") for line in (head or b"").splitlines()[1:] if line)
+    return {k.decode("latin-1").strip().lower(): v.decode("latin-1").strip() for k, _, v in fields}, payload
 
 
 # --- WARC --------------------------------------------------------------------------------------
@@ -141,29 +167,39 @@ def warc_date(arc_date: str) -> str:
     return f"{d[:4]}-{d[4:6]}-{d[6:8]}T{d[8:10]}:{d[10:12]}:{d[12:14]}Z"
 
 
-def record_id(page_id: int | None, digest: str) -> str:
+def record_id(page_id: int | str | None, digest: str) -> str:
     return f"urn:uuid:{uuid.uuid5(_SPACE, f'{page_id}/{digest}')}"
 
 
-def warc_record(url: str, ip: str, date: str, page_id: int | None, payload: bytes, refers_to: int | None) -> bytes:
-    """One WARC record without its two closing line ends; a revisit has no payload in its block."""
+def warc_record(url: str, ip: str, date: str, page_id: int | None, payload: bytes, refers_to: int | None,
+                head: bytes | None = None, resource: str | None = None) -> bytes:
+    """One WARC record without its two closing line ends; a revisit has no payload in its block.
+
+    ``head`` is the HTTP head of the response, without one a plain head is made; ``resource`` is the
+    content type of a payload that is no HTTP response.
+    """
     digest = hashlib.sha1(payload)
     revisit = refers_to is not None
-    block = _http(page_id, payload)
-    if revisit:
-        block = block[: len(block) - len(payload)]
+    if resource is None and head is None:
+        made = _http(page_id, payload)
+        head = made[: len(made) - len(payload)]
+    kind = "revisit" if revisit else "response" if resource is None else "resource"
+    block = (head or b"") + (b"" if revisit else payload)
     b32 = base64.b32encode(digest.digest()).decode()
-    head = [
-        "WARC/1.0", f"WARC-Type: {'revisit' if revisit else 'response'}",
-        f"WARC-Record-ID: <{record_id(page_id, digest.hexdigest())}>", f"WARC-Date: {warc_date(date)}",
-        f"WARC-Target-URI: {url}", f"WARC-IP-Address: {ip}", "Content-Type: application/http; msgtype=response",
+    # Records without page id differ by URL and date.
+    name = page_id if page_id is not None else f"{url} {date}"
+    lines = [
+        "WARC/1.0", f"WARC-Type: {kind}",
+        f"WARC-Record-ID: <{record_id(name, digest.hexdigest())}>", f"WARC-Date: {warc_date(date)}",
+        f"WARC-Target-URI: {url}", f"WARC-IP-Address: {ip}", f"Content-Type: {resource or 'application/http; msgtype=response'}",
         f"WARC-Payload-Digest: sha1:{b32}",
         "WARC-Block-Digest: sha1:" + base64.b32encode(hashlib.sha1(block).digest()).decode(),
     ]
     if revisit:
-        head += [f"WARC-Profile: {REVISIT_PROFILE}", f"WARC-Refers-To: <{record_id(refers_to, digest.hexdigest())}>", f"X-Refers-To-Page: {refers_to}"]
-    head.append(f"Content-Length: {len(block)}")
-    return "\r\n".join(head).encode() + b"\r\n\r\n" + block
+        lines += [f"WARC-Profile: {REVISIT_PROFILE}", f"WARC-Refers-To: <{record_id(refers_to, digest.hexdigest())}>",
+                  f"X-Refers-To-Page: {refers_to}", f"X-Payload-Length: {len(payload)}"]
+    lines.append(f"Content-Length: {len(block)}")
+    return "\r\n".join(lines).encode() + b"\r\n\r\n" + block
 
 
 def read_warc(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -212,11 +248,11 @@ def _contents(parts: Iterator[pa.RecordBatch]) -> Iterator[bytes]:
 
 
 def _in_batches(rows: Iterator[tuple], schema: pa.Schema, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    """Batches of rows of about ``most`` bytes in their last column."""
+    """Batches of rows of about ``most`` bytes in their binary columns."""
     held, size = [], 0
     for row in rows:
         held.append(row)
-        size += len(row[-1] or b"")
+        size += sum(len(c) for c in row if isinstance(c, bytes))
         if size >= most:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), schema.types)], schema=schema)
             held, size = [], 0
@@ -225,26 +261,31 @@ def _in_batches(rows: Iterator[tuple], schema: pa.Schema, most: int = 8 << 20) -
 
 
 def _page_id(fields: dict[str, str]) -> int | None:
-    return int(fields["x-page-id"]) if "x-page-id" in fields else None
+    """The page id that ``arc_record`` has written; other writers' records have none."""
+    value = fields.get("x-page-id", "")
+    return int(value) if re.fullmatch(r"-?[0-9]{1,19}", value) and abs(int(value)) < 1 << 63 else None
 
 
 def _arc_rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("ip", pa.string()), ("date", pa.string()), ("mime", pa.string()), ("payload", pa.binary())])
+    schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("ip", pa.string()), ("date", pa.string()), ("mime", pa.string()), ("head", pa.binary()), ("payload", pa.binary())])
 
     def rows():
         for content in _contents(parts):
             for url, ip, date, mime, block in read_arc(content):
-                fields, payload = split_http(block)
-                yield _page_id(fields), url, ip, date, mime, payload
+                head, payload = split_block(block)
+                yield _page_id(split_http(head or b"")[0]), url, ip, date, mime, head, payload
 
     return _in_batches(rows(), schema)
 
 
 def _to_warc(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in parts:
-        columns = [part.column(c).to_pylist() for c in ("url", "ip", "date", "page_id", "payload", "refers_to")]
-        out = [warc_record(*row) for row in zip(*columns)]
-        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()).cast(pa.string())], names=["value"])
+        columns = [part.column(c).to_pylist() for c in ("url", "ip", "date", "page_id", "payload", "refers_to", "head", "mime")]
+        out = []
+        for *row, head, mime in zip(*columns):
+            kind = mime if "/" in mime else "application/octet-stream"
+            out.append(warc_record(*row, head, None if head is not None else kind))
+        yield _lines(out)
 
 
 def _warc_rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,11 +298,11 @@ def _warc_rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 http, payload = split_http(block)
                 kind = fields["warc-type"]
                 digest = base64.b32decode(fields["warc-payload-digest"].partition(":")[2]).hex()
-                if kind == "response" and hashlib.sha1(payload).hexdigest() != digest:
+                if kind != "revisit" and hashlib.sha1(payload).hexdigest() != digest:
                     raise ArchiveError(f"payload of {fields['warc-record-id']} does not fit its digest")
                 refers = int(fields["x-refers-to-page"]) if kind == "revisit" else None
                 yield (_page_id(http), fields["warc-target-uri"], kind, fields["warc-record-id"].strip("<>"), fields["warc-date"],
-                       int(http["content-length"]), digest, refers, payload if kind == "response" else None)
+                       int(fields["x-payload-length"]) if kind == "revisit" else len(payload), digest, refers, payload if kind != "revisit" else None)
 
     return _in_batches(rows(), schema)
 
@@ -273,22 +314,25 @@ def write_arc(pages: DataFrame, path: str) -> None:
 
 
 def read_arcs(spark: SparkSession, path: str) -> DataFrame:
-    """Records of ARC files: page_id, url, ip, date, mime, payload."""
+    """Records of ARC files: page_id, url, ip, date, mime, head (null if not HTTP), payload."""
     files = spark.read.format("binaryFile").load(path).select("content")
     return files.mapInArrow(_arc_rows, RECORD_SCHEMA)
 
 
 def convert_arcs(spark: SparkSession, arc_path: str, warc_path: str, min_revisit: int = MIN_REVISIT) -> None:
-    """Convert ARC files to WARC files; equal payloads of ``min_revisit`` bytes or more are stored once."""
+    """Convert ARC files to WARC files; equal payloads of ``min_revisit`` bytes or more are stored once.
+
+    Only HTTP responses with a page id to refer to become revisits; other records are kept whole.
+    """
     records = read_arcs(spark, arc_path)
-    digests = records.select("page_id", F.sha1("payload").alias("digest"), F.octet_length("payload").alias("bytes"))
+    digests = records.where("head IS NOT NULL").select("page_id", F.sha1("payload").alias("digest"), F.octet_length("payload").alias("bytes"))
     digests = settle(digests.where(F.col("bytes") >= min_revisit), "digests")
     kept = digests.groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).where("n > 1").select("digest", "refers_to")
     revisits = digests.join(kept, "digest").where(~F.col("page_id").eqNullSafe(F.col("refers_to"))).where("refers_to IS NOT NULL")
     revisits = revisits.select(F.col("page_id").alias("_page"), F.col("digest").alias("_digest"), "refers_to").distinct()
     joined = records.withColumn("_sha1", F.sha1("payload")).join(
-        revisits, F.col("page_id").eqNullSafe(F.col("_page")) & (F.col("_sha1") == F.col("_digest")), "left")
-    rows = joined.select("url", "ip", "date", "page_id", "payload", "refers_to").mapInArrow(_to_warc, "value string")
+        revisits, F.col("page_id").eqNullSafe(F.col("_page")) & (F.col("_sha1") == F.col("_digest")) & F.col("head").isNotNull(), "left")
+    rows = joined.select("url", "ip", "date", "page_id", "payload", "refers_to", "head", "mime").mapInArrow(_to_warc, "value string")
     rows.write.option("compression", "gzip").option("lineSep", "\r\n\r\n").text(warc_path)
 
 

@@ -92,3 +92,43 @@ def test_arc_and_warc_round_trip(version):
         list(warc.read_arc(content[:-9]))
     with pytest.raises(warc.ArchiveError):
         list(warc.read_arc(b"http://x 0 1 t 3\nabc\n"))
+
+
+@pytest.mark.parametrize("version", [1, 2])
+def test_foreign_arc_records_keep_their_bytes(spark, tmp_path, version):
+    image, big = bytes(range(256)) * 2, b"caf\xe9 " * 300
+    blocks = {
+        "http://a/gone": ("text/html", b"HTTP/1.0 404 Not Found\r\nServer: old\r\nX-Name: \xe9\r\nContent-Length: 99\r\n\r\nno"),
+        "http://a/img": ("image/png", b"HTTP/1.1 200 OK\nContent-Type: image/png\n\n" + image),
+        "http://a/head": ("text/html", b"HTTP/1.1 304 Not Modified\r\nServer: old\r\n"),
+        "http://a/one": ("text/html", b"HTTP/1.1 200 OK\r\nX-Page-Id: 1\r\nServer: one\r\n\r\n" + big),
+        "http://a/two": ("text/html", b"HTTP/1.1 200 Fine\r\nX-Page-Id: 2\r\nServer: two\r\n\r\n" + big),
+        "dns:a": ("text/dns", b"20010101000000\na. 60 IN A 1.2.3.4\n"),
+        "ftp://a/f": ("no-type", big),
+    }
+    more = ["200", "-", "-", "0", "f"] if version == 2 else []
+    content = warc.arc_version_block(version, "f") + b"\n"
+    for url, (mime, block) in blocks.items():
+        content += " ".join([url, "1.2.3.4", "20010203040506", mime, *more, str(len(block))]).encode() + b"\n" + block + b"\n"
+    (tmp_path / "old.arc").write_bytes(content)
+    warc.convert_arcs(spark, str(tmp_path / "old.arc"), str(tmp_path / "warc"))
+    files = [warc._unzipped(f.read_bytes()) for f in (tmp_path / "warc").glob("part-*")]
+    found = {f["warc-target-uri"]: (f, block) for content in files for f, block in warc.read_warc(content)}
+    assert set(found) == set(blocks)
+    revisit, block = found.pop("http://a/one")
+    assert revisit["warc-type"] == "revisit" and block + big == blocks["http://a/one"][1]
+    assert all(block == blocks[url][1] for url, (_, block) in found.items())
+    http = {"response": "application/http; msgtype=response"}
+    for url, (fields, _) in found.items():
+        kind = "response" if url.startswith("http") else "resource"
+        assert fields["warc-type"] == kind and fields["warc-date"] == "2001-02-03T04:05:06Z"
+        assert fields["content-type"] == http.get(kind, "text/dns" if url == "dns:a" else "application/octet-stream")
+    rows = {r.url: r for r in warc.read_warcs(spark, str(tmp_path / "warc")).collect()}
+    assert rows["http://a/img"].payload == image and rows["http://a/gone"].payload_bytes == 2 and rows["ftp://a/f"].payload == big
+    assert (rows["http://a/one"].refers_to, rows["http://a/one"].payload_bytes) == (2, len(big))
+
+
+def test_pages_need_not_be_utf8(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "http://a", bytearray(b"\xff\xe9"))], "page_id long, url string, payload binary")
+    warc.write_arc(pages, str(tmp_path / "arc"))
+    assert [bytes(r.payload) for r in warc.read_arcs(spark, str(tmp_path / "arc")).collect()] == [b"\xff\xe9"]
