@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-SEGMENT = 1 << 21
+SEGMENT = 1 << 18
 
 _BYTES = np.random.Generator(np.random.PCG64(7)).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -48,15 +48,15 @@ def _segment(data: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndar
     return mix(values + lengths.astype(np.uint64)), where[first]
 
 
-def hash_words(texts: list[bytes], separators: bytes = WHITESPACE) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, bounds): the words of text ``i``, A-Z lower-cased, are ``hashes[bounds[i]:bounds[i + 1]]``."""
+def hash_words(texts: list[bytes], separators: bytes = WHITESPACE, fold: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, bounds): the words of text ``i``, A-Z lower-cased if ``fold``, are ``hashes[bounds[i]:bounds[i + 1]]``."""
     is_word = np.ones(256, bool)
     is_word[list(separators)] = False
     counts, found = [], []
     for text in texts:
         # Cut long texts between words only.
         n, at = 0, 0
-        text = text.lower()
+        text = text.lower() if fold else text
         while at < len(text):
             end = at + SEGMENT
             if end < len(text):
@@ -72,7 +72,7 @@ def hash_words(texts: list[bytes], separators: bytes = WHITESPACE) -> tuple[np.n
     return (np.concatenate(found) if found else np.empty(0, np.uint64)), bounds
 
 
-def batches(texts: list[bytes | None], separators: bytes = WHITESPACE) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def batches(texts: list[bytes | None], separators: bytes = WHITESPACE, fold: bool = True) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first, hashes, bounds) for runs of texts of about one segment; a null text has no words."""
     first = 0
     while first < len(texts):
@@ -82,10 +82,11 @@ def batches(texts: list[bytes | None], separators: bytes = WHITESPACE) -> Iterat
             last += 1
         part = [t or b"" for t in texts[first:last]]
         if size > SEGMENT:
-            yield first, *hash_words(part, separators)
+            yield first, *hash_words(part, separators, fold)
         else:
             # Together: a separator between texts keeps their words apart.
-            joined = b" ".join(part).lower()
+            joined = b" ".join(part)
+            joined = joined.lower() if fold else joined
             is_word = np.ones(256, bool)
             is_word[list(separators)] = False
             hashes, starts = _segment(np.frombuffer(joined, np.uint8), is_word)
