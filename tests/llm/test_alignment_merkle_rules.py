@@ -277,3 +277,15 @@ def test_order_does_not_change_what_is_kept(spark, corpus):
     kept = lambda rows: counted((r.doc_id, r.failed_rule is None) for r in rows)
     assert kept(first) == kept(last) == kept(planned)
     assert {r.failed_rule for r in first} <= {None, *(r.name for r in rules)}
+
+
+def test_quick_encoder_equals_the_full_one():
+    files = [open(f"{alignment.TOKENIZERS}/{f}", "rb").read() for f in (alignment.A_FILE, alignment.B_FILE)]
+    pair = alignment.Pair(*files)
+    rng = np.random.Generator(np.random.PCG64(11))
+    letters = [chr(c) for c in range(256)] + list(" \n\t'a1 sé\x85\xa0\x1c.") * 12
+    texts = ["".join(rng.choice(letters, rng.integers(1, 40))) for _ in range(3000)]
+    texts += ["it's we'll I'd  x", " " * 5000, "a" * 5000, "a1" * 3000, "\n\n" * 150 + "x", "ab " * 4000, "œuvre — “x”", "é" * 399 + " " + "\t" * 399]
+    assert pair.quick is not None
+    assert pair.encode_a(texts) == [e.ids for e in pair.a.encode_batch(texts, add_special_tokens=False)]
+    assert alignment.quick_encoder(files[0].replace(b'"add_prefix_space":false', b'"add_prefix_space":true').replace(b'"add_prefix_space": false', b'"add_prefix_space": true')) is None
