@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parley.llm.common import pieces
 from parley.llm.wordhash import NOT_ALNUM, batches, mix
 from parley.plans.ranking import with_position
 from parley.plans.scratch import settle
@@ -54,7 +55,7 @@ def _windows(window: int, shingle: int):
     schema = pa.schema([("item_id", pa.string()), ("words", pa.binary()), ("n", pa.int32()), ("tokens", pa.list_(pa.int64()))])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in pieces(parts):
             texts = part.column("text").cast(pa.binary()).to_pylist()
             ids = part.column("item_id").to_pylist()
             for first, hashes, bounds in batches(texts, NOT_ALNUM):
@@ -102,7 +103,7 @@ def _count(tokens_by_length: dict[int, np.ndarray]):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = {k: _Tokens(v.view(np.uint64)) for k, v in tokens_by_length.items()}
         seen = {k: np.zeros(len(t.sorted), np.int64) for k, t in index.items()}
-        for part in parts:
+        for part in pieces(parts):
             for _, hashes, _ in batches(part.column("text").cast(pa.binary()).to_pylist(), NOT_ALNUM):
                 for k, tokens in index.items():
                     _, which = tokens.find(_shingles(hashes, k))
@@ -123,7 +124,7 @@ def _probe(index: dict[int, dict[int, list[tuple[int, int, int]]]], texts_of: li
     """
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup = {k: (_Tokens(np.array(list(v), np.int64).view(np.uint64)), v) for k, v in index.items()}
-        for part in parts:
+        for part in pieces(parts):
             texts = part.column("text").cast(pa.binary()).to_pylist()
             n_words = np.zeros(len(texts), np.int64)
             hits, found = part.column("hits").to_pylist(), part.column("found").to_pylist()

@@ -26,6 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parley.llm.common import pieces
 from parley.plans.ranking import with_position
 from parley.plans.scratch import settle
 
@@ -48,7 +49,7 @@ def _positions(min_words: int):
                         ("forward", pa.int64()), ("backward", pa.int64())])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in pieces(parts):
             columns: list[list] = [[] for _ in range(7)]
             for at, doc_id, text in zip(part.column("at").to_pylist(), part.column("doc_id").to_pylist(), part.column("text").cast(pa.binary()).to_pylist()):
                 if text is None:
@@ -102,7 +103,7 @@ def repeated_runs(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 def _without(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows with their spans of lines taken out of the text."""
-    for part in parts:
+    for part in pieces(parts):
         texts, n_lines, n_removed = [], [], []
         for text, starts, lengths in zip(*(part.column(c).to_pylist() for c in ("text", "starts", "lengths"))):
             lines = text.split("\n") if text is not None else []

@@ -19,11 +19,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parley.llm.common import pieces
+
 BITS = 18
 PER_CLASS = 4_000
-#: Indicators below this G statistic (of their class counts) are noise and get no weight.
-MIN_G = 20.0
-EPOCHS, COST = 30, 1.0
+#: Indicators seen in fewer rows get no weight: one row says nothing about a class.
+MIN_ROWS = 2
+EPOCHS, COST = 30, 0.02
 
 #: Features of a batch: texts -> (feature numbers below 2 ** BITS, text number of each).
 Featurize = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
@@ -80,18 +82,18 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, shares: tuple[float, float])
     n1, n0 = int((labels == 1).sum()), int((labels == 0).sum())
     if not n1 or not n0:
         return {"at": np.empty(0, np.int32), "w": np.empty(0), "slope": 1.0, "offset": np.log((n1 + 1) / (n0 + 1))}
+    # Every fourth row of a class is kept for the curve and takes no part in counts or weights.
+    fold = np.zeros(len(labels), bool)
+    for k in (0, 1):
+        fold[np.flatnonzero(labels == k)[3::4]] = True
     df = [np.zeros(1 << BITS), np.zeros(1 << BITS)]
-    for at, label in zip(rows, labels):
-        df[label][at] += 1
-    n, seen = n1 + n0, df[0] + df[1]
-    g = np.zeros(1 << BITS)
-    for part, size in ((df[0], n0), (df[1], n1)):
-        for observed, expected in ((part, seen * size / n), (size - part, (n - seen) * size / n)):
-            ok = (observed > 0) & (expected > 0)
-            g[ok] += 2 * observed[ok] * np.log(observed[ok] / expected[ok])
-    chosen = np.flatnonzero(g >= MIN_G)
-    ratio = np.log((df[1][chosen] + 0.5) / (n1 + 1)) - np.log((df[0][chosen] + 0.5) / (n0 + 1))
-    number = np.full(1 << BITS, -1, np.int64)
+    for at, label, kept in zip(rows, labels, fold):
+        if not kept:
+            df[label][at] += 1
+    ratio = np.log((df[1] + 1) / (df[1] + 1).sum()) - np.log((df[0] + 1) / (df[0] + 1).sum())
+    chosen = np.flatnonzero(df[0] + df[1] >= MIN_ROWS)
+    ratio = ratio[chosen]
+    number = np.full(1 << BITS, -1)
     number[chosen] = np.arange(len(chosen))
     # The last column is the bias.
     scaled = []
@@ -101,7 +103,6 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, shares: tuple[float, float])
         scaled.append((np.append(at, len(chosen)), np.append(ratio[at], 1.0)))
     weight = np.where(labels == 1, shares[1] / n1, shares[0] / n0)
     weight = weight / weight.mean()
-    fold = np.arange(len(rows)) % 4 == 3
     train = np.flatnonzero(~fold)
     w = dual_descent([scaled[i] for i in train], y[train], len(chosen) + 1, np.full(len(train), COST))
     margins = np.array([w[scaled[i][0]] @ scaled[i][1] for i in np.flatnonzero(fold)])
@@ -113,7 +114,7 @@ def _rows(featurize: Featurize):
     schema = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("features", pa.list_(pa.int32()))])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in pieces(parts):
             texts = [t or b"" for t in part.column("text").cast(pa.binary()).to_pylist()]
             at, row = _distinct(*featurize(texts))
             bounds = np.searchsorted(row, np.arange(len(texts) + 1))
@@ -123,11 +124,22 @@ def _rows(featurize: Featurize):
     return run
 
 
+def _smallest(labels: DataFrame, rows: int, n: int) -> DataFrame:
+    """The ``n`` of ``rows`` labels with the smallest hashes of their ids.
+
+    A threshold leaves about twice ``n`` of them, so that hardly any rows go to the task that sorts.
+    """
+    place = F.shiftrightunsigned(F.xxhash64("doc_id"), 1)
+    if rows > 2 * n + 1000:
+        labels = labels.where(place < int((2 * n + 1000) / rows * 2**63))
+    return labels.orderBy(place, "doc_id").limit(n)
+
+
 def train(docs: DataFrame, labels: DataFrame, featurize: Featurize, per_class: int = PER_CLASS) -> dict:
     """Fit on ``docs`` (doc_id, text) and ``labels`` (doc_id, label 0 or 1; other labels and null ids are left out)."""
     labels = labels.where("doc_id IS NOT NULL AND label IN (0, 1)").groupBy("doc_id").agg(F.min("label").cast("int").alias("label"))
     shares = {r.label: r["n"] for r in labels.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    parts = [labels.where(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for k in (0, 1)]
+    parts = [_smallest(labels.where(F.col("label") == k), shares.get(k, 0), per_class) for k in (0, 1)]
     chosen = parts[0].unionByName(parts[1])  # at most 2 * per_class rows
     texts = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "label")
     rows = texts.mapInArrow(_rows(featurize), "doc_id bigint, label int, features array<int>")
@@ -148,7 +160,7 @@ def scorer(model: dict, featurize: Featurize, columns: list[str]):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, used = np.zeros(1 << BITS), np.zeros(1 << BITS, bool)
         weights[model["at"]], used[model["at"]] = model["w"], True
-        for part in parts:
+        for part in pieces(parts):
             texts = [t or b"" for t in part.column("text").cast(pa.binary()).to_pylist()]
             margins = np.zeros(len(texts))
             # A few megabytes at a time keep the feature arrays small.

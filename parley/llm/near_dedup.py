@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parley.llm.common import pieces
 from parley.llm.graph import connected_components
 from parley.llm.wordhash import batches, mix
 from parley.plans.scratch import settle
@@ -78,7 +79,7 @@ def _features(words: int):
                         ("bands", pa.list_(pa.int64())), ("sig", pa.list_(pa.int64()))])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in pieces(parts):
             ids = part.column("doc_id")
             texts = part.column("text").cast(pa.binary()).to_pylist()
             for first, sets in shingle_sets(texts, words):
@@ -111,7 +112,7 @@ def _set_bytes(words: int):
     schema = pa.schema([("node", pa.int64()), ("members", pa.binary())])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in pieces(parts):
             for first, sets in shingle_sets(part.column("text").cast(pa.binary()).to_pylist(), words):
                 yield pa.RecordBatch.from_arrays(
                     [part.column("node").slice(first, len(sets)), pa.array([s.tobytes() for s in sets], pa.binary())], schema=schema)
