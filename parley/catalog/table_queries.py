@@ -44,10 +44,14 @@ def daily_counts(spark, sf_dir):
     return profile.daily_counts(_orders(spark, sf_dir), "o_orderdate")
 
 
+# The months of ``orders``; a pivot over a stated list can be part of a larger statement.
+_MONTHS = ", ".join(f"'{year}-{month:02}'" for year in range(1992, 1999) for month in range(1, 13) if (year, month) <= (1998, 8))
+
+
 @query(
     "message_heatmap",
-    """PIVOT (SELECT day(o_orderdate) AS day, strftime(o_orderdate, '%Y-%m') AS month FROM orders)
-       ON month USING count(*) GROUP BY day""",
+    f"""SELECT * FROM (PIVOT (SELECT day(o_orderdate) AS day, strftime(o_orderdate, '%Y-%m') AS month FROM orders)
+       ON month IN ({_MONTHS}) USING count(*) GROUP BY day)""",
 )
 def message_heatmap(spark, sf_dir):
     return profile.message_heatmap(_orders(spark, sf_dir), "o_orderdate").na.fill(0)

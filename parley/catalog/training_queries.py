@@ -257,10 +257,8 @@ vectors AS (SELECT word, list(CAST(n AS DOUBLE) ORDER BY c) AS v FROM cells GROU
 signs AS (SELECT bit, list(CASE WHEN md5(c || '|' || bit)[1] < '8' THEN CAST(1 AS DOUBLE) ELSE -1 END ORDER BY c) AS s
           FROM (SELECT unnest(range(24)) AS bit), (SELECT c FROM frequent) GROUP BY bit),
 codes AS (SELECT word, v, bit // 6 || ':' || string_agg(CASE WHEN list_inner_product(v, s) >= 0 THEN '1' ELSE '0' END, '' ORDER BY bit) AS code FROM vectors, signs GROUP BY word, v, bit // 6),
-sized AS (SELECT *, CAST(ceil(count(*) OVER (PARTITION BY code) / 256.0) AS BIGINT) AS parts FROM codes),
-placed AS (SELECT *, CAST('0x' || substr(md5(word), 1, 8) AS BIGINT) % parts AS part FROM sized),
 scored AS (SELECT a.word, b.word AS synonym, list_inner_product(a.v, b.v) / sqrt(list_inner_product(a.v, a.v) * list_inner_product(b.v, b.v)) AS score
-           FROM placed a JOIN placed b ON a.code = b.code AND a.part = b.part AND a.word <> b.word)
+           FROM codes a JOIN codes b ON a.code = b.code AND a.word <> b.word)
 SELECT word, m.synonym, round(m.score, 6) AS score FROM (SELECT word, max({{'score': score, 'synonym': synonym}}) AS m FROM scored GROUP BY word)"""
 
 
