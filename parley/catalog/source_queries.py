@@ -286,6 +286,34 @@ def stream_sessions(spark, sf_dir):
     return done.withColumns({c: F.date_format(c, STAMP) for c in ("first_message", "last_message")})
 
 
+_LATENESS = 40 * 86_400
+
+
+@query(
+    "stream_closed_sessions",
+    f"""WITH {CHAT_EVENTS_SQL}, gaps AS (SELECT *, epoch_us(Date) - lag(epoch_us(Date)) OVER (PARTITION BY DialogID ORDER BY Date, seq) AS gap FROM chat_events),
+    numbered AS (SELECT *, sum(CASE WHEN gap > 21600000000 THEN 1 ELSE 0 END) OVER (PARTITION BY DialogID ORDER BY Date, seq) AS c FROM gaps),
+    whole AS (SELECT DialogID, min(Date) AS a, max(Date) AS z, count(*) AS messages FROM numbered GROUP BY DialogID, c)
+    SELECT DialogID, strftime(a, {STAMP_SQL}) AS first_message, strftime(z, {STAMP_SQL}) AS last_message, messages
+    FROM whole WHERE z + INTERVAL 6 HOURS <= (SELECT max(ts) FROM events)""",
+)
+def stream_closed_sessions(spark, sf_dir):
+    # Three runs over files that cut through the dialogs in no order; the lateness covers all of them
+    # until a last message, long after, moves the watermark to the newest event.
+    source = scratch_path(spark, "stream-input")
+    rows = chat_events(spark, sf_dir).select("DialogID", "Date", "seq")
+    rows.withColumn("part", F.pmod(F.xxhash64("seq"), F.lit(3))).repartition(3, "part").drop("part").write.parquet(source)
+    target, progress = scratch_path(spark, "closed"), scratch_path(spark, "progress")
+    stream = ingest.message_stream(spark, source, rows.schema, files_per_batch=1)
+    _finish(sessions.stream_closed_sessions(stream, target, progress, lateness_seconds=_LATENESS))
+    newest = rows.agg(F.max("Date").alias("Date")).select(
+        F.lit("clock").alias("DialogID"), (F.col("Date") + F.make_dt_interval(secs=F.lit(_LATENESS))).alias("Date"), F.lit(-1).cast("bigint").alias("seq"))
+    newest.write.mode("append").parquet(source)
+    _finish(sessions.stream_closed_sessions(stream, target, progress, lateness_seconds=_LATENESS))
+    done = spark.read.schema(sessions.FRAGMENT).parquet(target)
+    return done.withColumns({c: F.date_format(c, STAMP) for c in ("first_message", "last_message")})
+
+
 _UK = labels_for("uk")
 _TURN = "' <Q' || i || '> ' || p.q || ' <A' || i || '> ' || p.a"
 

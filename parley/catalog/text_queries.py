@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from parley.catalog.registry import query
 from parley.catalog.views import table, text_table
 from parley.functions import text as tx
-from parley.operators import dedup, filters, language, profile
+from parley.operators import dedup, filters, language, language_model, phrases, profile
 
 # Appended to every text where the tables lack what a pattern looks for.
 SUFFIX = " see https://a.b/c?d=1 , by @olena and @Ivan_2,, or 😀👍 ☀ ok,,,"
@@ -206,3 +206,43 @@ def detect_language(spark, sf_dir):
 def language_names(spark, sf_dir):
     counts = table(spark, sf_dir, "documents").groupBy("lang").agg(F.count(F.lit(1)).alias("documents"))
     return language.with_language_name(counts).select("lang", "language_name", "documents")
+
+
+# Whole words and phrases that occur in the texts, some of them parts of others.
+PHRASES = ("the", "of the", "and the", "the the", "in", "und", "die die", "est la", "no such phrase")
+_BY_LENGTH = "|".join(sorted(PHRASES, key=len, reverse=True))
+_EDGE = r"[\p{L}\p{N}_]"
+
+
+def phrases_sql(text: str, mark: str) -> str:
+    """The same by a regular expression: longest phrases first; marks keep the borders Unicode-aware."""
+    return rf"""regexp_replace(regexp_replace(regexp_replace({text}, '({_EDGE}+)', '<\1>', 'g'),
+      '(?i)({"|".join("<" + p.replace(" ", "> <") + ">" for p in _BY_LENGTH.split("|"))})', '{mark}', 'g'), '<({_EDGE}+)>', '\1', 'g')"""
+
+
+@query("censor_phrases", f"SELECT conv_id, turn, {phrases_sql('text', 'CENSORED')} AS text FROM conversations WHERE text NOT SIMILAR TO '.*[<>].*'")
+def censor_phrases(spark, sf_dir):
+    rows = text_table(spark, sf_dir, "conversations").select("conv_id", "turn", "text").where(~F.col("text").rlike("[<>]"))
+    listed = spark.createDataFrame([(p,) for p in PHRASES], "phrase string")
+    return phrases.censor_phrases(rows, "text", listed)
+
+
+_SHORT = 29
+
+
+@query(
+    "identify_languages",
+    f"""SELECT lang, count(*) AS texts, true AS good, true AS good_short FROM documents
+    WHERE md5(CAST(doc_id AS VARCHAR))[1] < '4' AND length(text) >= 200 AND lang IS NOT NULL GROUP BY lang""",
+)
+def identify_languages(spark, sf_dir):
+    """Share of right answers for held-out documents: whole texts, and a few characters of them."""
+    docs = text_table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    fold = F.md5(F.col("doc_id").cast("string").cast("binary")).substr(1, 1) < "4"
+    model = language_model.train_languages(docs.where(~fold), "text", "lang")
+    held = docs.where(fold & (F.char_length("text") >= 200) & F.col("lang").isNotNull())
+    held = held.withColumn("short", F.substring("text", 60, _SHORT))
+    held = language_model.identify_languages(held, "text", model, "whole")
+    held = language_model.identify_languages(held, "short", model, "part", margin=0.0)
+    right = lambda c: F.avg(F.coalesce((F.col(c) == F.col("lang")).cast("int"), F.lit(0)))
+    return held.groupBy("lang").agg(F.count(F.lit(1)).alias("texts"), (right("whole") >= 0.97).alias("good"), (right("part") >= 0.9).alias("good_short"))

@@ -18,7 +18,7 @@ from parley.catalog.text_queries import TOKENS
 from parley.catalog.views import table, text_table
 from parley.functions import metrics, variation
 from parley.plans.training import pairs_with_context
-from parley.operators import augmentation, encoding, evaluation, language
+from parley.operators import augmentation, encoding, evaluation, language, subwords
 
 STOP = language.COMMON_WORDS["en"] + language.COMMON_WORDS["de"] + language.COMMON_WORDS["fr"]
 PROMPT = "Answer as the same person would."
@@ -469,3 +469,31 @@ _DRAWN = f"""DialogID || '-' || seq IN (SELECT id FROM (SELECT DialogID || '-' |
 )
 def evaluate_pairs_precision(spark, sf_dir):
     return _means(spark, sf_dir, samples=50, variant="precision")
+
+
+@query("subword_round_trip", "SELECT conv_id, turn, text, 0 AS unknown FROM conversations")
+def subword_round_trip(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    coded = subwords.encode_subwords(rows, {"text": ("ids", None)}).drop("text")
+    unknown = F.size(F.filter("ids", lambda i: (i < 0) | (i >= 50_257)))
+    return subwords.decode_subwords(coded, "ids", "text").select("conv_id", "turn", "text", unknown.cast("bigint").alias("unknown"))
+
+
+@query(
+    "subword_training_features",
+    f"""{CONV_PAIRS_SQL} SELECT DialogID, seq, 64 AS n_input, 16 AS n_labels, true AS starts_input, true AS starts_labels,
+    strlen(question) <= 20 AS short_padded FROM pairs""",
+)
+def subword_training_features(spark, sf_dir):
+    """Ids cut and padded; decoded, they are the beginnings of the texts."""
+    rows = _conv_pairs(spark, sf_dir).select("DialogID", "seq", F.col("question").alias("input_text"), F.col("answer").alias("output_text"))
+    coded = subwords.encode_subwords(rows, {"input_text": ("input_ids", 64), "output_text": ("labels", 16)})
+    for column, out in (("input_ids", "input_back"), ("labels", "labels_back")):
+        coded = subwords.decode_subwords(coded, column, out, mask=f"{column}_mask")
+    # A cut inside a character leaves a mark of replacement at the end.
+    start = lambda c: F.regexp_replace(c, "\\uFFFD+$", "")
+    whole = F.col("input_back") == F.col("input_text")
+    return coded.select(
+        "DialogID", "seq", F.size("input_ids").cast("bigint").alias("n_input"), F.size("labels").cast("bigint").alias("n_labels"),
+        F.startswith("input_text", start("input_back")).alias("starts_input"), F.startswith("output_text", start("labels_back")).alias("starts_labels"),
+        ((F.octet_length("input_text") <= 20) & whole & (F.array_min("input_ids_mask") == 0)).alias("short_padded"))

@@ -54,3 +54,34 @@ def read_sessions(spark: SparkSession, target: str, gap_seconds: int = CONVERSAT
     """The conversations so far: dialog, first and last message, messages, closed."""
     fragments = spark.read.schema(FRAGMENT + ", batch long").parquet(target).drop("batch")
     return merge_fragments(fragments, gap_seconds)
+
+
+def closed_sessions(messages: DataFrame, gap_seconds: int = CONVERSATION_GAP, lateness_seconds: int = 0) -> DataFrame:
+    """Conversations of a stream, each put out once, when it has ended.
+
+    A conversation has ended when the watermark (the newest message so far, less
+    ``lateness_seconds``) is past its last message by the gap.  Messages may come in any order inside
+    that lateness; an older one is left out and counted (``late_messages``).  The state is one row
+    per open conversation, kept by Spark's session windows and given up when it ends.
+    """
+    timed = messages.withWatermark(DATE, f"{lateness_seconds} seconds")
+    return session_fragments(timed, gap_seconds)
+
+
+def stream_closed_sessions(
+    stream: DataFrame, target: str, checkpoint: str, gap_seconds: int = CONVERSATION_GAP, lateness_seconds: int = 0, **trigger
+) -> StreamingQuery:
+    """Append every conversation to ``target`` once, when it has ended; by default all that is there, then stop.
+
+    Open conversations stay in the checkpoint and are put out by a later run.
+    """
+    writer = closed_sessions(stream, gap_seconds, lateness_seconds).writeStream.format("parquet").outputMode("append")
+    return writer.option("path", target).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
+
+def late_messages(query: StreamingQuery) -> int:
+    """Messages that ``query`` left out because they came later than the lateness allows.
+
+    Counted per batch; Spark keeps the last hundred batches of a query (``spark.sql.streaming.numRecentProgressUpdates``).
+    """
+    return sum(state.numRowsDroppedByWatermark for progress in query.recentProgress for state in progress.stateOperators)
