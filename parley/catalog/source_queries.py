@@ -77,6 +77,12 @@ def scan_telegram(spark, sf_dir):
     return rows.withColumn("Date", F.date_format("Date", STAMP))
 
 
+@query("scan_large_telegram", f"{_TELEGRAM_SQL} SELECT DialogID, Message, Sender, strftime(Date, {STAMP_SQL}) AS Date, Sent_by_me, seq FROM named")
+def scan_large_telegram(spark, sf_dir):
+    rows = telegram.scan_large_telegram(spark, _telegram_export(spark, sf_dir), me="1", min_messages=3)
+    return rows.withColumn("Date", F.date_format("Date", STAMP))
+
+
 def _burst_sql(named: str, fold: str) -> str:
     """Rows of the CTE ``named`` with bursts joined, newest first."""
     return f"""marked AS (SELECT *, CASE WHEN lag(Sender) OVER (PARTITION BY DialogID ORDER BY seq) = Sender THEN 0 ELSE 1 END AS st FROM {named} WHERE Message <> ''),

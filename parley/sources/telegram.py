@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from parley.functions.dates import parse_iso
@@ -12,6 +12,7 @@ from parley.operators.turns import coalesce_bursts
 from parley.plans.scratch import settle
 from parley.schema import DATE, DIALOG, MESSAGE, SENDER, SEQ
 from parley.sources.files import file_ranks, json_documents
+from parley.sources.json_ranges import ANY, json_elements
 
 # ``text`` is a string, or a list when the message is formatted.
 EXPORT_SCHEMA = """
@@ -54,16 +55,54 @@ def scan_telegram(
     else:
         dialog = F.concat(F.lit("T_"), number)
     rows = chats.select(dialog.alias(DIALOG), F.posexplode("chat.messages").alias("at", "m"))
+    out = _message_rows(rows, F.col("at"))
+    return out if me is None else with_sent_by_me(out, me)
+
+
+MESSAGE_JSON = "text VARIANT, from_id STRING, `from` STRING, date STRING"
+
+
+def scan_large_telegram(
+    spark: SparkSession, path: str, me=None, min_messages: int | None = 50, dialogs_limit: int | None = None, file_pattern: str | None = None
+) -> DataFrame:
+    """The rows of ``scan_telegram``, with every document cut into byte ranges that are parsed side by side.
+
+    For exports whose single file is too large for one task.  No chat is ever one row: its messages
+    are numbered and counted across the ranges.
+    """
+    found, heads = json_elements(spark, path, ("chats", "list", ANY, "messages", ANY), file_pattern)
+    chats = heads.select("file", "outer", F.get_json_object("text", "$.type").alias("type"))
+    if dialogs_limit is not None:
+        chats = chats.where(F.col("outer") <= dialogs_limit)
+    sizes = found.groupBy("file", "outer").agg(F.count(F.lit(1)).alias("n"))
+    kept = chats.where(F.col("type") == "personal_chat").join(sizes, ["file", "outer"], "left")
+    kept = kept.where(dialog_size_ok(F.coalesce("n", F.lit(0)), min_messages, strict=True))
+    # One row a chat.
+    kept = kept.withColumn("number", F.row_number().over(Window.partitionBy("file").orderBy("outer")))
+    ranks = file_ranks(spark, path, file_pattern)
+    number = F.col("number").cast("string")
+    if ranks.limit(2).count() > 1:
+        kept = kept.join(ranks, kept["file"] == ranks["_file"])
+        dialog = F.concat(F.lit("T"), F.col("_rank").cast("string"), F.lit("_"), number)
+    else:
+        dialog = F.concat(F.lit("T_"), number)
+    names = settle(kept.select("file", "outer", dialog.alias(DIALOG)), "dialogs")
+    rows = found.join(names, ["file", "outer"]).select(DIALOG, "inner", F.from_json("text", MESSAGE_JSON, {"mode": "FAILFAST"}).alias("m"))
+    out = _message_rows(rows, F.col("inner") - 1)
+    return out if me is None else with_sent_by_me(out, me)
+
+
+def _message_rows(rows: DataFrame, at) -> DataFrame:
+    """Message rows from (dialog, ``m``); formatted texts count as empty."""
     sender = digits_only(F.coalesce(F.nullif(F.col("m.from_id"), F.lit("")), F.col("m.from")))
     text = F.when(F.schema_of_variant("m.text") == "STRING", F.try_variant_get("m.text", "$", "string"))
-    out = rows.select(
+    return rows.select(
         DIALOG,
         F.coalesce(text, F.lit("")).alias(MESSAGE),
         sender.alias(SENDER),
         parse_iso(F.col("m.date")).alias(DATE),
-        F.col("at").cast("bigint").alias(SEQ),
+        at.cast("bigint").alias(SEQ),
     )
-    return out if me is None else with_sent_by_me(out, me)
 
 
 def read_telegram(spark: SparkSession, path: str, me=None, case: str = "first", order: str = "newest_first", **scan) -> DataFrame:
