@@ -15,6 +15,7 @@ a run starts.  Positions come from the lengths of the matches and of the pieces
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,34 +53,86 @@ SPAN = "array<struct<start:bigint,rank:int,end:bigint>>"
 CANDIDATE = "array<struct<start:bigint,rank:int,end:bigint,votes:array<int>,features:array<string>>>"
 
 
-def running_totals(values: Column) -> Column:
-    """Inclusive running sums of an array of longs, by chunks, so that long arrays stay cheap."""
-    empty = F.array().cast("array<bigint>")
+def _running(values: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """Inclusive running results of ``join`` over an array of longs (0 first), by chunks of chunks, so
+    that long arrays stay cheap."""
+    empty, zero = F.array().cast("array<bigint>"), F.lit(0).cast("bigint")
 
     def fold(part: Column, start: Column) -> Column:
         def step(acc: Column, v: Column) -> Column:
-            return F.concat(acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), start) + v))
+            return F.concat(acc, F.array(join(F.coalesce(F.try_element_at(acc, F.lit(-1)), start), v)))
 
         return F.aggregate(part, empty, step)
 
-    def with_offsets(chunks: Column) -> Column:
-        sums = F.transform(chunks, lambda c: F.aggregate(c, F.lit(0).cast("bigint"), lambda a, v: a + v))
-        zero = F.lit(0).cast("bigint")
-        return let(fold(sums, zero), lambda ends: F.flatten(F.transform(
-            chunks, lambda c, i: fold(c, F.when(i > 0, F.get(ends, i - 1)).otherwise(zero)))))
+    def level(v: Column, whole: Callable[[Column], Column]) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(v), F.lit(1)), F.lit(CHUNK))
+
+        def with_offsets(chunks: Column) -> Column:
+            results = F.transform(chunks, lambda c: F.aggregate(c, zero, join))
+            return let(whole(results), lambda ends: F.flatten(F.transform(
+                chunks, lambda c, i: fold(c, F.when(i > 0, F.get(ends, i - 1)).otherwise(zero)))))
+
+        return let(F.transform(starts, lambda s: F.slice(v, s, F.lit(CHUNK))), with_offsets)
+
+    return let(values, lambda v: level(v, lambda results: level(results, lambda top: fold(top, zero))))
+
+
+def running_totals(values: Column) -> Column:
+    """Inclusive running sums of an array of longs."""
+    return _running(values, lambda a, v: a + v)
+
+
+def running_tops(values: Column) -> Column:
+    """The largest of an array of longs (0 or more) up to each place."""
+    return _running(values, lambda a, v: F.greatest(a, v))
+
+
+def _below(sorted_values: Column, limit: Column) -> Column:
+    """How many of ``sorted_values`` are less than ``limit``, by binary search."""
+    rounds = F.sequence(F.lit(0), F.ceil(F.log2(F.size(sorted_values) + 1)).cast("int"))
+    ends = F.struct(F.lit(0).alias("lo"), F.size(sorted_values).alias("hi"))
 
-    starts = F.sequence(F.lit(1), F.greatest(F.size(values), F.lit(1)), F.lit(CHUNK))
-    return let(values, lambda v: let(F.transform(starts, lambda s: F.slice(v, s, F.lit(CHUNK))), with_offsets))
+    def halve(at: Column, _: Column) -> Column:
+        mid = F.shiftright(at["lo"] + at["hi"], 1)
+        less = (at["lo"] < at["hi"]) & F.coalesce(F.get(sorted_values, mid) < limit, F.lit(False))
+        return F.struct(F.when(less, mid + 1).otherwise(at["lo"]).alias("lo"), F.when(less | (at["lo"] >= at["hi"]), at["hi"]).otherwise(mid).alias("hi"))
 
+    return F.aggregate(rounds, ends, halve)["lo"]
+
+
+def untouched(found: Column, spans: Column) -> Column:
+    """Those of ``found`` (structs with start, end) that share no character with any of ``spans``, sorted by start.
+
+    Of the spans that start before a match's end, the furthest end decides: one binary search each.
+    """
+    known = F.struct(F.transform(spans, lambda s: s["start"]).alias("starts"), running_tops(F.transform(spans, lambda s: s["end"])).alias("tops"))
+
+    def free(k: Column) -> Column:
+        return F.filter(found, lambda m: F.coalesce(F.get(k["tops"], _below(k["starts"], m["end"]) - 1) <= m["start"], F.lit(True)))
+
+    return F.when((F.size(spans) == 0) | (F.size(found) == 0), found).otherwise(let(known, free))
+
+
+def matches(text: Column, pattern: str, context: bool = False) -> Column:
+    """Leftmost non-overlapping matches: array of (start, end, value), in code points.
+
+    ``context`` adds the 24 characters before a match and the one after it.  They come from the
+    pieces between the matches: cutting them out of the text would count its characters anew for
+    every match.
+    """
+    def around(found: Column, gaps: Column, i: Column) -> list[Column]:
+        last = lambda array, at: F.right(F.coalesce(F.get(array, at), F.lit("")), F.lit(24))
+        first = lambda array, at: F.left(F.coalesce(F.get(array, at), F.lit("")), F.lit(1))
+        before = F.right(F.concat(last(found, i - 2), last(gaps, i - 1), last(found, i - 1), last(gaps, i)), F.lit(24))
+        after = F.left(F.concat(first(gaps, i + 1), first(found, i + 1)), F.lit(1))
+        return [before.alias("before"), after.alias("after")]
 
-def matches(text: Column, pattern: str) -> Column:
-    """Leftmost non-overlapping matches: array of (start, end, value), in code points."""
     def located(found: Column, gaps: Column) -> Column:
         steps = F.zip_with(found, F.slice(gaps, F.lit(1), F.size(found)), lambda m, g: (F.char_length(m) + F.char_length(g)).cast("bigint"))
-        return let(running_totals(steps), lambda ends: F.zip_with(
-            found, ends, lambda m, e: F.struct((e - F.char_length(m)).alias("start"), e.alias("end"), m.alias("value"))))
+        return let(running_totals(steps), lambda ends: F.transform(found, lambda m, i: F.struct(
+            (F.get(ends, i) - F.char_length(m)).alias("start"), F.get(ends, i).alias("end"), m.alias("value"), *(around(found, gaps, i) if context else []))))
 
-    kind = "array<struct<start:bigint,end:bigint,value:string>>"
+    kind = "array<struct<start:bigint,end:bigint,value:string" + (",before:string,after:string>>" if context else ">>")
     none = F.array().cast(kind)
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     return let(found, lambda m: F.when(F.size(m) == 0, none).otherwise(
@@ -126,11 +179,9 @@ def _vote(yes: Column, no: Column | None = None) -> Column:
     return (vote.when(no, F.lit(-1)) if no is not None else vote).otherwise(F.lit(0))
 
 
-def _candidate(text: Column, m: Column, rank: int) -> Column:
+def _candidate(m: Column, rank: int) -> Column:
     """Votes and features of one proposed span."""
-    value = m["value"]
-    before = F.substring(text, F.greatest(m["start"] - 23, F.lit(1)).cast("int"), F.least(m["start"], F.lit(24)).cast("int"))
-    after = F.substring(text, (m["end"] + 1).cast("int"), F.lit(1))
+    value, before, after = m["value"], m["before"], m["after"]
     changes = F.regexp_count(value, F.lit("[0-9](?=[A-Za-z])")) + F.regexp_count(value, F.lit("[A-Za-z](?=[0-9])"))
 
     def described(b: Column) -> Column:
@@ -161,18 +212,18 @@ def _candidate(text: Column, m: Column, rank: int) -> Column:
     return let(before, described)
 
 
-def _described(text: Column, found: Column, rank: int) -> Column:
-    return F.transform(found, lambda m: _candidate(text, m, rank)).cast(CANDIDATE)
+def _described(found: Column, rank: int) -> Column:
+    return F.transform(found, lambda m: _candidate(m, rank)).cast(CANDIDATE)
 
 
 def candidate_spans(text: Column, base: Column) -> Column:
     """Proposed spans that touch no base span, with their votes and features."""
     parts = []
     for rank, pattern in ((2, CARD_SHAPE), (3, PHONE_SHAPE), (4, SECRET_SHAPE)):
-        free = F.filter(matches(text, pattern), lambda m: ~F.exists(base, lambda s: (s["start"] < m["end"]) & (m["start"] < s["end"])))
+        free = let(matches(text, pattern, context=True), lambda found: untouched(found, base))
         if rank == 4:
             free = F.filter(free, lambda m: m["value"].rlike("[A-Za-z]"))
-        parts.append(_described(text, free, rank))
+        parts.append(_described(free, rank))
     return F.when(text.rlike("[0-9]"), F.concat(*parts)).otherwise(F.array()).cast(CANDIDATE)
 
 
@@ -219,7 +270,7 @@ def _texts(spans: Column, kinds: tuple[str, ...]) -> Column:
 
 
 def find_personal_data(docs: DataFrame) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added for every row of ``docs``.
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added, n_spans for every row of ``docs``.
 
     Null text counts as empty and has no spans; repeated rows are searched one by one; an empty
     table, or one without candidates, trains nothing; further columns are not looked at.
@@ -243,4 +294,5 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     kinds = (*KINDS, ADDED)
     return out.select(
         "doc_id", *count, F.sha2(_texts(F.col("base"), kinds), 256).alias("base_sha256"),
-        _texts(F.array_sort(F.concat("base", "added")), kinds).alias("spans"), F.size("added").cast("bigint").alias("n_added"))
+        _texts(F.array_sort(F.concat("base", "added")), kinds).alias("spans"), F.size("added").cast("bigint").alias("n_added"),
+        (F.size("base") + F.size("added")).cast("bigint").alias("n_spans"))

@@ -112,15 +112,27 @@ def _text(field: bytes) -> str:
         return "".join(chr(c) if c < 128 else f"%{c:02X}" for c in field)
 
 
+# URL and type may hold blanks: address, date and the fields behind the type tell where they end.
+_LOOSE = {5: re.compile(rb"(.+) (\S+) ([0-9]{8,14}) (.*) ([0-9]+)"), 10: re.compile(rb"(.+) (\S+) ([0-9]{8,14}) (.*) (\S+) (\S+) (\S+) (\S+) (\S+) ([0-9]+)")}
+
+
+def _fields(line: bytes, fields: int) -> list[bytes]:
+    """The fields of a header line; ``fields``: how many there have to be (0: not known yet)."""
+    words = line.split(b" ")
+    if fields in _LOOSE and len(words) > fields and (found := _LOOSE[fields].fullmatch(line)):
+        return list(found.groups())
+    return words
+
+
 def read_arc(content: bytes) -> Iterator[tuple[str, str, str, str, bytes]]:
     """(url, ip, date, mime, block) of every record of an ARC file, its version block left out."""
     at, fields = 0, 0
     while at < len(content):
-        if content[at] == 10:  # the newline that ends a record
+        if content[at] in (10, 13):  # the line end behind a record
             at += 1
             continue
         line, at = _line(content, at)
-        words = line.split(b" ")
+        words = _fields(line, fields)
         try:
             length = int(words[-1])
         except ValueError as e:
@@ -237,6 +249,8 @@ def _unzipped(content: bytes) -> bytes:
     while content:
         member = zlib.decompressobj(31)
         out.append(member.decompress(content))
+        if not member.eof:
+            raise ArchiveError("a gzip member is cut off")
         content = member.unused_data
     return b"".join(out)
 
