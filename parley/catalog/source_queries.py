@@ -7,7 +7,7 @@ import re
 from pyspark.sql import functions as F
 
 from parley.catalog.dialog_queries import CONV_PAIRS_SQL, STAMP, STAMP_SQL, _conv_pairs, context_cte, session_ctes, turn_ctes
-from parley.catalog.registry import query
+from parley.catalog.registry import ORACLES, query
 from parley.catalog.text_queries import normalize_sql
 from parley.catalog.views import CHAT_CONV_SQL, CHAT_EVENTS_SQL, chat_conv, chat_events, table
 from parley.functions.prompts import labels_for
@@ -347,6 +347,21 @@ def stream_context(spark, sf_dir):
     return done.select("chat_id", "message_id", "question", "answer", "input_text")
 
 
+@query("keep_context", ORACLES["stream_context"])
+def keep_context(spark, sf_dir):
+    # The same messages in three files, one a micro-batch: the state carries the turns over.
+    rows = _conv_pairs(spark, sf_dir).select(
+        F.col("DialogID").alias("chat_id"), F.col("seq").alias("message_id"), F.col("timestamp").alias("message_time"), F.col("question").alias("message"), "answer")
+    source = scratch_path(spark, "stream-input")
+    first, second = (F.col("message_id") <= n for n in (2, 4))
+    for part in (first, ~first & second, ~second):
+        rows.where(part).coalesce(1).write.mode("append").parquet(source)
+    target, progress = scratch_path(spark, "contexts"), scratch_path(spark, "progress")
+    _finish(live_context.land_context(ingest.message_stream(spark, source, rows.schema, files_per_batch=1), target, progress))
+    done = spark.read.schema(live_context.OUTPUT).parquet(target)
+    return done.select("chat_id", "message_id", "question", "answer", "input_text")
+
+
 _FORGET = 20_000
 
 
