@@ -42,6 +42,8 @@ SHARD_TOKENS = 1_000_000
 CODES = 65_535
 #: Tokens of a batch of documents.
 BATCH_TOKENS = 1_000_000
+#: Bytes of text whose words are hashed together; its pairs make the rows that are shuffled.
+SEGMENT = 1 << 21
 #: Distinct words that a partition counts before it hands them on.
 FLUSH = 1_000_000
 
@@ -66,7 +68,7 @@ def _count_words(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for part in parts:
         held = part.column("held").to_numpy(zero_copy_only=False)
-        for first, hashes, bounds in batches(part.column("text").cast(pa.binary()).to_pylist()):
+        for first, hashes, bounds in batches(part.column("text").cast(pa.binary()).to_pylist(), segment=SEGMENT):
             train = ~held[first : first + len(bounds) - 1]
             found, where = np.unique(hashes, return_inverse=True)
             weight = np.repeat(train, np.diff(bounds)).astype(np.float64)
@@ -163,7 +165,7 @@ def _deal(stats: dict):
         docs_so_far = 0
         for part in parts:
             ids, held = part.column("doc_id"), part.column("held").to_numpy(zero_copy_only=False)
-            for first, hashes, bounds in batches(part.column("text").cast(pa.binary()).to_pylist()):
+            for first, hashes, bounds in batches(part.column("text").cast(pa.binary()).to_pylist(), segment=SEGMENT):
                 n = len(bounds) - 1
                 counts = np.diff(bounds)
                 ends = bounds[1:] + np.arange(n)  # where each text's end goes

@@ -48,7 +48,7 @@ def _segment(data: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndar
     return mix(values + lengths.astype(np.uint64)), where[first]
 
 
-def hash_words(texts: list[bytes], separators: bytes = WHITESPACE, fold: bool = True) -> tuple[np.ndarray, np.ndarray]:
+def hash_words(texts: list[bytes], separators: bytes = WHITESPACE, fold: bool = True, segment: int = SEGMENT) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, bounds): the words of text ``i``, A-Z lower-cased if ``fold``, are ``hashes[bounds[i]:bounds[i + 1]]``."""
     is_word = np.ones(256, bool)
     is_word[list(separators)] = False
@@ -58,7 +58,7 @@ def hash_words(texts: list[bytes], separators: bytes = WHITESPACE, fold: bool =
         n, at = 0, 0
         text = text.lower() if fold else text
         while at < len(text):
-            end = at + SEGMENT
+            end = at + segment
             if end < len(text):
                 while end < len(text) and is_word[text[end]]:
                     end += 1
@@ -72,17 +72,17 @@ def hash_words(texts: list[bytes], separators: bytes = WHITESPACE, fold: bool =
     return (np.concatenate(found) if found else np.empty(0, np.uint64)), bounds
 
 
-def batches(texts: list[bytes | None], separators: bytes = WHITESPACE, fold: bool = True) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def batches(texts: list[bytes | None], separators: bytes = WHITESPACE, fold: bool = True, segment: int = SEGMENT) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first, hashes, bounds) for runs of texts of about one segment; a null text has no words."""
     first = 0
     while first < len(texts):
         last, size = first, 0
-        while last < len(texts) and (last == first or size + len(texts[last] or b"") <= SEGMENT):
+        while last < len(texts) and (last == first or size + len(texts[last] or b"") <= segment):
             size += len(texts[last] or b"")
             last += 1
         part = [t or b"" for t in texts[first:last]]
-        if size > SEGMENT:
-            yield first, *hash_words(part, separators, fold)
+        if size > segment:
+            yield first, *hash_words(part, separators, fold, segment)
         else:
             # Together: a separator between texts keeps their words apart.
             joined = b" ".join(part)
