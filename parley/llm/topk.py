@@ -7,10 +7,13 @@
    each block becomes one row: a cover tree over its vectors, with centre and radius.  Queries are
    dealt and packed in the same way.
 3. Every group of queries first meets the block with the best bound, which gives each query a kth
-   score.  A second round sends the group to all other blocks whose bound reaches the worst of
+   score.  A second round lets the group meet all other blocks whose bound reaches the worst of
    these.  In a block, pairs of tree nodes are searched best bound first and pruned by the covering
    radii against the worst kth score of the query node.
-4. A row number per query over what the blocks found gives the ranks.
+4. Meetings are dealt to tiles, a bundle of groups by a bundle of blocks, both bounded by bytes.  A
+   tree goes once to each tile where it meets another, not once to each meeting, and a tile gives
+   back k rows a query.
+5. A row number per query over what the tiles found gives the ranks.
 
 For a query node (centre a, radius r) and a data node (centre b, radius s) no inner product is
 larger than a.b + r|b| + s|a| + rs.
@@ -29,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from parley.llm.common import unit_draw
 from parley.plans.scratch import settle
 
 K = 10
@@ -39,8 +43,11 @@ GROUP_ROWS = 256
 MAX_PIVOTS = 512
 LEAF = 64
 MAX_CHILDREN = 64
-#: Blocks whose centres are held and sent out at once.
-BOUND_BLOCKS = 20_000
+#: Bytes of block centres that are held and sent out at once.
+BOUND_BYTES = 32 << 20
+#: Bytes of vectors in a tile: its data blocks, and its groups of queries.
+TILE_BLOCK_BYTES = 32 << 20
+TILE_GROUP_BYTES = 8 << 20
 
 
 class CoverTree:
@@ -172,7 +179,7 @@ def _pack(frame: pd.DataFrame) -> pd.DataFrame:
     frame = frame.sort_values("vec_id", kind="stable")
     tree = CoverTree(np.stack([np.frombuffer(v, np.float64) for v in frame.v]))
     _, _, centre, radius, _ = tree.nodes[tree.root]
-    return pd.DataFrame({"block": [int(frame.block.iloc[0])], "centre": [centre.tobytes()], "radius": [radius],
+    return pd.DataFrame({"block": [int(frame.block.iloc[0])], "size": [len(frame)], "centre": [centre.tobytes()], "radius": [radius],
                          "tree": [pickle.dumps((frame.vec_id.to_numpy(np.int64), tree.state()))]})
 
 
@@ -181,7 +188,7 @@ def _blocks(assigned: DataFrame, rows_per_block: int) -> DataFrame:
     dealt = assigned.join(F.broadcast(sizes), "cell")  # at most MAX_PIVOTS rows
     dealt = dealt.withColumn("block", F.xxhash64("cell", F.pmod(F.xxhash64("vec_id"), "parts")))
     return settle(dealt.select("block", "vec_id", "v").groupBy("block").applyInPandas(
-        _pack, "block bigint, centre binary, radius double, tree binary"), "cover-trees")
+        _pack, "block bigint, size bigint, centre binary, radius double, tree binary"), "cover-trees")
 
 
 def _meetings(blocks: list, first: bool):
@@ -206,31 +213,44 @@ def _meetings(blocks: list, first: bool):
 
 
 def _search(k: int):
-    schema = pa.schema([("group", pa.int64()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
-
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            for group, mine, floors, theirs in zip(*(part.column(c) for c in ("group", "queries", "floors", "data"))):
-                ids, queries = pickle.loads(mine.as_py())
-                data_ids, data = pickle.loads(theirs.as_py())
-                known = floors.as_py()
-                floor = np.array([dict(known).get(i, -np.inf) for i in ids.tolist()]) if known else np.full(len(ids), -np.inf)
-                best = Best(ids, floor, k)
-                dual_search(CoverTree.of(queries), CoverTree.of(data), data_ids, best)
-                rows = [(group.as_py(), i, -j, s) for i, found in zip(ids.tolist(), best.found) for s, j in found]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*rows) if rows else [[]] * 4)], schema=schema)
+    """The k best of each query among the data blocks that its group meets in one tile."""
+    def run(mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
+        index = {block: pickle.loads(tree) for block, tree in zip(theirs.block.tolist(), theirs.tree)}
+        rows = []
+        for group, tree, floors, meet in zip(mine.group.tolist(), mine.tree, mine.floors, mine.meet):
+            ids, state = pickle.loads(tree)
+            known = dict(floors) if floors is not None else {}
+            best = Best(ids, np.array([known.get(i, -np.inf) for i in ids.tolist()], np.float64), k)
+            queries = CoverTree.of(state)
+            for m in sorted(meet, key=lambda m: (-m["bound"], m["block"])):
+                if m["bound"] >= best.kth.min():
+                    data_ids, data = index[m["block"]]
+                    dual_search(queries, CoverTree.of(data), data_ids, best)
+            rows += [(group, i, -j, s) for i, found in zip(ids.tolist(), best.found) for s, j in found]
+        return pd.DataFrame(rows, columns=["group", "query_id", "vec_id", "score"], dtype="int64")
 
     return run
 
 
-def _search_meetings(meet: DataFrame, groups: DataFrame, index: DataFrame, floors: DataFrame | None, k: int) -> DataFrame:
-    rows = meet.select("group", "block").join(groups.select(F.col("block").alias("group"), F.col("tree").alias("queries")), "group")
+def _tiles(blocks: int, rows: int, dims: int, tile_bytes: int) -> int:
+    """Bundles that ``blocks`` blocks of ``rows`` vectors are dealt to."""
+    return -(-blocks // max(1, tile_bytes // (8 * rows * max(1, dims))))
+
+
+def _search_meetings(meet: DataFrame, groups: DataFrame, index: DataFrame, floors: DataFrame | None, k: int, tiles: tuple[int, int]) -> DataFrame:
+    # Block numbers are hashes, so that their remainders deal them evenly.
+    tile = [F.pmod("group", F.lit(tiles[0])).alias("row"), F.pmod("block", F.lit(tiles[1])).alias("column")]
+    meet = meet.select(*tile, "group", "block", "bound")
+    mine = meet.groupBy("row", "column", "group").agg(F.collect_list(F.struct("block", "bound")).alias("meet"))
+    mine = mine.join(groups.select(F.col("block").alias("group"), "tree"), "group")
     if floors is None:
-        rows = rows.withColumn("floors", F.lit(None).cast("map<bigint,double>"))
+        mine = mine.withColumn("floors", F.lit(None).cast("map<bigint,double>"))
     else:
-        rows = rows.join(floors.select("group", "floors"), "group")
-    rows = rows.join(index.select("block", F.col("tree").alias("data")), "block").select("group", "queries", "floors", "data")
-    return rows.mapInArrow(_search(k), "group bigint, query_id bigint, vec_id bigint, score bigint")
+        mine = mine.join(floors.select("group", "floors"), "group")
+    there = meet.select(F.col("row").alias("_row"), F.col("column").alias("_column"), "block").distinct()
+    theirs = there.join(index.select("block", "tree"), "block")
+    return mine.groupBy("row", "column").cogroup(theirs.groupBy("_row", "_column")).applyInPandas(
+        _search(k), "group bigint, query_id bigint, vec_id bigint, score bigint")
 
 
 def integer_vectors(vectors: DataFrame) -> DataFrame:
@@ -268,7 +288,9 @@ def _top_k_of(rows: DataFrame, every: int, k: int) -> DataFrame | None:
     data = rows.withColumn("_nth", F.row_number().over(alike)).where(F.col("_nth") <= k + 1).drop("_nth")
     total = rows.count()
     wanted = max(1, min(MAX_PIVOTS, total // BLOCK_ROWS))
-    pivots = [r.v for r in rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(wanted).select("v").collect()]
+    # A few times as many rows as wanted pass the threshold, so that no task sends its whole share.
+    drawn = rows.withColumn("_draw", unit_draw("vec_id", "v")).where(F.col("_draw") < min(1.0, (64 + 4 * wanted) / max(1, total)))
+    pivots = [r.v for r in drawn.orderBy("_draw", "vec_id").limit(wanted).select("v").collect()]
     if not pivots or not len(pivots[0]):
         # Vectors without components: all products are 0.
         pivots = pivots and [[]]
@@ -280,10 +302,12 @@ def _top_k_of(rows: DataFrame, every: int, k: int) -> DataFrame | None:
     groups = _blocks(queries.mapInArrow(_assign(pivots), fields), GROUP_ROWS)
     if groups.isEmpty():
         return None
-    chunks = -(-index.count() // BOUND_BLOCKS)
+    dims, n_blocks = pivots.shape[1], index.count()
+    chunks = -(-n_blocks // max(1, BOUND_BYTES // (8 * max(1, dims))))
+    tiles = _tiles(groups.count(), GROUP_ROWS, dims, TILE_GROUP_BYTES), _tiles(n_blocks, BLOCK_ROWS, dims, TILE_BLOCK_BYTES)
 
     def meetings(shape: DataFrame, first: bool) -> DataFrame:
-        """Bounds of all groups against all blocks; centres of about BOUND_BLOCKS blocks are held at a time."""
+        """Bounds of all groups against all blocks; BOUND_BYTES of centres are held at a time."""
         parts = []
         for chunk in range(chunks):
             part = index.where(F.pmod(F.xxhash64("block"), F.lit(chunks)) == chunk).select("block", "centre", "radius")
@@ -293,22 +317,17 @@ def _top_k_of(rows: DataFrame, every: int, k: int) -> DataFrame | None:
 
     group_shape = groups.select("block", "centre", "radius")
     meet = meetings(group_shape, True)
-    meet = settle(meet.groupBy("group").agg(F.max_by("block", F.struct("bound", "block")).alias("block")), "meetings")
-    first = settle(_search_meetings(meet, groups, index, None, k), "first")
+    best = F.max(F.struct("bound", "block"))
+    meet = settle(meet.groupBy("group").agg(best.alias("best")).select("group", "best.block", "best.bound"), "meetings")
+    first = settle(_search_meetings(meet, groups, index, None, k, tiles), "first")
     kth = first.groupBy("group", "query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).cast("double").alias("kth"))
     floors = kth.where("kth IS NOT NULL").groupBy("group").agg(
         F.map_from_entries(F.collect_list(F.struct("query_id", "kth"))).alias("floors"), F.min("kth").alias("worst"), F.count(F.lit(1)).alias("n"))
-    sizes = groups.mapInArrow(_sizes, "group bigint, size bigint")
+    sizes = groups.select(F.col("block").alias("group"), "size")
     # A group whose queries do not all have k partners yet must see every block.
     state = meet.select("group", F.col("block").alias("seen")).join(sizes, "group").join(floors, "group", "left")
     worst = F.when(F.col("n") == F.col("size"), F.col("worst")).otherwise(F.lit(float("-inf")))
     state = settle(state.select("group", "seen", F.coalesce("floors", F.create_map().cast("map<bigint,double>")).alias("floors"), worst.alias("worst")), "floors")
     shape = group_shape.join(state.select(F.col("group").alias("block"), "seen", "worst"), "block")
-    rest = _search_meetings(meetings(shape, False), groups, index, state, k)
+    rest = _search_meetings(meetings(shape, False), groups, index, state, k, tiles)
     return first.unionByName(rest).select("query_id", "vec_id", "score")
-
-
-def _sizes(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in parts:
-        sizes = [len(pickle.loads(t.as_py())[0]) for t in part.column("tree")]
-        yield pa.RecordBatch.from_arrays([part.column("block"), pa.array(sizes, pa.int64())], names=["group", "size"])

@@ -5,6 +5,7 @@ import hashlib
 import sys
 from pathlib import Path
 
+import numpy as np
 import pyarrow.parquet as pq
 import pytest
 
@@ -12,7 +13,7 @@ sys.path.insert(0, str(Path(__file__).parent))
 
 import plain  # noqa: E402
 
-from parley.llm import line_dedup, lm, mixing, near_dedup  # noqa: E402
+from parley.llm import line_dedup, lm, mixing, near_dedup, topk  # noqa: E402
 from parley.llm.queries import QUERIES  # noqa: E402
 
 
@@ -138,6 +139,18 @@ def test_op6_top_k(result, corpus):
     assert got == sorted(plain.top_k((r["vec_id"], r["embedding"]) for r in rows))
 
 
+def test_op6_many_tiles(spark, monkeypatch):
+    """Several bundles of groups by several bundles of blocks, chunks of centres, and a bounded draw of pivots."""
+    draw = np.random.default_rng(5)
+    centres = draw.normal(size=(12, 6)) * 3
+    rows = [(i, (centres[i % 12] + draw.normal(size=6) * 0.2).tolist()) for i in range(4_000)]
+    for name, value in (("BLOCK_ROWS", 150), ("GROUP_ROWS", 4), ("BOUND_BYTES", 300), ("TILE_BLOCK_BYTES", 20_000), ("TILE_GROUP_BYTES", 400)):
+        monkeypatch.setattr(topk, name, value)
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = sorted(tuple(r) for r in topk.top_k(table).select("query_id", "rank", "vec_id", "score").collect())
+    assert got == sorted(plain.top_k(rows))
+
+
 def test_op7_archives(result, corpus):
     pages = pq.read_table(corpus / "pages.parquet").to_pylist()
     payload = [(r["page_id"], (r["html"] or "").encode()) for r in pages]
