@@ -16,9 +16,10 @@ from parley.catalog.dialog_queries import (
 from parley.catalog.registry import ORACLES, query
 from parley.catalog.text_queries import TOKENS
 from parley.catalog.views import table, text_table
-from parley.functions import metrics, variation
+from parley.functions import edits, metrics, variation
+from parley.plans.scratch import settle
 from parley.plans.training import pairs_with_context
-from parley.operators import augmentation, encoding, evaluation, language, subwords
+from parley.operators import augmentation, encoding, evaluation, language, stems, subwords
 
 STOP = language.COMMON_WORDS["en"] + language.COMMON_WORDS["de"] + language.COMMON_WORDS["fr"]
 PROMPT = "Answer as the same person would."
@@ -497,3 +498,53 @@ def subword_training_features(spark, sf_dir):
         "DialogID", "seq", F.size("input_ids").cast("bigint").alias("n_input"), F.size("labels").cast("bigint").alias("n_labels"),
         F.startswith("input_text", start("input_back")).alias("starts_input"), F.startswith("output_text", start("labels_back")).alias("starts_labels"),
         ((F.octet_length("input_text") <= 20) & whole & (F.array_min("input_ids_mask") == 0)).alias("short_padded"))
+
+
+# Every vowel becomes a character that no text holds, so that each costs one edit and nothing else does.
+_HIDDEN = "\ue000"
+
+
+@query(
+    "turn_edits",
+    """SELECT conv_id, turn, length(text) - length(translate(text, 'aeiou', '')) AS edits,
+    CASE WHEN length(text) - length(translate(text, 'aeiou', '')) <= 30 THEN length(text) - length(translate(text, 'aeiou', '')) ELSE -1 END AS bounded
+    FROM conversations""",
+)
+def turn_edits(spark, sf_dir):
+    """Edits between whole turns and their disguised texts, as long texts are compared: all of them, and up to 30."""
+    text, hidden = F.col("text"), F.translate("text", "aeiou", _HIDDEN * 5)
+    return text_table(spark, sf_dir, "conversations").select(
+        "conv_id",
+        "turn",
+        edits.text_edits(text, hidden, short_cells=0).cast("bigint").alias("edits"),
+        edits.text_edits(text, hidden, at_most=30, short_cells=0).cast("bigint").alias("bounded"),
+    )
+
+
+# Words of letters only, their cuts, the endings that are rules, and each word's best cut.
+_STEMS = f"""
+forms AS (SELECT word, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), {TOKENS})) AS word FROM documents)
+  WHERE regexp_full_match(word, '[\\p{{L}}\\p{{M}}]+') GROUP BY word),
+cuts AS (SELECT word, n, substr(word, 1, length(word) - k) AS stem, substr(word, length(word) - k + 1) AS ending
+  FROM (SELECT word, n, unnest(range(0, least(5, length(word) - 4) + 1)) AS k FROM forms WHERE length(word) >= 4)),
+varied AS (SELECT stem FROM cuts GROUP BY stem HAVING count(DISTINCT substr(ending, 1, 1)) > 1),
+endings AS (SELECT ending, count(*) AS beginnings FROM cuts JOIN varied USING (stem) GROUP BY ending
+  HAVING count(*) >= 5 AND count(DISTINCT right(stem, 1)) >= 3),
+ruled AS (SELECT * FROM cuts JOIN endings USING (ending)),
+alive AS (SELECT stem, count(*) AS words FROM ruled GROUP BY stem HAVING count(*) > 1),
+placed AS (SELECT * FROM ruled JOIN alive USING (stem) QUALIFY row_number() OVER (PARTITION BY word ORDER BY words * beginnings DESC, length(stem) DESC) = 1)"""
+
+
+@query(
+    "stem_lemmas",
+    f"""WITH {_STEMS} SELECT word AS form, stem, ending, first_value(word) OVER (PARTITION BY stem ORDER BY length(word), n DESC, word) AS lemma
+    FROM placed QUALIFY count(*) OVER (PARTITION BY stem) > 1""",
+)
+def stem_lemmas(spark, sf_dir):
+    return stems.learn_stems(stems.word_counts(text_table(spark, sf_dir, "documents"), ["text"]))
+
+
+@query("learned_endings", f"WITH {_STEMS} SELECT ending, beginnings FROM endings")
+def learned_endings(spark, sf_dir):
+    words = settle(stems.word_counts(text_table(spark, sf_dir, "documents"), ["text"]), "words")
+    return stems.learn_endings(stems.word_cuts(words))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parley.functions.binding import let
+from parley.functions.edits import list_edits, text_edits
 
 # Fixed value: numerator that smoothing gives an n-gram order without any match.
 BLEU_EPSILON = 0.1
@@ -30,7 +31,7 @@ def _ratio(top: Column, bottom: Column) -> Column:
 
 def cer(truth: Column, pred: Column) -> Column:
     """Character edits per character of the truth."""
-    return _ratio(F.levenshtein(truth, pred), F.char_length(truth))
+    return _ratio(text_edits(truth, pred), F.char_length(truth))
 
 
 def _as_characters(items: Column, alphabet: Column) -> Column:
@@ -42,10 +43,10 @@ def _as_characters(items: Column, alphabet: Column) -> Column:
 
 
 def wer(truth: Column, pred: Column) -> Column:
-    """Word edits per word of the truth: the built-in edit distance over one character per word."""
+    """Word edits per word of the truth: for lists that are not long the built-in edit distance over one character per word."""
     t, p = words(truth), words(pred)
     edits = let(F.array_union(t, p), lambda abc: F.levenshtein(_as_characters(t, abc), _as_characters(p, abc)))
-    return _ratio(edits, F.size(t))
+    return _ratio(list_edits(t, p, edits), F.size(t))
 
 
 def jaccard(truth: Column, pred: Column) -> Column:
