@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parley.operators.encoding import tokenize
@@ -35,20 +35,21 @@ def word_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def word_cuts(words: DataFrame, max_ending: int = MAX_ENDING, min_stem: int = MIN_STEM) -> DataFrame:
-    """(word, count, stem, ending) for every cut with a stem of ``min_stem`` characters or more."""
+    """(stem, ending) for every cut of a word with a stem of ``min_stem`` characters or more."""
     size = F.char_length("word")
     longest = F.least(F.lit(max_ending), size - min_stem)
-    cuts = words.where(size >= min_stem).withColumn("n", F.explode(F.sequence(F.lit(0), longest)))
-    return cuts.select("word", "count", F.substr("word", F.lit(1), size - F.col("n")).alias("stem"),
-                       F.substr("word", size - F.col("n") + 1).alias("ending"))
+    cuts = words.where(size >= min_stem).select("word", F.explode(F.sequence(F.lit(0), longest)).alias("n"))
+    return cuts.select(F.substr("word", F.lit(1), size - F.col("n")).alias("stem"), F.substr("word", size - F.col("n") + 1).alias("ending"))
 
 
 def learn_endings(cuts: DataFrame, min_beginnings: int = MIN_BEGINNINGS, min_before: int = MIN_BEFORE) -> DataFrame:
     """(ending, beginnings): endings of stems that go on in at least two ways, and how many such stems there are."""
-    varied = cuts.groupBy("stem").agg(F.count_distinct(F.substr("ending", F.lit(1), F.lit(1))).alias("variety")).where("variety > 1")
-    shared = cuts.join(varied, "stem")
-    endings = shared.groupBy("ending").agg(
-        F.count(F.lit(1)).alias("beginnings"), F.count_distinct(F.right("stem", F.lit(1))).alias("before"))
+    one_stem, next_letter = Window.partitionBy("stem"), F.substr("ending", F.lit(1), F.lit(1))
+    # More than one continuation: the first and the last of them differ.
+    varied = F.min(next_letter).over(one_stem) != F.max(next_letter).over(one_stem)
+    shared = cuts.withColumn("varied", varied).where("varied").withColumn("letter", F.right("stem", F.lit(1)))
+    by_letter = shared.groupBy("ending", "letter").agg(F.count(F.lit(1)).alias("n"))
+    endings = by_letter.groupBy("ending").agg(F.sum("n").alias("beginnings"), F.count(F.lit(1)).alias("before"))
     return endings.where((F.col("beginnings") >= min_beginnings) & (F.col("before") >= min_before)).select("ending", "beginnings")
 
 
@@ -62,14 +63,15 @@ def learn_stems(words: DataFrame, max_ending: int = MAX_ENDING, min_stem: int =
     frequent, then the first by code points.  The result does not depend on the order of rows; null
     words are left out; an empty table gives no rows.
     """
-    # Words come from whole texts and are needed several times, so they and their cuts are written once.
-    cuts = word_cuts(settle(words.where(F.col("word").isNotNull()), "words"), max_ending, min_stem)
-    ruled = settle(cuts.join(learn_endings(cuts, min_beginnings, min_before), "ending"), "cuts")
-    alive = ruled.groupBy("stem").agg(F.count(F.lit(1)).alias("words")).where("words > 1")
-    weight = F.col("words") * F.col("beginnings")
-    best = ruled.join(alive, "stem").groupBy("word", "count").agg(
-        F.max(F.struct(weight.alias("weight"), F.char_length("stem").alias("size"), F.col("stem"), F.col("ending"))).alias("best"))
-    placed = settle(best.select("word", "count", "best.stem", "best.ending"), "stems")
+    # Words come from whole texts and are needed several times, so they are written once.
+    words = settle(words.where(F.col("word").isNotNull()), "words")
+    cuts = word_cuts(words, max_ending, min_stem)
+    endings = settle(learn_endings(cuts, min_beginnings, min_before), "endings")
+    one_stem = Window.partitionBy("stem")
+    ruled = cuts.join(endings, "ending").withColumn("words", F.count(F.lit(1)).over(one_stem)).where("words > 1")
+    cut = F.struct((F.col("words") * F.col("beginnings")).alias("weight"), F.char_length("stem").alias("size"), "stem", "ending")
+    best = ruled.groupBy(F.concat("stem", "ending").alias("word")).agg(F.max(cut).alias("best"))
+    placed = settle(best.select("word", "best.stem", "best.ending").join(words, "word"), "stems")
     lemma = placed.groupBy("stem").agg(
         F.min(F.struct(F.char_length("word").alias("size"), (-F.col("count")).alias("less"), F.col("word"))).alias("first"), F.count(F.lit(1)).alias("n"))
     grouped = placed.join(lemma.where("n > 1"), "stem")
