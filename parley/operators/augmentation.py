@@ -23,6 +23,12 @@ from parley.schema import DIALOG, NO_CONTEXT
 
 # Vectors compared at once by one task.
 VECTORS_PER_BLOCK = 4_096
+# Bytes of the vectors that ``nearest_words`` writes as one row, and of those that answer in one task.
+PACK_BYTES = 2 << 20
+PART_BYTES = 128 << 20
+# So many parts of the answering vectors, up to ``PART_BYTES`` each: every word has a candidate from each.
+ANSWERING_PARTS = 16
+PACK_SCHEMA = pa.schema([("name", pa.string()), ("words", pa.list_(pa.string())), ("vectors", pa.binary())])
 # The most frequent words, whose neighbourhood describes a word.
 CONTEXT_WORDS = 64
 
@@ -166,40 +172,111 @@ def apply_text_transform(
     return df.join(mapped, column, "left").select(*df.columns, out)
 
 
-def _top_one(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-    if left.empty or right.empty:
-        return pd.DataFrame({"word": [], "synonym": [], "score": []})
+def _packed(rows: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Batches of (word, vector) as rows that hold up to ``rows`` words, sorted, and their vectors."""
 
-    def unit(vectors):
-        matrix = np.stack(vectors.to_numpy()).astype("float64")
-        norms = np.linalg.norm(matrix, axis=1, keepdims=True)
-        return np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0)
+    def pack(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(parts).combine_chunks().sort_by("word")
+        if len(pa.compute.unique(pa.compute.list_value_length(table["vector"]))) > 1:
+            raise ValueError("vectors of different lengths")
+        values = table["vector"].combine_chunks().flatten().fill_null(float("nan"))
+        vectors = values.to_numpy(zero_copy_only=False).astype("float32").tobytes()
+        words = table["word"].combine_chunks()
+        name = hashlib.md5(vectors + repr(words.to_pylist()).encode()).hexdigest()
+        return pa.RecordBatch.from_pylist([{"name": name, "words": words.to_pylist(), "vectors": vectors}], PACK_SCHEMA)
 
-    right = right.sort_values("word").reset_index(drop=True)
-    scores = unit(left["vector"]) @ unit(right["vector"]).T
-    scores[left["word"].to_numpy()[:, None] == right["word"].to_numpy()[None, :]] = -np.inf
-    best = scores.argmax(axis=1)
-    found = pd.DataFrame(
-        {"word": left["word"], "synonym": right["word"].to_numpy()[best], "score": scores[np.arange(len(left)), best]}
-    )
-    return found[np.isfinite(found["score"])]
-
-
-def nearest_words(vectors: DataFrame, block_rows: int = VECTORS_PER_BLOCK) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, held = [], 0
+        for batch in batches:
+            while batch.num_rows:
+                part, batch = batch.slice(0, rows - held), batch.slice(rows - held)
+                parts.append(part)
+                held += part.num_rows
+                if held == rows:
+                    yield pack(parts)
+                    parts, held = [], 0
+        if parts:
+            yield pack(parts)
+
+    return run
+
+
+def _unpacked(words: pa.Scalar, vectors: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
+    """Words and unit vectors of a pack; vectors that are not finite take no part."""
+    names = words.values.to_numpy(zero_copy_only=False)
+    matrix = np.frombuffer(vectors.as_buffer(), "float32").reshape(len(names), -1).astype("float64")
+    finite = np.isfinite(matrix).all(axis=1)
+    names, matrix = names[finite], matrix[finite]
+    norms = np.linalg.norm(matrix, axis=1, keepdims=True)
+    return names, np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0)
+
+
+def _nearest(block_rows: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Pairs of packs to one candidate for each asking word; the pairs of one asking pack follow each other."""
+
+    def found(words: np.ndarray, other: np.ndarray, score: np.ndarray) -> pa.RecordBatch:
+        some = np.isfinite(score)
+        columns = [pa.array(words[some], pa.string()), pa.array(other[some], pa.string()), pa.array(score[some])]
+        return pa.RecordBatch.from_arrays(columns, ["word", "synonym", "score"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, words, asking, other, score = None, None, None, None, None
+        for batch in batches:
+            for i in range(batch.num_rows):
+                if batch["name"][i].as_py() != name:
+                    if name is not None:
+                        yield found(words, other, score)
+                    name = batch["name"][i].as_py()
+                    words, asking = _unpacked(batch["words"][i], batch["vectors"][i])
+                    other, score = np.full(len(words), "", dtype=object), np.full(len(words), -np.inf)
+                names, answering = _unpacked(batch["others"][i], batch["other_vectors"][i])
+                # The words are sorted: equal ones are found once a pair of packs, not in each comparison.
+                same = [(r, lo, hi) for r, (lo, hi) in enumerate(zip(names.searchsorted(words, "left"), names.searchsorted(words, "right"))) if lo < hi]
+                for q in range(0, len(words), block_rows):
+                    own = slice(q, min(q + block_rows, len(words)))
+                    rows, here = np.arange(own.stop - own.start), [x for x in same if own.start <= x[0] < own.stop]
+                    for a in range(0, len(names), block_rows):
+                        scores = asking[own] @ answering[a : a + block_rows].T
+                        for r, lo, hi in here:
+                            if lo < a + block_rows and hi > a:
+                                scores[r - q, max(lo - a, 0) : hi - a] = -np.inf
+                        # Of equal scores the last word counts.
+                        at = scores.shape[1] - 1 - scores[:, ::-1].argmax(axis=1)
+                        best, word = scores[rows, at], names[a + at]
+                        better = best > score[own]
+                        ties = np.flatnonzero((best == score[own]) & np.isfinite(best))
+                        better[ties] = word[ties] > other[own][ties]
+                        score[own][better], other[own][better] = best[better], word[better]
+        if name is not None:
+            yield found(words, other, score)
+
+    return run
+
+
+def nearest_words(vectors: DataFrame, block_rows: int = VECTORS_PER_BLOCK, pack_bytes: int = PACK_BYTES) -> DataFrame:
     """For every (word, vector) row the other word with the most similar vector (cosine).
 
-    Exact: each pair of vector blocks meets in one bounded task that sends on one candidate per
-    word; a map-side combined maximum picks the best over all blocks.
+    Exact, and all pairs by nature: the time grows with the square of the rows (``similar_words``
+    is the approximate way).  What is moved does not: the vectors are written once, in packs of
+    ``pack_bytes``; a task reads some asking packs and the packs of one of a fixed number of answering
+    parts, compares ``block_rows`` with ``block_rows`` vectors at once and sends on one candidate per
+    word.  Of equal scores the last word counts; rows without a word or a vector take no part.
     """
-    blocks = max(1, -(-vectors.count() // block_rows))
     rows = vectors.select(F.col("word").cast("string").alias("word"), F.col("vector").cast("array<float>").alias("vector"))
-    rows = rows.withColumn("_b", F.pmod(F.xxhash64("word"), F.lit(blocks)))
-    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint")))
-    asking = rows.select("word", "vector", F.col("_b").alias("q"), every.alias("b")).groupBy("q", "b")
-    answering = rows.select("word", "vector", F.col("_b").alias("b"), every.alias("q")).groupBy("q", "b")
-    best = asking.cogroup(answering).applyInPandas(_top_one, "word string, synonym string, score double")
-    winner = F.max_by("synonym", F.struct("score", "synonym"))
-    return best.groupBy("word").agg(winner.alias("synonym"), F.max("score").alias("score"))
+    rows = rows.where("word IS NOT NULL AND vector IS NOT NULL")
+    count, width = rows.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
+    row_bytes = 4 * max(width or 0, 1)
+    per_pack = max(1, pack_bytes // row_bytes)
+    # Dealt out evenly, but for a few rows, which are no reason for a further pack.
+    dealt = rows.repartition(max(1, -(-count // per_pack)))
+    packs = settle(dealt.mapInArrow(_packed(2 * per_pack), "name string, words array<string>, vectors binary"), "packs")
+    parts = max(ANSWERING_PARTS, -(-count * row_bytes // PART_BYTES))
+    answering = packs.select(F.col("words").alias("others"), F.col("vectors").alias("other_vectors")).coalesce(parts)
+    # Every pair of partitions is a task that reads the packs from the shared folder.
+    pairs = packs.crossJoin(answering.hint("shuffle_replicate_nl"))
+    best = pairs.mapInArrow(_nearest(block_rows), "word string, synonym string, score double")
+    best = best.groupBy("word").agg(F.max(F.struct("score", "synonym")).alias("b"))
+    return best.select("word", "b.synonym", "b.score")
 
 
 def context_vectors(corpus: DataFrame, text: str, contexts: int = CONTEXT_WORDS, reach: int = 2, min_count: int = 1) -> DataFrame:

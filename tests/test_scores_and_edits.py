@@ -156,3 +156,43 @@ def test_training_frame_labels(spark):
     assert [r[0] for r in encoding.localize_context(df, "en").collect()] == ["No context", "x"]
     with pytest.raises(ValueError):
         encoding.localize_context(df, "xx")
+
+
+def test_nearest_words_over_packs(spark):
+    """Ties, repeated words, nulls and vectors that are not finite, over packs of a few vectors."""
+    rng = random.Random(2)
+    rows = [(f"w{i:03d}", [float(rng.randint(-2, 2)) for _ in range(4)]) for i in range(150)] + [("w003", [9.0, 1.0, 0.0, 0.0])]
+    odd = [("x", [1.0, float("nan"), 0.0, 0.0]), ("y", [1.0, None, 0.0, 0.0]), ("z", None), (None, [1.0, 1.0, 1.0, 1.0])]
+    df = spark.createDataFrame(rows + odd, "word string, vector array<double>")
+
+    def cosine(a, b):
+        norm = (sum(x * x for x in a) * sum(x * x for x in b)) ** 0.5
+        return sum(x * y for x, y in zip(a, b)) / norm if norm else 0.0
+
+    expected = {}
+    for word, vector in rows:
+        best = max(((round(cosine(vector, v), 9), w) for w, v in rows if w != word))
+        expected[word] = max(expected.get(word, (-2, "")), best)
+    for pack_bytes, block_rows in ((2 << 20, 4_096), (16 * 20, 7), (16 * 4, 3)):
+        got = augmentation.nearest_words(df, block_rows, pack_bytes).collect()
+        assert len(got) == len(expected)
+        assert all(round(r.score, 9) == expected[r.word][0] and r.synonym != r.word for r in got)
+    assert augmentation.nearest_words(df.where("false")).collect() == []
+    assert augmentation.nearest_words(df.where("word = 'w001'")).collect() == []
+
+
+def _shuffle_files(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    files = [found.apply(i) for i in range(found.size())]
+    return {f.getName(): f.length() for f in files if f.getName().startswith("shuffle_") and f.getName().endswith(".data")}
+
+
+def test_nearest_words_move_vectors_in_proportion(spark):
+    moved = []
+    for rows in (600, 2_400):
+        vector = F.transform(F.sequence(F.lit(1), F.lit(64)), lambda k: F.rand(3) + F.hash("id", k) % 100)
+        df = spark.range(rows).select(F.col("id").alias("word"), vector.alias("vector"))
+        before = _shuffle_files(spark)
+        assert augmentation.nearest_words(df, 50).count() == rows
+        moved.append(sum(n for name, n in _shuffle_files(spark).items() if name not in before))
+    assert moved[1] < 6 * moved[0]
