@@ -21,11 +21,18 @@ from parley.streaming import ingest, live_context, sessions
 
 # Dialogs per derived Telegram document.
 DIALOGS_PER_DOCUMENT = 40
+# Derived documents that one task writes, about.
+FILES_PER_TASK = 200
 
 
-def _write_documents(df, path, key):
-    """One JSON text per row of ``df`` (key, value), each in a file and folder of its own."""
-    df.repartition(key).write.partitionBy(key).text(path)
+def _write_documents(df, path, *keys):
+    """One JSON text per row of ``df`` (keys, value), each in a file and folder of its own.
+
+    A file costs its time however short it is, so the tasks are cut by files; by bytes, as Spark
+    joins small partitions, a task would write all that a core can get.
+    """
+    tasks = max(1, -(-df.count() // FILES_PER_TASK))
+    df.repartition(tasks, *keys).write.partitionBy(*keys).text(path)
 
 
 def _messages(*fields):
@@ -123,7 +130,7 @@ def _instagram_export(spark, sf_dir, inbox_only=False):
     documents = documents.select(F.lpad("DialogID", 10, "0").alias("dialog"), F.to_json(F.struct("messages")).alias("value"))
     if inbox_only:
         place = F.when(F.col("dialog").cast("bigint") % 3 == 0, "inbox").otherwise("archive")
-        documents.withColumn("place", place).repartition("dialog").write.partitionBy("place", "dialog").text(path)
+        _write_documents(documents.withColumn("place", place), path, "place", "dialog")
     else:
         _write_documents(documents, path, "dialog")
     return path

@@ -1,10 +1,12 @@
 import json
+from collections import Counter
 from datetime import datetime, timedelta
 from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
+from parley.catalog import source_queries
 from parley.operators.context import sessionize, with_elapsed
 from parley.plans import scratch
 from parley.schema import MESSAGE_SCHEMA
@@ -68,6 +70,16 @@ def test_discord_package(spark, tmp_path):
     assert discord.read_discord(spark, str(tmp_path), first_only=True).count() == 2
 
 
+def test_derived_documents_are_dealt_out_by_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(source_queries, "FILES_PER_TASK", 20, raising=False)
+    rows = spark.range(200).select("id", F.concat(F.lit("d"), F.col("id")).alias("value"))
+    path = tmp_path / "documents"
+    source_queries._write_documents(rows.groupBy("id").agg(F.min("value").alias("value")), str(path), "id")
+    names = [f.name for f in path.glob("id=*/part-*")]
+    assert len(names) == 200 and max(Counter(n.split("-")[1] for n in names).values()) <= 40
+    assert {(r.id, r.value) for r in spark.read.text(str(path)).collect()} == {(i, f"d{i}") for i in range(200)}
+
+
 def test_save_modes_and_csv_round_trip(spark, tmp_path):
     df = spark.createDataFrame([("d", 'say "hi",\nyou', "A", START, True, 1), ("d", None, "B", START, False, 2)], MESSAGE_SCHEMA)
     path = str(tmp_path / "t.csv")
