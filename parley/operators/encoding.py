@@ -21,6 +21,8 @@ TARGET_MAX_LENGTH = 128
 PAD_ID = 0
 UNKNOWN_ID = 1
 FIRST_WORD_ID = 2
+# Ids are integers of 32 bits.
+_ID_RANGE = 1 << 32
 
 # A lookup table of up to this many rows is broadcast; a larger one is joined by shuffle.
 MAX_BROADCAST_ROWS = 200_000
@@ -76,30 +78,52 @@ def encode_fixed(
     Texts are cut and padded to the length, which is the point of the encoding; so a group that
     is put together again after the lookup is never longer than that.
     """
-    lookup = size_checked(vocab.select("token", F.col("id").cast("int").alias("_id")))
+    keys, lengths = list(ids), [length for _, length in columns.values()]
+    starts = [sum(lengths[:n]) for n in range(len(lengths))]
 
-    def cut(n: int, column: str, length: int):
+    def cut(column: str, start: int, length: int):
         tokens = F.coalesce(tokenize(F.lower(F.col(column))), F.array().cast("array<string>"))
         return F.transform(
             F.slice(tokens, F.lit(1), F.lit(length)),
-            lambda w, i: F.struct(F.lit(n).alias("column"), i.alias("at"), w.alias("token")),
+            lambda w, i: F.struct((F.lit(start) + i).cast("bigint").alias("place"), w.alias("token")),
         )
 
-    cells = F.concat(*[cut(n, c, length) for n, (c, (_, length)) in enumerate(columns.items())])
-    keys = list(ids)
-    tokens = df.select(*keys, F.explode(cells).alias("cell")).select(*keys, "cell.*")
-    known = tokens.join(lookup, "token", "left").select(
-        *keys, "column", "at", F.coalesce("_id", F.lit(UNKNOWN_ID)).alias("_id")
-    )
-    rows = known.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("column", "at", "_id"))).alias("_cells"))
+    cells = F.concat(*[cut(c, start, length) for c, start, length in zip(columns, starts, lengths)])
+    # Cut texts are read twice, once for the frequent tokens and once for the others.
+    texts = settle(df.select(*keys, cells.alias("_cells")), "cells")
+    tokens = texts.select(*keys, F.explode("_cells").alias("cell")).select(*keys, "cell.*")
+    known = _with_ids(tokens, vocab.select("token", F.col("id").cast("int").alias("_id")))
+    # Place and id in one number: it sorts by place, and a row of the exchange is as short as can be.
+    packed = F.col("place") * _ID_RANGE + (F.coalesce("_id", F.lit(UNKNOWN_ID)).cast("bigint") + _ID_RANGE // 2)
+    # Dealt out by the row before anything is gathered, so that no task gathers twice.
+    rows = known.select(*keys, packed.alias("_cell")).repartition(*keys)
+    rows = rows.groupBy(*keys).agg(F.sort_array(F.collect_list("_cell")).alias("_cells"))
     rows = df.select(*keys).join(rows, keys, "left")
 
-    def padded(n: int, length: int):
-        cells = F.coalesce(F.col("_cells"), F.array().cast("array<struct<column:int,at:int,_id:int>>"))
-        mine = F.transform(F.filter(cells, lambda c: c["column"] == n), lambda c: c["_id"])
+    def padded(start: int, length: int):
+        found = F.coalesce(F.col("_cells"), F.array().cast("array<bigint>"))
+        mine = F.filter(found, lambda c: (c >= start * _ID_RANGE) & (c < (start + length) * _ID_RANGE))
+        mine = F.transform(mine, lambda c: (c % _ID_RANGE - _ID_RANGE // 2).cast("int"))
         return F.slice(F.concat(mine, F.array_repeat(F.lit(PAD_ID), length)), F.lit(1), F.lit(length))
 
-    return rows.select(*keys, *[padded(n, length).alias(out) for n, (out, length) in enumerate(columns.values())])
+    outs = [out for out, _ in columns.values()]
+    return rows.select(*keys, *[padded(*x).alias(out) for out, *x in zip(outs, starts, lengths)])
+
+
+def _with_ids(tokens: DataFrame, vocab: DataFrame) -> DataFrame:
+    """``tokens`` with the ``_id`` of each token, null where ``vocab`` lacks it.
+
+    A join by shuffle brings all rows of a token to one task, to be sorted there.  So a vocabulary that
+    is too large to broadcast is cut by id: the lowest ids, which ``build_vocab`` gives to the most
+    frequent tokens, are broadcast, and only rows of the others are shuffled by token.
+    """
+    if vocab.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS:
+        return tokens.join(F.broadcast(vocab), "token", "left")
+    is_low = F.col("_id") < FIRST_WORD_ID + MAX_BROADCAST_ROWS
+    low = size_checked(vocab.where(is_low).withColumnRenamed("_id", "_low"))
+    found = tokens.join(low, "token", "left")
+    rest = found.where(F.col("_low").isNull()).drop("_low").join(vocab.where(~is_low), "token", "left")
+    return found.where(F.col("_low").isNotNull()).withColumnRenamed("_low", "_id").unionByName(rest)
 
 
 def normalize_tokens(df: DataFrame, column: str, lookup: DataFrame, ids: Sequence[str]) -> DataFrame:

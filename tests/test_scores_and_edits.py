@@ -1,4 +1,5 @@
 import random
+import struct
 from collections import Counter
 
 import pytest
@@ -196,3 +197,36 @@ def test_nearest_words_move_vectors_in_proportion(spark):
         assert augmentation.nearest_words(df, 50).count() == rows
         moved.append(sum(n for name, n in _shuffle_files(spark).items() if name not in before))
     assert moved[1] < 6 * moved[0]
+
+
+def _shuffled_parts(spark):
+    """Bytes of each partition that a map task wrote, for shuffles into several partitions."""
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    paths = [found.apply(i).getPath() for i in range(found.size())]
+    parts = {}
+    for path in paths:
+        if path.endswith(".index") and "shuffle_" in path:
+            with open(path, "rb") as file:
+                offsets = [n for (n,) in struct.iter_unpack(">q", file.read())]
+            if len(offsets) > 2:
+                parts[path] = [b - a for a, b in zip(offsets, offsets[1:])]
+    return parts
+
+
+def test_frequent_tokens_of_a_large_vocabulary_meet_in_no_task(spark):
+    vocab = spark.range(2, encoding.MAX_BROADCAST_ROWS + 40_002).select(F.concat(F.lit("w"), "id").alias("token"), "id")
+    last = encoding.MAX_BROADCAST_ROWS + 40_001
+    text = F.concat(F.repeat(F.lit("w7 "), 300), F.lit(f"w{last} w"), F.col("id").cast("string"), F.lit(" none"))
+    df = spark.range(2, 2_002).select("id", text.alias("q"), F.when(F.col("id") % 2 == 0, "w9").alias("r"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    before = _shuffled_parts(spark)
+    try:
+        rows = encoding.encode_fixed(df, ["id"], vocab, {"q": ("ids", 304), "r": ("labels", 2)}).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert len(rows) == 2_000
+    for r in rows:
+        assert r.ids == [7] * 300 + [last, r.id, 1, 0] and r.labels == ([9, 0] if r.id % 2 == 0 else [0, 0])
+    new = [p for path, p in _shuffled_parts(spark).items() if path not in before and sum(p) > 20_000]
+    assert new and all(max(p) < 0.6 * sum(p) for p in new)
