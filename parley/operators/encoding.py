@@ -26,6 +26,8 @@ _ID_RANGE = 1 << 32
 
 # A lookup table of up to this many rows is broadcast; a larger one is joined by shuffle.
 MAX_BROADCAST_ROWS = 200_000
+# Forms whose rows are not shuffled by form; any other has less than a ten-thousandth of the rows.
+FREQUENT_FORMS = 10_000
 
 
 def prepare_training_frame(df: DataFrame) -> DataFrame:
@@ -132,9 +134,21 @@ def normalize_tokens(df: DataFrame, column: str, lookup: DataFrame, ids: Sequenc
     A form that is listed several times takes its first lemma in alphabetical order.
     """
     keys = list(ids)
-    tokens = df.select(*keys, F.posexplode(tokenize(F.col(column))).alias("at", "form"))
-    forms = size_checked(lookup.groupBy("form").agg(F.min("lemma").alias("lemma")))
-    changed = tokens.join(forms, "form", "left").select(*keys, "at", F.coalesce("lemma", "form").alias("w"))
+    texts = df.select(*keys, tokenize(F.col(column)).alias("_tokens"))
+    forms = lookup.groupBy("form").agg(F.min("lemma").alias("lemma"))
+    if forms.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS:
+        found = texts.select(*keys, F.posexplode("_tokens").alias("at", "form")).join(F.broadcast(forms), "form", "left")
+    else:
+        # As in ``_with_ids``: the most frequent forms are not shuffled.  A form without a lemma is its own.
+        texts, forms = settle(texts, "tokens"), settle(forms, "forms")
+        tokens = texts.select(*keys, F.posexplode("_tokens").alias("at", "form"))
+        counts = tokens.groupBy("form").agg(F.count(F.lit(1)).alias("n"))
+        frequent = settle(counts.orderBy(F.desc("n"), "form").limit(FREQUENT_FORMS).select("form"), "frequent")
+        frequent = settle(frequent.join(forms, "form", "left").select("form", F.coalesce("lemma", "form").alias("_lemma")), "frequent-lemmas")
+        marked = tokens.join(F.broadcast(frequent), "form", "left")
+        rest = marked.where(F.col("_lemma").isNull()).drop("_lemma").join(forms, "form", "left")
+        found = marked.where(F.col("_lemma").isNotNull()).withColumnRenamed("_lemma", "lemma").unionByName(rest)
+    changed = found.select(*keys, "at", F.coalesce("lemma", "form").alias("w"))
     texts = changed.groupBy(*keys).agg(
         F.array_join(F.sort_array(F.collect_list(F.struct("at", "w")))["w"], " ").alias("_text")
     )

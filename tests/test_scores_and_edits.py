@@ -230,3 +230,12 @@ def test_frequent_tokens_of_a_large_vocabulary_meet_in_no_task(spark):
         assert r.ids == [7] * 300 + [last, r.id, 1, 0] and r.labels == ([9, 0] if r.id % 2 == 0 else [0, 0])
     new = [p for path, p in _shuffled_parts(spark).items() if path not in before and sum(p) > 20_000]
     assert new and all(max(p) < 0.6 * sum(p) for p in new)
+
+
+def test_frequent_forms_of_a_large_lookup(spark, monkeypatch):
+    monkeypatch.setattr(encoding, "MAX_BROADCAST_ROWS", 3)
+    monkeypatch.setattr(encoding, "FREQUENT_FORMS", 2)
+    lookup = spark.createDataFrame([("a", "b"), ("a", "c"), ("d", "e"), ("f", "g"), ("h", "i"), ("k", None)], "form string, lemma string")
+    df = spark.createDataFrame([(1, "a x a d"), (2, "x x h k"), (3, ""), (4, None), (5, "f")], "id int, t string")
+    got = {r.id: r.t for r in encoding.normalize_tokens(df, "t", lookup, ["id"]).collect()}
+    assert got == {1: "b x b e", 2: "x x i k", 3: "", 4: None, 5: "g"}
